@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash
+from . import chat, decontaminate, hostrules, lines, minhash, pii
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,33 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hostrules.host_rules(_table(spark, sf_dir, "documents")).drop("host_rate")
+
+
+def op6_pii_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(_table(spark, sf_dir, "documents"))
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("hit_spans")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.repeated_units(_table(spark, sf_dir, "documents"))
+
+
+def op10_chat_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op4_host_quality_rules": op4_host_quality_rules,
+    "op6_pii_anchor_expansion": op6_pii_anchor_expansion,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_chat_snapshot_collapse": op10_chat_snapshot_collapse,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -26,9 +51,9 @@ _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvw
 ORACLE_SQL: dict[str, str] = {
     "op2_minhash_near_dedup": rf"""
 WITH RECURSIVE words AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(coalesce({_LOWER}, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce({_LOWER}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 sets AS (
-  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' ')))
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))
                       WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words),
 items AS (SELECT doc_id, len(s) AS n, unnest(s) AS s FROM sets),
 links AS (
@@ -37,4 +62,62 @@ links AS (
 reach AS (SELECT doc_id, doc_id AS r FROM sets UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.r = links.x)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
 FROM sets s JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c ON s.doc_id = c.doc_id""",
+    "op4_host_quality_rules": r"""
+WITH words AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i+4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM words)),
+again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, range(5) r(k) GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM words),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lines WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+base AS (
+  SELECT doc_id, source AS host, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+    len(w) < 10 OR 100 * coalesce(covered.n, 0) > 20 * len(w) AS base_failed
+  FROM words LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id)),
+hosts AS (SELECT host, CAST(count(*) AS DOUBLE) AS n, CAST(sum(CAST(base_failed AS INT)) AS DOUBLE) AS f FROM base WHERE host IS NOT NULL GROUP BY host),
+moments AS (SELECT sum(n) AS n, greatest(least(sum(f) / sum(n), 1 - 1 / (2 * sum(n) + 2)), 1 / (2 * sum(n) + 2)) AS m, sum(f * f / n) AS q, count(*) AS h FROM hosts),
+spread AS (SELECT n, m, m * (1 - m) AS noise, (q - n * m * m) / n - m * (1 - m) * h / n AS between_hosts FROM moments),
+prior AS (SELECT m, CASE WHEN between_hosts > 0 THEN least(greatest(noise / between_hosts - 1, 1.0), n) ELSE n END AS strength FROM spread),
+failed AS (SELECT host FROM hosts, prior WHERE (f + m * strength) / (n + strength) > 0.5)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed.host IS NULL AS kept, base.host, failed.host IS NOT NULL AS host_failed
+FROM base LEFT JOIN failed ON base.host = failed.host""",
+    "op8_benchmark_decontamination": rf"""
+WITH items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item, k, array_to_string(w[i:i+k-1], ' ') AS s
+  FROM (SELECT item, w, least(13, len(w)) AS k, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)),
+words AS (SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+found AS (
+  SELECT d.doc_id, d.i, d.k, windows.item
+  FROM (SELECT doc_id, k, i, array_to_string(w[i:i+k-1], ' ') AS s
+        FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT DISTINCT k FROM windows))) d
+  JOIN windows ON d.k = windows.k AND d.s = windows.s),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM found) GROUP BY doc_id),
+which AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(which.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN which USING (doc_id)""",
+    "op9_line_dedup": rf"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+each_line AS (SELECT doc_id, i, l[i] AS line, list_sum(list_transform(l[1:i-1], lambda x: length(x) + 1)) AS before FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM split)),
+units AS (
+  SELECT doc_id, i, coalesce(before, 0) AS s, coalesce(before, 0) + length(line) AS e,
+    list_filter(regexp_split_to_array(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM each_line),
+ranked AS (SELECT doc_id, s, e, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS r FROM units WHERE len(w) >= 5),
+gone AS (SELECT doc_id, count(*) AS n, CAST(sum(e - s) AS BIGINT) AS chars, string_agg(CAST(CAST(s AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(e AS BIGINT) AS VARCHAR), ',' ORDER BY s) AS spans FROM ranked WHERE r > 1 GROUP BY doc_id),
+total AS (SELECT doc_id, count(*) AS n FROM units WHERE len(w) > 0 GROUP BY doc_id)
+SELECT d.doc_id, coalesce(total.n, 0) AS n_units, coalesce(gone.n, 0) AS n_removed, coalesce(gone.chars, 0) AS chars_removed, coalesce(gone.spans, '') AS removed
+FROM documents d LEFT JOIN total USING (doc_id) LEFT JOIN gone USING (doc_id)""",
+    "op10_chat_snapshot_collapse": r"""
+WITH chats AS (
+  SELECT conv_id, list(concat(coalesce('r' || role, 'n'), chr(0), coalesce('t' || text, 'n')) ORDER BY turn, role, text) AS l,
+    string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS rendered
+  FROM conversations GROUP BY conv_id),
+keys AS (SELECT l, min(conv_id) AS conv_id, count(*) AS n_copies FROM chats GROUP BY l),
+inner_prefixes AS (SELECT DISTINCT l[1:i] AS p FROM (SELECT l, unnest(range(1, len(l))) AS i FROM keys))
+SELECT k.conv_id, CAST(len(k.l) AS BIGINT) AS n_turns, k.n_copies, c.rendered AS text
+FROM keys k JOIN chats c ON c.conv_id = k.conv_id WHERE NOT EXISTS (SELECT 1 FROM inner_prefixes WHERE p = k.l)""",
 }
