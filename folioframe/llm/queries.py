@@ -5,22 +5,37 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontaminate, hostrules, lines, minhash, pii
+from . import chat, decontaminate, hostrules, lines, minhash, packing, pii, quality, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_edit_aware_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    edited = docs.withColumn("edits", tokens.sample_edits(F.col("text"), F.col("doc_id")))
+    return tokens.recount(tokens.index(edited, keep=["edits"]))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"))
+
+
 def op4_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hostrules.host_rules(_table(spark, sf_dir, "documents")).drop("host_rate")
 
 
+def op5_pu_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_pii_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(_table(spark, sf_dir, "documents"))
 
@@ -38,8 +53,11 @@ def op10_chat_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_edit_aware_token_counts": op1_edit_aware_token_counts,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_host_quality_rules": op4_host_quality_rules,
+    "op5_pu_quality_classifier": op5_pu_quality_classifier,
     "op6_pii_anchor_expansion": op6_pii_anchor_expansion,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_line_dedup": op9_line_dedup,
