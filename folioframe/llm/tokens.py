@@ -147,8 +147,8 @@ class Tree:
 
 def packed(chars: list[int], tokens: list[int]) -> bytes:
     both = np.array([chars, tokens], np.uint32)
-    small = not both.size or both.max() < 256
-    return bytes([small]) + both.astype(np.uint8 if small else np.uint32).tobytes()
+    small = bool(not both.size or both.max() < 256)
+    return bytes([int(small)]) + both.astype(np.uint8 if small else np.uint32).tobytes()
 
 
 def unpacked(data: bytes) -> tuple[list[int], list[int]]:
