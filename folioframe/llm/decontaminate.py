@@ -17,7 +17,7 @@ WIDTH = 13
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _made: dict[str, ahocorasick.Automaton] = {}
-SCANNED = "doc_id long, text string, hits binary, items array<string>"
+HITS, ITEMS = "__hits", "__items"
 
 
 def words(text: str | None) -> list[bytes]:
@@ -81,27 +81,41 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, most_bytes: int) ->
         yield held
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", width: int = WIDTH, block_bytes: int = 4_000_000) -> DataFrame:
-    """Per row: doc_id, text, hits (32-bit numbers of the words hit), items (ids that occur)."""
-    out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.lit(b"").alias("hits"), F.array().cast("array<string>").alias("items"))
+def hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", width: int = WIDTH, block_bytes: int = 4_000_000) -> DataFrame:
+    """All columns of ``docs`` and two more: HITS (32-bit numbers of the words hit) and ITEMS (ids that occur)."""
+    out = docs.withColumn(HITS, F.lit(b"")).withColumn(ITEMS, F.array().cast("array<string>"))
+    names, schema = out.columns, out.schema
     for block in blocks(benchmark, item_col, item_text, block_bytes):
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             machine = automaton(sent.value, width)
             for batch in batches:
-                old, had = batch.column("hits").to_pylist(), batch.column("items").to_pylist()
-                for i, text in enumerate(batch.column("text")):
+                old, had = batch.column(names.index(HITS)).to_pylist(), batch.column(names.index(ITEMS)).to_pylist()
+                for i, text in enumerate(batch.column(names.index(text_col))):
                     _, hit, items = scan(text.as_py(), machine)
                     if len(hit):
                         old[i] = np.union1d(np.frombuffer(old[i], np.int32), hit).astype(np.int32).tobytes()
                         had[i] = sorted({*had[i], *items})
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(old, pa.binary()), pa.array(had, pa.list_(pa.string()))], ["doc_id", "text", "hits", "items"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(old, pa.binary()), pa.array(had, pa.list_(pa.string()))], names)
 
-        out = out.mapInArrow(run, SCANNED)
+        out = out.mapInArrow(run, schema)
     return out
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ratio: int = 20, **options) -> DataFrame:
+    """The rows of ``docs`` that ``contamination`` does not call contaminated, with all their columns."""
+    schema, n = docs.schema, docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = [len(h) // 4 for h in batch.column(batch.num_columns - 2).to_pylist()]
+            fine = [not h or ratio * h < len(words(t.as_py())) for h, t in zip(hit, batch.column(n), strict=True)]
+            yield batch.select(list(range(batch.num_columns - 2))).filter(pa.array(fine, pa.bool_()))
+
+    return hits(docs, benchmark, text_col=text_col, **options).mapInArrow(run, schema)
+
+
 def spans(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
     """Code-point offsets in the original text of the runs of words hit."""
     if not len(hit):
@@ -114,18 +128,18 @@ def spans(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
 def _judge(batches: Iterator[pa.RecordBatch], ratio: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         total, hit, digest, dirty, where = [], [], [], [], []
-        for text, h, items in zip(batch.column("text"), batch.column("hits").to_pylist(), batch.column("items").to_pylist(), strict=True):
+        for text, h, items in zip(batch.column("text"), batch.column(HITS).to_pylist(), batch.column(ITEMS).to_pylist(), strict=True):
             text, h = text.as_py(), np.frombuffer(h, np.int32)
             total.append(len(words(text)))
             hit.append(len(h))
             digest.append(hashlib.sha256(",".join(items).encode()).hexdigest())
             dirty.append(len(h) > 0 and ratio * len(h) >= total[-1])
             where.append(",".join(f"{a}:{b}" for a, b in spans(text, h)) if len(h) else "")
-        sizes = [len(x) for x in batch.column("items").to_pylist()]
+        sizes = [len(x) for x in batch.column(ITEMS).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(total, pa.int64()), pa.array(hit, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digest), pa.array(dirty, pa.bool_()), pa.array(where)], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans"])
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, ratio: int = 20, **options) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", ratio: int = 20, **options) -> DataFrame:
     """Per row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated (n_hit > 0 and ratio * n_hit >= n_words), hit_spans.
 
     A window is 13 consecutive words of an item, or a shorter item whole; words inside an occurrence are hit. hit_spans
@@ -133,4 +147,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, ratio: int = 20, **opti
     items without words have no window; null and repeated ids stay rows; an empty benchmark hits nothing.
     """
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, hit_spans string"
-    return hits(docs, benchmark, **options).mapInArrow(lambda it: _judge(it, ratio), schema)
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return hits(own, benchmark, **options).mapInArrow(lambda it: _judge(it, ratio), schema)

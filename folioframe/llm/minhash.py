@@ -230,3 +230,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = sketch.select("doc_id", "key", "n_shingles").join(copies, "key", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     out = out.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component_id", F.coalesce("label", "rep"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` less near-duplicates: of each component its smallest id stays, once; rows with null id stay.
+
+    What goes is joined away, so nothing is shuffled where it is small. Only rows whose id is repeated are ordered.
+    """
+    found = staged(near_duplicates(docs, id_col, **options), "verdicts")
+    gone = found.where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
+    out = docs.join(gone, id_col, "left_anti")
+    again = staged(found.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias(id_col)).count().where("count > 1").select(id_col), "again")
+    if not again.isEmpty():
+        order = Window.partitionBy(id_col).orderBy(F.xxhash64(*docs.columns))
+        one = out.join(again, id_col, "left_semi").withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+        out = out.join(again, id_col, "left_anti").unionByName(one)
+    return out.select(*docs.columns)

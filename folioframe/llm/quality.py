@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from .hostrules import _per_row, measure
 from .kernels import IS_WORD, LOWER, U64, mix, runs, span_hashes, text_slices
-from .work import staged
 
 FEATURES = ["words", "word_len", "symbols", "root_symbols", "upper", "bangs", "bars", "digits", "twins", "distinct", "repeats", "dup_lines", "stops", "odd_ends", "capitals", "wide", "line_words"]
 _FLAGS = {
@@ -67,12 +66,6 @@ def features(column: pa.Array) -> np.ndarray:
     return np.column_stack([share[k] for k in FEATURES]) if len(n) else np.zeros((0, len(FEATURES)))
 
 
-def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x = features(batch.column("text"))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x[:, i]) for i in range(len(FEATURES)))], ["doc_id", *FEATURES])
-
-
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = 600, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias on raw features that minimise the non-negative unbiased risk with the logistic loss.
 
@@ -97,34 +90,69 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int
     return np.vstack([w[:-1], centre, scale]), float(w[-1])
 
 
-def scored(table: DataFrame, model: tuple[np.ndarray, float]) -> Column:
-    """The model's score as a column expression over the feature columns."""
+def score(x: np.ndarray, model: tuple[np.ndarray, float] | float) -> np.ndarray:
+    """Scores of feature rows; a model that is only a number scores all alike."""
+    if isinstance(model, float):
+        return np.full(len(x), model)
     (w, centre, scale), bias = model
-    total = F.lit(bias)
-    for k, name in enumerate(FEATURES):
-        z = F.greatest(F.lit(-6.0), F.least(F.lit(6.0), (F.col(name) - float(centre[k])) / float(scale[k])))
-        total = total + z * float(w[k])
-    return 1 / (1 + F.exp(-total))
+    return 1 / (1 + np.exp(-(np.clip((x - centre) / scale, -6, 6) @ w + bias)))
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 20_000) -> tuple[np.ndarray, float] | float:
+    """The model that ``classify`` describes, or the class prior alone where there is no positive.
+
+    The samples are the ids whose hash comes first, at most ``sample`` each; that bound is what makes them fit for a
+    broadcast, and texts are read for those ids only.
+    """
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null").where(~held_out())
+    told = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("doc_id is not null and label is not null").where(~held_out())
+    seen = told.agg(F.count("*"), F.sum((F.col("label") == 1).cast("long"))).first()
+    prior = ((seen[1] or 0) + 1) / (seen[0] + 2)
+    ids = own.select("doc_id").distinct()
+    first = lambda df: df.orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(sample)
+    chosen = first(ids.join(told.where("label = 1").select("doc_id").distinct(), "doc_id", "left_semi")).withColumn("trusted", F.lit(True)).unionByName(first(ids).withColumn("trusted", F.lit(False)))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = features(batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("trusted"), *(pa.array(x[:, i]) for i in range(len(FEATURES)))], ["doc_id", "trusted", *FEATURES])
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = 0.3, sample: int = 20_000) -> DataFrame:
+    table = own.join(F.broadcast(chosen), "doc_id").select("doc_id", "trusted", "text").mapInArrow(run, "doc_id long, trusted boolean, " + ", ".join(f"{k} double" for k in FEATURES))
+    rows = sorted(tuple(r) for r in table.collect())
+    of = lambda trusted: np.array([r[2:] for r in rows if r[1] == trusted], float).reshape(-1, len(FEATURES))
+    return fit(of(True), of(False), prior) if len(of(True)) else float(prior)
+
+
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, **options) -> DataFrame:
     """Per row: doc_id, held_out, score (0 to 1), predicted (1 if score >= ``threshold``).
 
     Held out are rows whose crc32(doc_id as text) mod 5 is 0; no label of theirs is read. Trusted positives are labelled
     rows of the rest with label 1; unlabelled text is all of the rest. The class prior is estimated as the smoothed
     share of positives among the labelled rows of the rest. The model is fitted on at most ``sample`` positives and
-    ``sample`` unlabelled rows, those whose hashed id comes first, and scores every row. Scores see texts only.
+    ``sample`` unlabelled rows (20,000 each), those whose hashed id comes first, and scores every row. Scores see texts only.
 
     Null texts count as empty; a row with null id is scored and not held out. Without positives all scores are the prior.
     """
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    table = staged(own.mapInArrow(_featured, "doc_id long, " + ", ".join(f"{k} double" for k in FEATURES)), "features")
-    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
-    rest = table.where(~held)
-    told = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("doc_id is not null and label is not null").where(~held)
-    seen = told.agg(F.count("*"), F.sum((F.col("label") == 1).cast("long"))).first()
-    prior = ((seen[1] or 0) + 1) / (seen[0] + 2)
-    first = lambda df: np.array([r[1:] for r in df.select(F.xxhash64("doc_id", F.lit(11)).alias("h"), *FEATURES).orderBy("h", *FEATURES).limit(sample).collect()], float).reshape(-1, len(FEATURES))
-    positive = first(rest.join(told.where("label = 1").select("doc_id").distinct(), "doc_id", "left_semi"))
-    score = scored(table, fit(positive, first(rest), prior)) if len(positive) else F.lit(prior)
-    return table.select("doc_id", held.alias("held_out"), score.alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    model = train(docs, labels, id_col, text_col, **options)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score(features(batch.column("text")), model))], ["doc_id", "score"])
+
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
+    return own.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep(docs: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = 0.3, **options) -> DataFrame:
+    """The rows of ``docs`` that ``classify`` predicts 1, with all their columns, in one pass without a join."""
+    model = train(docs, labels, text_col=text_col, **options)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(score(features(batch.column(text_col)), model) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
