@@ -2,9 +2,59 @@
 
 from __future__ import annotations
 
-STAGES: list = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folioframe.llm import decontaminate, minhash, packing, pii, quality
+from folioframe.llm.work import staged
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality.keep(docs, _table(spark, sf_dir, "labels"))
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return minhash.keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are contaminated by benchmark windows go."""
+    return decontaminate.clean(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind; n_chars follows the text."""
+    return pii.mask(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are packed into sequences of the permitted lengths."""
+    return packing.packed(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("pii", pii_stage),
+    ("packing", packing_stage),
+]
+
+#: SQL cannot express a fitted classifier; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared folder and read again by the next."""
+    docs = _table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
