@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, hostrules, lines, minhash, packing, pii, quality, tokens
+from . import chat, decontaminate, hostrules, lines, minhash, packing, pii, quality, repeats, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op6_pii_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.long_repeats(_table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("hit_spans")
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_host_quality_rules": op4_host_quality_rules,
     "op5_pu_quality_classifier": op5_pu_quality_classifier,
     "op6_pii_anchor_expansion": op6_pii_anchor_expansion,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_chat_snapshot_collapse": op10_chat_snapshot_collapse,
