@@ -25,7 +25,9 @@ from .kernels import U64, mix, span_hashes, text_slices
 from .work import by_groups, staged
 
 LENGTH, GRAM, CORE = 50, 8, 29
-SHARD_BYTES, BUCKET_BYTES, GROUP_BYTES = 32 << 20, 12 << 20, 8 << 20
+SHARD_BYTES, BUCKET_BYTES, GROUP_BYTES = 12 << 20, 6 << 20, 8 << 20
+#: Edges of a shard's copies are compared in so many parts, by core.
+PARTS = 4
 _SPREAD = LENGTH - GRAM + 1  # grams of a window
 _BACK = CORE - GRAM  # bytes of a left core before its gram
 LAST = (1 << 63) - 1  # the rank of a null id
@@ -113,6 +115,16 @@ def _rows(part: np.ndarray, columns: list[np.ndarray], names: list[str], first:
     return pa.RecordBatch.from_arrays([pa.array(values.astype(np.int32)), *blobs], [first, *names])
 
 
+def _short(ranks: np.ndarray) -> bytes:
+    """Ranks in four bytes each where all of them fit."""
+    fits = not len(ranks) or 0 <= ranks.min() and ranks.max() < 1 << 32
+    return bytes([int(fits)]) + ranks.astype(np.uint32 if fits else np.int64).tobytes()
+
+
+def _long(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint32 if data[0] else np.int64, offset=1).astype(np.int64)
+
+
 def _cores(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     for ranks, data, offsets in _groups(batches, GROUP_BYTES):
         shard, small, near, owner = [], [], [], []
@@ -126,7 +138,7 @@ def _cores(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Record
         if shard:
             out = _rows(np.concatenate(shard), [np.concatenate(small), np.concatenate(near), np.concatenate(owner)], ["cores", "near", "owner"], "shard")
             if out is not None:
-                yield out.append_column("ranks", pa.array([ranks.astype(np.int64).tobytes()] * out.num_rows, pa.binary()))
+                yield out.append_column("ranks", pa.array([_short(ranks)] * out.num_rows, pa.binary()))
 
 
 def _shared(group: pa.Table, buckets: int) -> pa.Table | None:
@@ -134,7 +146,7 @@ def _shared(group: pa.Table, buckets: int) -> pa.Table | None:
     shard = group["shard"][0].as_py()
     core = np.concatenate([np.frombuffer(x, np.uint32) for x in group["cores"].to_pylist()])
     near = np.concatenate([np.frombuffer(x, U64) for x in group["near"].to_pylist()])
-    rank = np.concatenate([np.frombuffer(r, np.int64)[np.frombuffer(x, np.uint16)] for x, r in zip(group["owner"].to_pylist(), group["ranks"].to_pylist(), strict=True)])
+    rank = np.concatenate([_long(r)[np.frombuffer(x, np.uint16)] for x, r in zip(group["owner"].to_pylist(), group["ranks"].to_pylist(), strict=True)])
     order = np.argsort(core, kind="stable")
     core, near, rank = core[order], near[order], rank[order]
     starts = np.flatnonzero(np.append(True, core[1:] != core[:-1]))
@@ -210,8 +222,9 @@ def _regions(group: pa.Table, shards: int) -> pa.Table | None:
                 parts.append((np.full(1, bucket), [uids[owner + first][gone].tobytes(), base[gone].tobytes(), (base + e - s)[gone].tobytes(), b"", b""], 1))
             if ask.any():
                 i = np.flatnonzero(ask)
-                for v in np.unique(shard[i]):
-                    j = i[shard[i] == v]
+                part = shard[i] * PARTS + (small[i] % PARTS).astype(np.int64)
+                for v in np.unique(part):
+                    j = i[part == v]
                     size = e[j] + LENGTH - s[j]
                     pick = np.repeat(s[j] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
                     parts.append((np.full(1, v), [uids[owner[j] + first].tobytes(), base[j].tobytes(), size.tobytes(), rank[j].tobytes(), d[pick].tobytes()], 0))
