@@ -54,7 +54,7 @@ def bundles(documents: DataFrame, entities: DataFrame, mentions: DataFrame, fact
     """
     pick = lambda df, col: df.where(F.col(col).isin(ids)) if ids is not None else df
     out = pick(documents, "id")
-    linked = pick(mentions, "document_id").join(entities.select(F.col("id").alias("entity_id"), "type", "name", "context"), "entity_id")
+    linked = pick(mentions, "document_id").select("entity_id", "document_id").join(entities.select(F.col("id").alias("entity_id"), "type", "name", "context"), "entity_id")
     children = {"entities": linked.select(F.col("document_id").alias("id"), F.struct("type", "name", "context").alias("x"))}
     for name, columns in BUNDLE.items():
         if name in facts:

@@ -21,7 +21,7 @@ EXPORTED: dict[str, dict[str, str]] = {
 
 def gathered(documents: DataFrame, entities: DataFrame, mentions: DataFrame, facts: dict[str, DataFrame]) -> DataFrame:
     """Documents with one array a group, as an extraction has them, in the order of ids; a group without rows is empty."""
-    linked = mentions.join(entities.select(F.col("id").alias("entity_id"), "name", "type", "context"), "entity_id")
+    linked = mentions.select("entity_id", "document_id").join(entities.select(F.col("id").alias("entity_id"), "name", "type", "context"), "entity_id")
     children = {"entities": linked.select(F.col("document_id").alias("id"), F.struct(F.col("entity_id").alias("k"), "name", "type", F.coalesce("context", F.lit("")).alias("context")).alias("x"))}
     for g, columns in EXPORTED.items():
         if g in facts:

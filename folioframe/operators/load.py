@@ -73,7 +73,7 @@ def fold_contexts(contexts: Column, base: Column) -> Column:
     """Contexts appended in order: the first fills an empty base; a later one joins by "; " unless its first 50 characters,
     where % and _ are wildcards, are in what is there."""
     def step(acc: Column, c: Column) -> Column:
-        present = acc.like(F.concat(F.lit("%"), F.left(c, F.lit(50)), F.lit("%")))
+        present = F.like(acc, F.concat(F.lit("%"), F.left(c, F.lit(50)), F.lit("%")))
         return F.when(F.coalesce(c, F.lit("")) == "", acc).when(F.coalesce(acc, F.lit("")) == "", c).when(present, acc).otherwise(F.concat(acc, F.lit("; "), c))
 
     return F.aggregate(contexts, base, step)

@@ -470,7 +470,7 @@ def _few(c: Corpus) -> DataFrame:
     pair = F.floor(F.col("id") / 6)
     long = F.element_at(F.array(*map(F.lit, ["William", "George", "James", "Charles"])), (pair % 4 + 1).cast("int"))
     short = F.element_at(F.array(*map(F.lit, ["Wm.", "Geo.", "Jas", "Chas."])), (pair % 4 + 1).cast("int"))
-    last = F.concat(F.element_at(F.array(*map(F.lit, ["Har", "Bel", "Tor", "Mac", "Win"])), (pair % 5 + 1).cast("int")), F.translate(F.substring(F.md5(pair.cast("string")), 1, 6), "0123456789", "ghiklmnopr"))
+    last = F.concat(F.element_at(F.array(*map(F.lit, ["Har", "Bel", "Tor", "Mac", "Win"])), (pair % 5 + 1).cast("int")), F.translate(F.substring(F.md5(pair.cast("string")), 1, 14), "0123456789", "ghiklmnopr"))
     return c["entities"].where("type = 'person'").select("id", F.when(F.col("id") % 2 == 0, F.concat(long, F.lit(" "), last)).otherwise(F.concat(short, F.lit(" "), last, F.lit("e"))).alias("name"), "type", "context")
 
 
