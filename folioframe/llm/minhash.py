@@ -227,7 +227,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     labels = components(by_groups(dealt, ["cluster", "p", "q"], confirm, "a long, b long"))
     copies = classes.where("copies > 1").select("key", "rep")
-    out = sketch.select("doc_id", "key", "n_shingles").join(copies, "key", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
+    out = sketch.select("doc_id", "key", "n_shingles").join(copies, "key", "left").withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")))
     out = out.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component_id", F.coalesce("label", "rep"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
