@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .work import arrow_map
+
 WIDTH = 13
 #: Lower-cases A-Z and turns every byte outside words into a space.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -99,7 +101,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
                         had[i] = sorted({*had[i], *items})
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(old, pa.binary()), pa.array(had, pa.list_(pa.string()))], names)
 
-        out = out.mapInArrow(run, schema)
+        out = arrow_map(out, run, schema)
     return out
 
 
@@ -113,7 +115,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ratio:
             fine = [not h or ratio * h < len(words(t.as_py())) for h, t in zip(hit, batch.column(n), strict=True)]
             yield batch.select(list(range(batch.num_columns - 2))).filter(pa.array(fine, pa.bool_()))
 
-    return hits(docs, benchmark, text_col=text_col, **options).mapInArrow(run, schema)
+    return arrow_map(hits(docs, benchmark, text_col=text_col, **options), run, schema)
 
 
 def spans(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
@@ -148,4 +150,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, hit_spans string"
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return hits(own, benchmark, **options).mapInArrow(lambda it: _judge(it, ratio), schema)
+    return arrow_map(hits(own, benchmark, **options), lambda it: _judge(it, ratio), schema)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .kernels import IS_WORD, U64, mix, runs, span_hashes, text_slices, window_hashes
-from .work import staged
+from .work import arrow_map, staged
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -80,7 +80,7 @@ def host_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     host = F.col(host) if isinstance(host, str) else host
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), host.cast("string").alias("host"), F.col(text_col).alias("text"))
-    base = staged(own.mapInArrow(_measured, "doc_id long, host string, " + ", ".join(f"{k} long" for k in COUNTERS)), "rules")
+    base = staged(arrow_map(own, _measured, "doc_id long, host string, " + ", ".join(f"{k} long" for k in COUNTERS)), "rules")
     base = base.withColumn("base_failed", (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words")))
     hosts = staged(base.where("host is not null").groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("f")), "hosts")
     n, f, squares, h = hosts.agg(F.sum("n"), F.sum("f"), F.sum(F.col("f") * F.col("f") / F.col("n")), F.count("*")).first()

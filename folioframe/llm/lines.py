@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .kernels import IS_WORD, LOWER, U64, mix, powers, runs, span_hashes, text_slices
-from .work import staged
+from .work import arrow_map, staged
 
 _LEADS = (np.arange(256) & 0xC0) != 0x80
 UNITS = "array<struct<no:int,start:int,end:int,n_words:int,a:long,b:long>>"
@@ -79,7 +79,7 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([batch.column(0), units(batch.column(1), paragraphs)], ["doc_id", "units"])
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = staged(own.mapInArrow(run, f"doc_id long, units {UNITS}"), "units")
+    found = staged(arrow_map(own, run, f"doc_id long, units {UNITS}"), "units")
     rank = F.coalesce("doc_id", F.lit((1 << 63) - 1))
     each = found.select("doc_id", F.explode("units").alias("u")).where(F.col("u.n_words") >= least_words).select("doc_id", rank.alias("rank"), "u.*")
     first = each.groupBy("a", "b").agg(F.min(F.struct("rank", "no")).alias("first"), F.count("*").alias("times")).where("times > 1").select("a", "b", F.col("first.rank").alias("first_rank"), F.col("first.no").alias("first_no"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .kernels import U64, mix, shingle_sets
-from .work import by_groups, staged
+from .work import arrow_map, by_groups, staged
 
 REGISTERS, ROWS = 240, 6
 BANDS = REGISTERS // ROWS
@@ -187,7 +187,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     count as one document. A row with null doc_id is kept, with a null component. Other columns are ignored.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = staged(own.mapInArrow(lambda it: _sketch(it, width), "doc_id long, key binary, n_shingles long, regs binary"), "sketch")
+    sketch = staged(arrow_map(own, lambda it: _sketch(it, width), "doc_id long, key binary, n_shingles long, regs binary"), "sketch")
     with_set = sketch.where("key is not null and doc_id is not null")
     classes = staged(with_set.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
     # A class of equal sets goes on as its smallest document.
@@ -195,8 +195,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = staged(reps, "reps")
     in_band = Window.partitionBy("band")
     bands = (
-        reps.select("rep", "regs")
-        .mapInArrow(_bands, "band long, rep long")
+        arrow_map(reps.select("rep", "regs"), _bands, "band long, rep long")
         .select("band", "rep", F.count("*").over(in_band).alias("n"), F.bit_xor(F.xxhash64("rep")).over(in_band).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).over(in_band).alias("y"))
         .where("n > 1")
     )
@@ -215,7 +214,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     clusters = staged(components(by_groups(members, ["band"], walk, "a long, b long")), "clusters")
     sizes = clusters.groupBy("label").agg(F.count("*").alias("size"))
     inside = clusters.join(sizes, "label").select(F.col("node").alias("doc_id"), F.col("label").alias("cluster"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    sets = own.where("doc_id is not null").join(inside, "doc_id").select("cluster", "blocks", "doc_id", "text").mapInArrow(lambda it: _sets(it, width), "cluster long, blocks int, doc_id long, shingles binary")
+    sets = arrow_map(own.where("doc_id is not null").join(inside, "doc_id").select("cluster", "blocks", "doc_id", "text"), lambda it: _sets(it, width), "cluster long, blocks int, doc_id long, shingles binary")
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = sets.withColumn("own", block).withColumn("other", other).select("cluster", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "doc_id", "shingles")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .kernels import IS_WORD, runs, text_slices
-from .work import by_groups, staged
+from .work import arrow_map, by_groups, staged
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 PIECES = "doc_id long, piece int, start long, length long"
@@ -92,7 +92,7 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     capacities = tuple(sorted(set(capacities)))
     longest = capacities[-1] - separator
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    pieces = staged(own.mapInArrow(lambda it: _pieces(it, longest), PIECES), "pieces")
+    pieces = staged(arrow_map(own, lambda it: _pieces(it, longest), PIECES), "pieces")
     shards = max(1, -(-pieces.count() // shard_rows))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(shards)).cast("int"))
 

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .work import arrow_map
+
 #: Kinds in the order that breaks ties between spans with one start.
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url", "ipv6", "iban", "account")
@@ -178,7 +180,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spans; null and repeated ids stay rows; other columns are ignored.
     """
     schema = "doc_id long, " + ", ".join(f"n_{k} long" for k in BASE) + ", base_sha256 string, spans string"
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_found, schema)
+    return arrow_map(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), _found, schema)
 
 
 def mask(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -191,4 +193,4 @@ def mask(docs: DataFrame, text_col: str = "text") -> DataFrame:
             texts = [None if (t := x.as_py()) is None else masked(t, find(t)) for x in batch.column(n)]
             yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field(n).type) if i == n else batch.column(i) for i in range(batch.num_columns)], schema=batch.schema)
 
-    return docs.mapInArrow(run, schema)
+    return arrow_map(docs, run, schema)

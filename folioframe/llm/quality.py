@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .hostrules import _per_row, measure
 from .kernels import IS_WORD, LOWER, U64, mix, runs, span_hashes, text_slices
+from .work import arrow_map
 
 FEATURES = ["words", "word_len", "symbols", "root_symbols", "upper", "bangs", "bars", "digits", "twins", "distinct", "repeats", "dup_lines", "stops", "odd_ends", "capitals", "wide", "line_words"]
 _FLAGS = {
@@ -121,7 +122,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             x = features(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("trusted"), *(pa.array(x[:, i]) for i in range(len(FEATURES)))], ["doc_id", "trusted", *FEATURES])
 
-    table = own.join(F.broadcast(chosen), "doc_id").select("doc_id", "trusted", "text").mapInArrow(run, "doc_id long, trusted boolean, " + ", ".join(f"{k} double" for k in FEATURES))
+    table = arrow_map(own.join(F.broadcast(chosen), "doc_id").select("doc_id", "trusted", "text"), run, "doc_id long, trusted boolean, " + ", ".join(f"{k} double" for k in FEATURES))
     rows = sorted(tuple(r) for r in table.collect())
     of = lambda trusted: np.array([r[2:] for r in rows if r[1] == trusted], float).reshape(-1, len(FEATURES))
     return fit(of(True), of(False), prior) if len(of(True)) else float(prior)
@@ -143,7 +144,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score(features(batch.column("text")), model))], ["doc_id", "score"])
 
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
+    own = arrow_map(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, "doc_id long, score double")
     return own.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -155,4 +156,4 @@ def keep(docs: DataFrame, labels: DataFrame, text_col: str = "text", threshold:
         for batch in batches:
             yield batch.filter(pa.array(score(features(batch.column(text_col)), model) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return arrow_map(docs, run, docs.schema)

@@ -16,6 +16,8 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .work import arrow_map
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The published pre-token pattern of the vocabulary (a fixed value).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -180,7 +182,7 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
             rest = batch.schema.names[2:]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(totals, pa.int64()), pa.array(trees, pa.binary()), *(batch.column(k) for k in rest)], ["doc_id", "text", "n_tokens", "tree", *rest])
 
-    return chosen.mapInArrow(run, ", ".join(["doc_id long", "text string", "n_tokens long", "tree binary", *fields]))
+    return arrow_map(chosen, run, ", ".join(["doc_id long", "text string", "n_tokens long", "tree binary", *fields]))
 
 
 def recount(indexed: DataFrame, edits_col: str = "edits", vocabulary: str = VOCABULARY, keep_tree: bool = False) -> DataFrame:
@@ -207,7 +209,7 @@ def recount(indexed: DataFrame, edits_col: str = "edits", vocabulary: str = VOCA
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names)
 
     names = ["doc_id", "n_before", "n_tokens", "n_chars", "n_pieces", "n_encoded"] + ["text", "tree"] * keep_tree
-    return own.mapInArrow(run, "doc_id long, n_before long, n_tokens long, n_chars long, n_pieces long, n_encoded long" + ", text string, tree binary" * keep_tree)
+    return arrow_map(own, run, "doc_id long, n_before long, n_tokens long, n_chars long, n_pieces long, n_encoded long" + ", text string, tree binary" * keep_tree)
 
 
 def sample_edits(text: Column, key: Column) -> Column:

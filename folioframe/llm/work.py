@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+BATCH_ROWS = 1_000
 _own: str | None = None
 
 
@@ -42,6 +46,26 @@ def discard(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def tidy() -> None:
+    """Give freed memory back: a worker stays between tasks, and what it keeps is missing elsewhere."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` in batches of BATCH_ROWS rows, since texts are long, by workers that tidy up after each task."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            tidy()
+
+    return df.mapInArrow(run, schema)
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """The groups of a partition that is sorted by ``keys``, whole even where a batch ends inside one."""
     held: list[pa.Table] = []
@@ -75,4 +99,4 @@ def by_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Table
                 yield from out.to_batches()
 
     dealt = df.repartition(*([partitions] if partitions else []), *keys)
-    return dealt.sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return arrow_map(dealt.sortWithinPartitions(*keys), run, schema)
