@@ -3,8 +3,8 @@
 A byte goes when a 50-byte string over it also starts in a document with a smaller id. Nothing here is sampled: every
 50-byte window has one minimiser (the least-hashed 8-byte gram in it), and windows that are equal have equal minimisers
 and equal 29-byte cores on one side of it. So cores that only one document has need no further look; cores whose
-surrounding windows are equal everywhere are decided by that; and for the rest, at the edges of copies, the windows'
-own bytes are compared in an index of that core's shard.
+surrounding windows are equal everywhere are decided by that; and the rest, at the edges of copies, goes into
+run-compressed indexes, through which the edges' texts are streamed to find the least document of each window.
 
 All shuffles move packed blobs, a row per slice and shard. Shards and buckets hold a fixed number of bytes, so their
 number grows with the input and a task's memory does not.
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .kernels import U64, mix, span_hashes, text_slices
+from .runindex import RunIndex
 from .work import arrow_map, by_groups, staged
 
 LENGTH, GRAM, CORE = 50, 8, 29
@@ -206,7 +207,8 @@ def _regions(group: pa.Table, shards: int) -> pa.Table | None:
     kinds = group["kind"].to_numpy()
     flags = [np.unique(np.concatenate([np.frombuffer(x.as_py(), U64) for x in group["data"].filter(pa.array(kinds == k))] or [np.zeros(0, U64)])) for k in (0, 1)]
     bucket = group["bucket"][0].as_py()
-    parts = []
+    gone_runs: list[list[np.ndarray]] = []
+    asked: list[list[np.ndarray]] = []
 
     def member(x: np.ndarray, among: np.ndarray) -> np.ndarray:
         if not len(among):
@@ -224,50 +226,74 @@ def _regions(group: pa.Table, shards: int) -> pa.Table | None:
             gone, ask = member(flag, flags[0]), member(flag, flags[1])
             base = s - o[owner]
             if gone.any():
-                parts.append((np.full(1, bucket), [uids[owner + first][gone].tobytes(), base[gone].tobytes(), (base + e - s)[gone].tobytes(), b"", b""], 1))
+                gone_runs.append([uids[owner + first][gone], base[gone], (base + e - s)[gone]])
             if ask.any():
                 i = np.flatnonzero(ask)
-                part = shard[i] * PARTS + (small[i] % PARTS).astype(np.int64)
-                for v in np.unique(part):
-                    j = i[part == v]
-                    size = e[j] + LENGTH - s[j]
-                    pick = np.repeat(s[j] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
-                    parts.append((np.full(1, v), [uids[owner[j] + first].tobytes(), base[j].tobytes(), size.tobytes(), rank[j].tobytes(), d[pick].tobytes()], 0))
-    if not parts:
+                size = e[i] + LENGTH - s[i]
+                asked.append([shard[i] * PARTS + (small[i] % PARTS).astype(np.int64), uids[owner[i] + first], base[i], size, rank[i], d[_spread(s[i], size)]])
+    rows: list[tuple] = []
+    if gone_runs:
+        rows.append((bucket, 1, *(np.concatenate(c).tobytes() for c in zip(*gone_runs, strict=True)), b"", b""))
+    if asked:
+        part, uid, base, size, rank, data = (np.concatenate(c) for c in zip(*asked, strict=True))
+        order = np.argsort(part, kind="stable")
+        starts = np.cumsum(size) - size
+        values, cuts = np.unique(part[order], return_index=True)
+        for v, i in zip(values.tolist(), np.split(order, cuts[1:]), strict=True):
+            rows.append((v, 0, uid[i].tobytes(), base[i].tobytes(), size[i].tobytes(), rank[i].tobytes(), data[_spread(starts[i], size[i])].tobytes()))
+    if not rows:
         return None
-    columns = list(zip(*(p[1] for p in parts), strict=True))
-    return pa.table([pa.array([int(p[0][0]) for p in parts], pa.int32()), pa.array([p[2] for p in parts], pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], ["part", "done", "uids", "starts", "ends", "ranks", "bytes"])
+    kinds_of = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds_of, strict=True)], ["part", "done", "uids", "starts", "ends", "ranks", "bytes"])
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, … of each run, one run after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
 def _compared(group: pa.Table, buckets: int) -> pa.Table | None:
-    """Windows of a shard's edges that a document with a smaller rank also has, as runs by the owner's bucket."""
+    """Windows of a part's edges that a document with a smaller rank also has, as runs by the owner's bucket.
+
+    Equal regions are one text of the index, with the least rank of those that have it.
+    """
     get = lambda name, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in group[name]])
     uids, base, size, rank, data = get("uids", U64), get("starts", np.int64), get("ends", np.int64), get("ranks", np.int64), get("bytes", np.uint8)
-    count = size - LENGTH + 1
-    region = np.repeat(np.arange(len(size)), count)
-    inside = np.arange(len(region)) - np.repeat(np.cumsum(count) - count, count)
-    at = np.repeat(np.cumsum(size) - size, count) + inside
-    h = np.empty(len(at), U64)
-    for a in range(0, len(at), 1 << 20):  # hashes are position-free within a slice, and slices overlap as needed
-        b = min(len(at), a + (1 << 20))
-        lo = int(at[a])
-        h[a:b] = span_hashes(data[lo : int(at[b - 1]) + LENGTH], at[a:b] - lo, at[a:b] - lo + LENGTH)
-    order = np.argsort(h, kind="stable")
-    starts = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1]))
-    least = np.minimum.reduceat(rank[region][order], starts)
-    gone = np.zeros(len(h), bool)
-    gone[order] = rank[region][order] > np.repeat(least, np.diff(np.append(starts, len(h))))
-    i = np.flatnonzero(gone)
+    first = np.cumsum(size) - size
+    _, chosen, text = np.unique(_exact_keys(data, first, size), return_index=True, return_inverse=True)
+    lowest = np.full(len(chosen), LAST)
+    np.minimum.at(lowest, text, rank)
+    count = size[chosen]
+    index = RunIndex(data[_spread(first[chosen], count)], count, LENGTH)
+    of, offset, least = index.stream(lowest)
+    order = np.lexsort((offset, of))
+    windows = count - LENGTH + 1
+    place = np.cumsum(windows) - windows
+    least = least[order]
+    per = windows[text]
+    region = np.repeat(np.arange(len(size)), per)
+    inside = np.arange(len(region)) - np.repeat(np.cumsum(per) - per, per)
+    i = np.flatnonzero(rank[region] > least[place[text[region]] + inside])
     if not len(i):
         return None
     r = region[i]
-    place = base[r] + inside[i]
-    new = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (place[1:] != place[:-1] + 1)))
+    at = base[r] + inside[i]
+    new = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (at[1:] != at[:-1] + 1)))
     end = np.append(new[1:], len(i)) - 1
-    out = _rows(_bucket(rank[r[new]], buckets), [uids[r[new]], place[new], place[end]], ["uids", "starts", "ends"], "bucket")
+    out = _rows(_bucket(rank[r[new]], buckets), [uids[r[new]], at[new], at[end]], ["uids", "starts", "ends"], "bucket")
     return pa.Table.from_batches([out])
 
 
+def _exact_keys(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Regions as fixed-width byte strings with their lengths, so that equality is of bytes, not of hashes."""
+    width = int(size.max(initial=0))
+    table = np.zeros((len(size), width + 2), np.uint8)
+    owner = np.repeat(np.arange(len(size)), size)
+    table[owner, np.arange(len(data)) - np.repeat(first, size)] = data
+    table[:, width:] = size.astype(">u2")[:, None].view(np.uint8).reshape(-1, 2)
+    return table.view(f"V{width + 2}")[:, 0]
+
+
 def _finish(group: pa.Table) -> pa.Table | None:
     """Per row of a bucket what is removed and the digest of what stays."""
     kinds = group["kind"].to_numpy()
