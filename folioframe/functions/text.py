@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -20,6 +21,11 @@ STOP_WORDS = [
 ]
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
 def query_terms(query: str) -> list[str]:
     """Words of over two characters; where there is none, the query itself."""
     return [t for t in query.split() if len(t) > 2] or [query.strip()]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stem import SEARCH_STOP_WORDS, cover_density, stem, stems
-from ..functions.text import any_ilike, content_terms, query_terms, strip, term_hits
+from ..functions.text import any_ilike, bound, content_terms, query_terms, strip, term_hits
 
 #: Lower-case name parts of finding aids and reference lists, which ranking leaves out (fixed values).
 REFERENCE_NAMES = ["finding aid", "archives west", "haley papers", "mansfield papers"]
@@ -103,7 +103,7 @@ def passages(text: Column, terms: list[str], context_chars: int = 500, most: int
         unique = F.aggregate(keyed, empty, lambda acc, x: F.when(F.exists(acc, lambda y: y["key"] == x["key"]), acc).otherwise(F.concat(acc, F.array(x))))
         return F.transform(F.slice(unique, 1, most), lambda x: x["block"])
 
-    return F.get(F.transform(F.array(parts), pick), 0)
+    return bound(parts, pick)
 
 
 def _entity_counts(mentions: DataFrame) -> DataFrame:
