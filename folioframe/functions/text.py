@@ -88,7 +88,7 @@ def tokens_by_chars(text: Column) -> Column:
 
 
 def tokens_by_four(text: Column) -> Column:
-    return F.expr("1") * F.floor(F.length(text) / F.lit(4))
+    return F.floor(F.length(text) / F.lit(4))
 
 
 def tokens_by_words(text: Column) -> Column:
