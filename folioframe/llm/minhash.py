@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .kernels import U64, mix, shingle_sets
-from .work import arrow_map, by_groups, staged
+from .work import arrow_map, by_groups, discard, staged
 
 REGISTERS, ROWS = 240, 6
 BANDS = REGISTERS // ROWS
@@ -212,6 +212,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pa.table({"a": ids[[x for x, _ in found]], "b": ids[[y for _, y in found]]}) if found else None
 
     clusters = staged(components(by_groups(members, ["band"], walk, "a long, b long")), "clusters")
+    discard(reps)
     sizes = clusters.groupBy("label").agg(F.count("*").alias("size"))
     inside = clusters.join(sizes, "label").select(F.col("node").alias("doc_id"), F.col("label").alias("cluster"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     sets = arrow_map(own.where("doc_id is not null").join(inside, "doc_id").select("cluster", "blocks", "doc_id", "text"), lambda it: _sets(it, width), "cluster long, blocks int, doc_id long, shingles binary")

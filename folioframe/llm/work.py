@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -12,19 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-BATCH_ROWS = 1_000
-_own: str | None = None
-
+from ..shared import shared_dir
+from ..shipping import ship
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a local folder of ours only where that is unset, as in tests."""
-    global _own
-    there = spark.conf.get("spark.checkpoint.dir", None)
-    if there:
-        return there
-    if _own is None:
-        _own = tempfile.mkdtemp(prefix="folioframe-")
-    return _own
+BATCH_ROWS = 1_000
+_written: list[str] = []
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -34,16 +25,25 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._folioframe_path = path
+    _written.append(path)
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a staged table that no later step reads."""
-    path = getattr(df, "_folioframe_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+    if path := getattr(df, "_folioframe_path", None):
+        _delete(df.sparkSession, path)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete all tables staged so far. Results that still read them must have been written before."""
+    while _written:
+        _delete(spark, _written.pop())
 
 
 def tidy() -> None:
@@ -55,7 +55,7 @@ def tidy() -> None:
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` in batches of BATCH_ROWS rows, since texts are long, by workers that tidy up after each task."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    ship(df.sparkSession).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
