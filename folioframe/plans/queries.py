@@ -551,6 +551,11 @@ def linked_citations(spark, c):
     return citations.linked(_answers(spark, c), c["documents"], "https://archive.example").select("id", F.length("text").alias("n_chars"))
 
 
+@query()
+def linked_file_name_citations(spark, c):
+    return citations.linked_file_names(_answers(spark, c), c["documents"], "https://archive.example").select("id", F.length("text").alias("n_chars"))
+
+
 def _answers(spark, c):
     return spark.sql(f"SELECT o_orderkey AS id, {_ANSWER} AS text FROM {{orders}}", orders=spark.read.parquet(f"{c.sf_dir}/orders.parquet"))
 

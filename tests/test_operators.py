@@ -330,3 +330,25 @@ def test_streaming(spark, tmp_path):
 
 def test_schema_groups():
     assert [f.name for f in extraction_struct().fields][:3] == ["entities", "events", "financial_transactions"]
+
+
+def test_linked_file_names(spark):
+    docs = table(spark, "documents", {"id": 1, "file_name": "Lee.pdf"}, {"id": 2, "file_name": "Lee, Ann.pdf"})
+    ans = spark.createDataFrame([(1, "(Lee, Ann, 1909) (*Lee.pdf*, 1910) (none.pdf)"), (2, None)], "id long, text string")
+    got = {r.id: r.text for r in citations.linked_file_names(ans, docs, "u").collect()}
+    assert got == {1: "([Lee, Ann](u/documents/2), 1909) (*[Lee.pdf](u/documents/1)*, 1910) (none.pdf)", 2: None}
+
+
+def test_comparison(spark):
+    from folioframe.plans import comparison
+
+    prompts = spark.createDataFrame([(1, "q1", "p one"), (2, "q2", "p two")], "id long, question string, prompt string")
+    make = lambda reply: lambda: lambda prompt: reply
+    choose = ingest.router({"a": make('{"events":[{"type":"x"}]}'), "b": make("no | json")})
+    runs = comparison.run_matrix(prompts, ["a-1", "b-1"], choose)
+    got = [tuple(r) for r in comparison.extraction_summary(runs, ["events"]).collect()]
+    assert got == [("a-1", 2, 2, 2, 2), ("b-1", 2, 0, 0, 0)]
+    answers = comparison.answer_summary(runs)
+    assert answers.count() == 4 and answers.where("model = 'b-1'").first().word_count == 3
+    text = comparison.report("Runs", ["two prompts"], runs.select("model", "question", "reply"), ["question", "model"])
+    assert text.splitlines()[4:8] == ["| model | question | reply |", "|---|---|---|", '| a-1 | q1 | {"events":[{"type":"x"}]} |', "| b-1 | q1 | no \\| json |"]
