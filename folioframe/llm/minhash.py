@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .kernels import U64, mix, shingle_sets
-from .work import arrow_map, by_groups, discard, staged
+from .work import arrow_map, by_groups, discard, small, staged
 
 REGISTERS, ROWS = 240, 6
 BANDS = REGISTERS // ROWS
@@ -214,8 +214,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     clusters = staged(components(by_groups(members, ["band"], walk, "a long, b long")), "clusters")
     discard(reps)
     sizes = clusters.groupBy("label").agg(F.count("*").alias("size"))
-    inside = clusters.join(sizes, "label").select(F.col("node").alias("doc_id"), F.col("label").alias("cluster"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    sets = arrow_map(own.where("doc_id is not null").join(inside, "doc_id").select("cluster", "blocks", "doc_id", "text"), lambda it: _sets(it, width), "cluster long, blocks int, doc_id long, shingles binary")
+    inside = staged(clusters.join(sizes, "label").select(F.col("node").alias("doc_id"), F.col("label").alias("cluster"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "inside")
+    sets = arrow_map(own.where("doc_id is not null").join(small(inside), "doc_id").select("cluster", "blocks", "doc_id", "text"), lambda it: _sets(it, width), "cluster long, blocks int, doc_id long, shingles binary")
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = sets.withColumn("own", block).withColumn("other", other).select("cluster", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "doc_id", "shingles")
@@ -235,11 +235,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` less near-duplicates: of each component its smallest id stays, once; rows with null id stay.
 
-    What goes is joined away, so nothing is shuffled where it is small. Only rows whose id is repeated are ordered.
+    What goes is joined away: by a broadcast of the ids while their number is under a checked bound, so that texts
+    aren't shuffled, else by a shuffle. Only rows whose id is repeated are ordered.
     """
     found = staged(near_duplicates(docs, id_col, **options), "verdicts")
-    gone = found.where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
-    out = docs.join(gone, id_col, "left_anti")
+    gone = staged(found.where("not kept").select(F.col("doc_id").alias(id_col)).distinct(), "gone")
+    out = docs.join(small(gone), id_col, "left_anti")
     again = staged(found.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias(id_col)).count().where("count > 1").select(id_col), "again")
     if not again.isEmpty():
         order = Window.partitionBy(id_col).orderBy(F.xxhash64(*docs.columns))

@@ -9,12 +9,15 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..shared import shared_dir
 from ..shipping import ship
 
 BATCH_ROWS = 1_000
+#: Rows of two or three numbers that may be broadcast: some 100 MB in memory.
+BROADCAST_ROWS = 2_000_000
 _written: list[str] = []
 
 
@@ -46,6 +49,14 @@ def sweep(spark: SparkSession) -> None:
         _delete(spark, _written.pop())
 
 
+def small(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A table of ids, to be broadcast where it has at most ``most_rows`` rows; beyond that Spark joins it by shuffle.
+
+    Give a staged table: it is counted here.
+    """
+    return F.broadcast(df) if df.count() <= most_rows else df
+
+
 def tidy() -> None:
     """Give freed memory back: a worker stays between tasks, and what it keeps is missing elsewhere."""
     pa.default_memory_pool().release_unused()
