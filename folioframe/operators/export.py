@@ -72,9 +72,10 @@ def upper_median(rows: DataFrame, column: str) -> DataFrame:
     Values are counted, and the counts' running sums find the element, so no array of all values is built.
     """
     counts = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("c"))
-    total = counts.agg(F.sum("c").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), (F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("mean"))
+    n, least, most, mean = counts.agg(F.sum("c"), F.min("v"), F.max("v"), F.sum(F.col("v") * F.col("c")) / F.sum("c")).first()
     running = counts.withColumn("up", F.sum("c").over(Window.orderBy("v")))
-    return running.crossJoin(F.broadcast(total)).where(F.col("up") > F.floor(F.col("n") / 2)).agg(F.first("n").alias("n"), F.first("least").alias("least"), F.first("most").alias("most"), F.first("mean").alias("mean"), F.min("v").alias("median"))
+    middle = running.where(F.col("up") > (n or 0) // 2).agg(F.min("v").alias("median"))
+    return middle.select(F.lit(n).cast("long").alias("n"), F.lit(least).alias("least"), F.lit(most).alias("most"), F.lit(mean).alias("mean"), "median")
 
 
 def batches(rows: DataFrame, size: int = 25, key: str = "id") -> DataFrame:

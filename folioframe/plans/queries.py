@@ -113,7 +113,8 @@ def entity_type_counts(spark, c):
 
 @query(f"{ctes('documents', 'texts')} SELECT (SELECT count(DISTINCT collection) + max(CASE WHEN collection IS NULL THEN 1 ELSE 0 END) FROM c_documents) AS n_collections, (SELECT count(*) FROM c_texts WHERE full_text <> '') AS n_with_text")
 def collection_stats(spark, c):
-    return documents.distinct_collections(c["documents"]).crossJoin(F.broadcast(documents.texts_present(c["texts"])))
+    n = documents.texts_present(c["texts"]).first()[0]
+    return documents.distinct_collections(c["documents"]).withColumn("n_with_text", F.lit(n))
 
 
 @query(f"{ctes('documents')} SELECT id, file_name, display_title, summary, collection FROM c_documents WHERE summary IS NOT NULL")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -84,11 +86,9 @@ def write_replies(rows: DataFrame, path: str, quarantine: str) -> None:
 
 def dump_context(path: str, **parts: DataFrame) -> None:
     """One JSON object with an array a part, as context for a run elsewhere."""
-    spark = next(iter(parts.values())).sparkSession
-    whole = spark.range(1).select(F.lit(1).alias("k"))
-    for name, df in parts.items():
-        whole = whole.crossJoin(F.broadcast(df.agg(F.collect_list(F.struct(*df.columns)).alias(name))))
-    whole.drop("k").select(F.to_json(F.struct(*parts)).alias("value")).write.mode("overwrite").text(path)
+    texts = [df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("t")).select(F.concat(F.lit(f'"{name}":'), F.col("t")).alias("t")) for name, df in parts.items()]
+    all_texts = reduce(DataFrame.unionByName, texts)
+    all_texts.agg(F.concat(F.lit("{"), F.array_join(F.collect_list("t"), ","), F.lit("}")).alias("value")).write.mode("overwrite").text(path)
 
 
 def load_context(spark: SparkSession, path: str) -> DataFrame:
