@@ -41,13 +41,14 @@ _ENTITY_TERMS = ["bolt", "BUILDING", "000000012"]
 
 @query(f"""{ctes('documents', 'entities', 'mentions')}
 SELECT e.id, e.name, e.type, e.context, count(DISTINCT d.document_id) AS doc_count,
-  coalesce(list_sort(list_distinct(list(coalesce(g.display_title, g.file_name)) FILTER (WHERE g.id IS NOT NULL))), []) AS source_files,
+  array_to_string(coalesce(list_sort(list_distinct(list(coalesce(g.display_title, g.file_name)) FILTER (WHERE g.id IS NOT NULL))), []), '; ') AS source_files,
   (CASE WHEN {_ilike(['e.name'], _ENTITY_TERMS)} THEN CASE WHEN e.type = 'person' THEN 1000 ELSE 500 END ELSE 0 END) + count(DISTINCT d.document_id) AS relevance_score
 FROM c_entities e LEFT JOIN c_mentions d ON d.entity_id = e.id LEFT JOIN c_documents g ON g.id = d.document_id
 WHERE {_ilike(['e.name', 'e.context'], _ENTITY_TERMS)}
 GROUP BY e.id, e.name, e.type, e.context ORDER BY relevance_score DESC, e.name, e.id LIMIT 200""")
 def search_entities(spark, c):
-    return search.search_entities(c["entities"], c["mentions"], c["documents"], " ".join(_ENTITY_TERMS) + " of")
+    found = search.search_entities(c["entities"], c["mentions"], c["documents"], " ".join(_ENTITY_TERMS) + " of")
+    return found.withColumn("source_files", F.array_join("source_files", "; "))
 
 
 _FACT_QUERIES = {
@@ -178,9 +179,9 @@ _TERMS = ["the", "Tion", "er"]
 
 
 @query(f"""{ctes('texts')} SELECT id, {', '.join(f"CAST((length(lower(full_text)) - length(replace(lower(full_text), '{t.lower()}', ''))) / {len(t)} AS BIGINT) AS n_{t.lower()}" for t in _TERMS)},
-  list_sort(list_distinct(regexp_extract_all(left(full_text, 5000), '\\b(19|20)\\d\\d\\b', 1))) AS centuries FROM c_texts""")
+  array_to_string(list_sort(list_distinct(regexp_extract_all(left(full_text, 5000), '\\b(19|20)\\d\\d\\b', 1))), ',') AS centuries FROM c_texts""")
 def term_hits(spark, c):
-    return c["texts"].select("id", *[text.occurrences(F.col("full_text"), t).alias(f"n_{t.lower()}") for t in _TERMS], text.centuries(F.col("full_text")).alias("centuries"))
+    return c["texts"].select("id", *[text.occurrences(F.col("full_text"), t).alias(f"n_{t.lower()}") for t in _TERMS], F.array_join(text.centuries(F.col("full_text")), ",").alias("centuries"))
 
 
 @query(f"""{ctes('texts')}, parts AS (
