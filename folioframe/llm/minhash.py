@@ -181,7 +181,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Documents link when their sets of ``width``-word shingles have 100 * intersection >= ``percent`` * union. ``margin``
     is what an estimate may fall short of that and still be confirmed on full sets; it is over five standard
-    deviations. A pair at the very threshold shares no band with a chance below 1e-8.
+    deviations. A pair at the very threshold shares no band with a chance of about 5e-7, and falls below the margin with 1e-7.
 
     Null and empty texts, and texts without words, have no shingles and link with nothing. Rows that share a doc_id
     count as one document. A row with null doc_id is kept, with a null component. Other columns are ignored.
