@@ -161,6 +161,18 @@ def page_marked_texts(spark, c):
     return chunking.page_marked(pages).select("id", F.md5("full_text").alias("digest"), F.length("full_text").alias("n_chars"))
 
 
+_PAGES = "CAST(greatest(1, ceil(length(full_text) / 1000.0)) AS INT)"
+
+
+@query(f"""{ctes('texts')}, m AS (SELECT id, string_agg('\n--- Page ' || CAST(p AS VARCHAR) || ' ---\n' || coalesce(substring(full_text, (p - 1) * 1000 + 1, 1000), ''), '' ORDER BY p) AS t
+FROM (SELECT id, full_text, unnest(range(1, {_PAGES} + 1)) AS p FROM c_texts) GROUP BY id) SELECT id, md5(t) AS digest, CAST(length(t) AS INT) AS n_chars FROM m""")
+def page_marked_texts_whole(spark, c):
+    """As many pages as the text fills; page_marked_texts has three, as its SQL has."""
+    cut = F.regexp_extract_all("full_text", F.lit("(?s).{1,1000}"), F.lit(0))
+    pages = c["texts"].select("id", F.posexplode(F.when(F.length("full_text") > 0, cut).otherwise(F.array(F.lit(""))))).select("id", (F.col("pos") + 1).alias("page"), F.col("col").alias("text"))
+    return chunking.page_marked(pages).select("id", F.md5("full_text").alias("digest"), F.length("full_text").alias("n_chars"))
+
+
 @query(f"""{ctes('texts')} SELECT id, coalesce(nullif(display_title, ''), file_name) AS label,
   CASE WHEN regexp_extract(file_name, '\\b(1[89]\\d\\d(?:\\s*[-–]\\s*\\d{{2,4}})?)\\b', 1) <> '' THEN 'c. ' || regexp_extract(file_name, '\\b(1[89]\\d\\d(?:\\s*[-–]\\s*\\d{{2,4}})?)\\b', 1) ELSE '' END AS doc_date FROM c_texts""")
 def doc_dates(spark, c):
