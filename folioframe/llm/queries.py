@@ -52,6 +52,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.repeated_units(_table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup_all_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short units count as well; op9_line_dedup and its SQL leave those of fewer than five words."""
+    return lines.repeated_units(_table(spark, sf_dir, "documents"), least_words=1)
+
+
 def op10_chat_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat(_table(spark, sf_dir, "conversations"))
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_line_dedup": op9_line_dedup,
+    "op9_line_dedup_all_units": op9_line_dedup_all_units,
     "op10_chat_snapshot_collapse": op10_chat_snapshot_collapse,
 }
 
@@ -144,3 +150,4 @@ inner_prefixes AS (SELECT DISTINCT l[1:i] AS p FROM (SELECT l, unnest(range(1, l
 SELECT k.conv_id, CAST(len(k.l) AS BIGINT) AS n_turns, k.n_copies, c.rendered AS text
 FROM keys k JOIN chats c ON c.conv_id = k.conv_id WHERE NOT EXISTS (SELECT 1 FROM inner_prefixes WHERE p = k.l)""",
 }
+ORACLE_SQL["op9_line_dedup_all_units"] = ORACLE_SQL["op9_line_dedup"].replace("len(w) >= 5", "len(w) >= 1")

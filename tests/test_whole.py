@@ -2,8 +2,7 @@
 
 import hashlib
 
-from compare import oracle, rows
-
+from folioframe.llm import queries as llm_queries
 from folioframe.plans import queries
 
 
@@ -15,3 +14,10 @@ def test_pages_hold_the_whole_text(spark):
         t = t or ""
         want = "".join(f"\n--- Page {p + 1} ---\n{t[p * 1000 : p * 1000 + 1000]}" for p in range(max(1, -(-len(t) // 1000))))
         assert got[i] == (hashlib.md5(want.encode()).hexdigest(), len(want))
+
+
+def test_short_lines_count(spark, tmp_path):
+    texts = ["All rights reserved.\nhttps://a.example/x\nown", "all  RIGHTS reserved.\nhttps://a.example/x\n東京都\n東京都", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_units, r.n_removed, r.removed) for r in llm_queries.op9_line_dedup_all_units(spark, str(tmp_path)).collect()}
+    assert got == {0: (3, 0, ""), 1: (4, 3, "0:21,22:41,46:49"), 2: (0, 0, "")}
