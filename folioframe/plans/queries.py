@@ -57,8 +57,8 @@ _FACT_QUERIES = {
 }
 
 
-def _fact_search(name: str, asked: str) -> None:
-    how = search.SEARCHES[name]
+def _fact_search(name: str, asked: str, whole: str = "") -> None:
+    how, name = search.SEARCHES[name], name + whole
     order = ", ".join(f"f.{c} ASC NULLS LAST" for c in how.order)
     sql = f"""{ctes('documents', name)}
 SELECT f.id, {', '.join('f.' + c for c in how.returned)}, d.file_name, d.display_title
@@ -74,6 +74,7 @@ ORDER BY {order}, f.id LIMIT {how.limit}"""
 
 for _name, _asked in _FACT_QUERIES.items():
     _fact_search(_name, _asked)
+_fact_search("correspondence", _FACT_QUERIES["correspondence"], "_whole")
 
 
 @query(f"""{ctes('entities', 'mentions')}
@@ -538,6 +539,7 @@ def corpus_context_lines(spark, c):
 
 @query()
 def discovery_evidence(spark, c):
+    c.tables["correspondence"] = c["correspondence_whole"]
     return discovery.evidence_counts(discovery.discover(c, "bolt 000000012"))
 
 

@@ -4,6 +4,7 @@ import hashlib
 
 from folioframe.llm import queries as llm_queries
 from folioframe.plans import queries
+from folioframe.sources.corpus_view import Corpus
 
 
 def test_pages_hold_the_whole_text(spark):
@@ -21,3 +22,20 @@ def test_short_lines_count(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: (r.n_units, r.n_removed, r.removed) for r in llm_queries.op9_line_dedup_all_units(spark, str(tmp_path)).collect()}
     assert got == {0: (3, 0, ""), 1: (4, 3, "0:21,22:41,46:49"), 2: (0, 0, "")}
+
+
+def test_letters_are_searched_whole(spark, sf_dir, tmp_path, monkeypatch):
+    texts = ["z" * 48 + "bolt", "z" * 148 + "bolt", "z" * 900 + "Bolt", "z" * 900, "bolt", None]
+    turns = [(1, i, "clerk", t) for i, t in enumerate(texts)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    letters = Corpus.from_star(spark, str(tmp_path))["correspondence_whole"]
+    docs = spark.createDataFrame([(1, "a.pdf", None)], "id long, file_name string, display_title string")
+    found = queries.search.search_facts(letters, docs, "bolt", queries.search.SEARCHES["correspondence"])
+    assert [r.id for r in found.collect()] == [1000, 1001, 1002, 1004]
+    c = Corpus.from_star(spark, sf_dir)
+    c.tables["correspondence_whole"] = letters
+    c.tables["documents"] = spark.createDataFrame([(1, "a.pdf", None)], c["documents"].select("id", "file_name", "display_title").schema)
+    seen = {}
+    monkeypatch.setattr(queries.discovery, "evidence_counts", seen.update)
+    queries.discovery_evidence(spark, c)
+    assert seen["correspondence"].count() == 4
