@@ -480,23 +480,14 @@ def block_keys(spark, c):
     return e.withColumn("block", resolve.block_key(F.col("norm"), F.col("type")))
 
 
-def _few(c: Corpus) -> DataFrame:
-    """People and parcels under names with spelling variants, over all entities: the customer number's last digits make surnames."""
-    pair = F.floor(F.col("id") / 6)
-    long = F.element_at(F.array(*map(F.lit, ["William", "George", "James", "Charles"])), (pair % 4 + 1).cast("int"))
-    short = F.element_at(F.array(*map(F.lit, ["Wm.", "Geo.", "Jas", "Chas."])), (pair % 4 + 1).cast("int"))
-    last = F.concat(F.element_at(F.array(*map(F.lit, ["Har", "Bel", "Tor", "Mac", "Win"])), (pair % 5 + 1).cast("int")), F.translate(F.substring(F.md5(pair.cast("string")), 1, 14), "0123456789", "ghiklmnopr"))
-    return c["entities"].where("type = 'person'").select("id", F.when(F.col("id") % 2 == 0, F.concat(long, F.lit(" "), last)).otherwise(F.concat(short, F.lit(" "), last, F.lit("e"))).alias("name"), "type", "context")
-
-
 @query()
 def fuzzy_candidates(spark, c):
-    return resolve.fuzzy_candidates(_few(c), c["mentions"]).withColumn("score", F.round("score", 6))
+    return resolve.fuzzy_candidates(c["entities"], c["mentions"]).withColumn("score", F.round("score", 6))
 
 
 @query()
 def fuzzy_review(spark, c):
-    return resolve.review(resolve.fuzzy_candidates(_few(c), c["mentions"]), c["mentions"], c["documents"]).select("type", "id_a", "id_b", "score", "keep", "decision")
+    return resolve.review(resolve.fuzzy_candidates(c["entities"], c["mentions"]), c["mentions"], c["documents"]).select("type", "id_a", "id_b", "score", "keep", "decision")
 
 
 @query("""WITH r AS (SELECT c_custkey AS old_id, c_custkey - c_custkey % 10 AS new_id FROM customer WHERE c_custkey % 10 <> 0 AND c_custkey % 4 <> 3) SELECT old_id, CAST(CASE WHEN new_id % 100 <> 0 AND new_id % 4 <> 3 THEN new_id - new_id % 100 ELSE new_id END AS BIGINT) AS new_id FROM r

@@ -1,8 +1,11 @@
 """Queries that take all of their input, where an older query and its SQL take a part."""
 
 import hashlib
+from itertools import combinations
 
+from folioframe.functions import similarity
 from folioframe.llm import queries as llm_queries
+from folioframe.operators import resolve
 from folioframe.plans import queries
 from folioframe.sources.corpus_view import Corpus
 
@@ -39,3 +42,32 @@ def test_letters_are_searched_whole(spark, sf_dir, tmp_path, monkeypatch):
     monkeypatch.setattr(queries.discovery, "evidence_counts", seen.update)
     queries.discovery_evidence(spark, c)
     assert seen["correspondence"].count() == 4
+
+
+def test_fuzzy_takes_the_names_of_the_table(spark):
+    names = ["William Harrington Smith", "Wm. Harrington Smithe", "Willam Harrington Smith", "Harrington William Smith", "é" * 12 + " Smyth", "é" * 11 + "e Smyth", "Ann Lee Smith"]
+    names += [f"Customer#{n:09d}" for n in (1, 2, 10, 12, 21, 111111111, 111111112)] + ["Customer Customer Bellingham", "Customer Custommer Bellingham"]
+    rows = [(i, n, "person", None) for i, n in enumerate(names)] + [(90, "Northern Land Bank", "organization", None), (91, "Northern Land Banks", "organization", None)]
+    entities = spark.createDataFrame(rows, "id long, name string, type string, context string")
+    links = [(i, d) for i in (0, 1, 3, 7, 8, 9, 10, 90, 91) for d in (1, 2)] + [(11, 2)]
+    mentions = spark.createDataFrame(links, "entity_id long, document_id long")
+    docs = spark.createDataFrame([(1, "a.pdf"), (2, "b.pdf")], "id long, file_name string")
+    norms = entities.select("id", "type", resolve.normalised(queries.F.col("name"), queries.F.col("type")).alias("norm"))
+    known = norms.withColumn("block", resolve.block_key(queries.F.col("norm"), queries.F.col("type"))).collect()
+    want = {}
+    for a, b in combinations(sorted(known, key=lambda r: r.id), 2):
+        if (a.type, a.block) != (b.type, b.block) or a.norm == b.norm:
+            continue
+        ratio = similarity.indel_percent(a.norm, b.norm) / 100
+        tokens = similarity.indel_percent(similarity.sorted_tokens(a.norm), similarity.sorted_tokens(b.norm)) / 100
+        last, first = ([similarity.metaphone(r.norm.split(" ")[at]) for r in (a, b)] for at in (-1, 0))
+        both = min(len(r.norm.split(" ")) for r in (a, b)) > 1
+        phonetic = 0.0 if a.type != "person" or last[0] != last[1] else 0.5 if both and first[0] != first[1] else 1.0
+        shared = len({d for i, d in links if i == a.id} & {d for i, d in links if i == b.id})
+        score = 0.4 * ratio + 0.3 * tokens + 0.2 * phonetic + 0.1 * min(shared / 2, 1)
+        if score >= resolve.THRESHOLDS[a.type] and (a.type != "person" or last[0] == last[1] or ratio >= 0.92):
+            want[a.id, b.id] = round(score, 6)
+    c = {"entities": entities, "mentions": mentions, "documents": docs}
+    got = {(r.id_a, r.id_b): r.score for r in queries.fuzzy_candidates(spark, c).collect()}
+    assert got == want and {(0, 1), (7, 8)} <= set(got)
+    assert {(r.id_a, r.id_b) for r in queries.fuzzy_review(spark, c).collect()} == set(want)
