@@ -351,9 +351,13 @@ FROM firsts f LEFT JOIN contexts ON f.document_id = contexts.document_id AND f.t
 old AS (SELECT * FROM c_entities WHERE id % 3 <> 1), fresh AS (SELECT name, type, min(seq) AS seq, arg_min(context, seq) AS context FROM i WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.name = i.name AND old.type = i.type) GROUP BY name, type)
 SELECT id, name, type, context FROM old UNION ALL SELECT (SELECT max(id) FROM old) + row_number() OVER (ORDER BY seq, name, type), name, type, context FROM fresh""")
 def entity_find_or_create(spark, c):
+    return _found_or_created(c, c["entities"].where("id % 5 = 0"))
+
+
+def _found_or_created(c: Corpus, offered: DataFrame) -> DataFrame:
     old = c["entities"].where("id % 3 <> 1").withColumn("acres", F.lit(None).cast("string")).withColumn("land_type", F.lit(None).cast("string"))
     name = F.when(F.col("id") % 2 == 0, F.col("name")).otherwise(F.concat(F.lit("New "), F.col("id") % 50))
-    incoming = c["entities"].where("id % 5 = 0").select(F.col("id").alias("seq"), name.alias("name"), "type", F.concat(F.lit("ctx "), F.col("id") % 7).alias("context"), F.lit(None).cast("string").alias("acres"), F.lit(None).cast("string").alias("land_type"))
+    incoming = offered.select(F.col("id").alias("seq"), name.alias("name"), "type", F.concat(F.lit("ctx "), F.col("id") % 7).alias("context"), F.lit(None).cast("string").alias("acres"), F.lit(None).cast("string").alias("land_type"))
     return load.upserted_entities(old, incoming, "first").select("id", "name", "type", "context")
 
 
@@ -421,6 +425,33 @@ def id_assignment(spark, c):
     return load.with_ids(c["documents"].where("id % 9 = 1").select("file_name"), ["file_name"], 1000)
 
 
+def entity_find_or_create_all(spark, c):
+    return _found_or_created(c, c["entities"])
+
+
+def mention_upsert_all(spark, c):
+    """All mentions are offered; those of each fourth document are there already."""
+    incoming = c["mentions"].join(c["entities"].select(F.col("id").alias("entity_id"), "name", "type", "context"), "entity_id").select("name", "type", "document_id", "context", F.col("entity_id").alias("seq"))
+    return load.new_mentions(c["entities"], incoming, c["mentions"].where("document_id % 4 = 0")).select("entity_id", "document_id", F.lit(True).alias("is_new"))
+
+
+def skip_processed_all(spark, c):
+    docs = c["documents"].withColumn("file_path", F.col("file_name"))
+    return load.unprocessed(docs.select("file_path", "file_name"), docs.where("id % 2 = 0"))
+
+
+def id_assignment_all(spark, c):
+    return load.with_ids(c["documents"].select("file_name"), ["file_name"], 1000)
+
+
+#: The four above with all rows as input; their SQL is that of the queries that take a part, less its filter.
+for _fn, _part in ((entity_find_or_create_all, " WHERE id % 5 = 0)"), (skip_processed_all, "id % 3 = 0 AND "), (id_assignment_all, " WHERE id % 9 = 1")):
+    query(ORACLE_SQL[_fn.__name__.removesuffix("_all")].replace(_part, ")" if _part.endswith(")") else ""))(_fn)
+query(f"""{ctes('entities', 'mentions')}, i AS (SELECT e.name, e.type, m.document_id FROM c_mentions m JOIN c_entities e ON e.id = m.entity_id)
+SELECT x.id AS entity_id, i.document_id, true AS is_new FROM i JOIN c_entities x ON x.name = i.name AND x.type = i.type
+WHERE NOT EXISTS (SELECT 1 FROM c_mentions m WHERE m.document_id % 4 = 0 AND m.entity_id = x.id AND m.document_id = i.document_id) GROUP BY x.id, i.document_id""")(mention_upsert_all)
+
+
 @query(f"""{ctes('events')} SELECT id, CASE WHEN metadata IS NULL THEN 0 WHEN metadata LIKE '[%' THEN 1 ELSE 2 END AS n_entities FROM c_events""")
 def event_metadata(spark, c):
     return c["events"].select("id", F.size(load.involved_entities(F.col("metadata"))).alias("n_entities"))

@@ -71,3 +71,14 @@ def test_fuzzy_takes_the_names_of_the_table(spark):
     got = {(r.id_a, r.id_b): r.score for r in queries.fuzzy_candidates(spark, c).collect()}
     assert got == want and {(0, 1), (7, 8)} <= set(got)
     assert {(r.id_a, r.id_b) for r in queries.fuzzy_review(spark, c).collect()} == set(want)
+
+
+def test_all_rows_are_offered(spark, sf_dir):
+    c = Corpus.from_star(spark, sf_dir)
+    docs = c["documents"].select("id", "file_name").collect()
+    ids = {r.file_name: r.id for r in queries.id_assignment_all(spark, c).collect()}
+    assert ids == {n: 1001 + i for i, n in enumerate(sorted(r.file_name for r in docs))}
+    assert {r.file_name for r in queries.skip_processed_all(spark, c).collect()} == {r.file_name for r in docs if r.id % 2}
+    assert queries.mention_upsert_all(spark, c).count() >= c["mentions"].where("document_id % 4 <> 0").count() > 0
+    names = {(r.name, r.type) for r in queries.entity_find_or_create_all(spark, c).collect()}
+    assert {(r.name, r.type) for r in c["entities"].where("id % 2 = 0").collect()} <= names
