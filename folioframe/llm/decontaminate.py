@@ -26,18 +26,20 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_TABLE).split()
 
 
-def patterns(items: list[tuple[str, str | None]], width: int = WIDTH) -> dict[str, tuple[int, set[str]]]:
-    """Each window, as words between spaces: its number of words and the items that have it."""
+def patterns(items: list[tuple[str | None, str | None]], width: int = WIDTH) -> dict[str, tuple[int, set[str]]]:
+    """Each window, as words between spaces: its number of words and the items that have it; an item without id has its windows only."""
     out: dict[str, tuple[int, set[str]]] = {}
     for item, text in items:
         w = words(text)
         k = min(width, len(w))
         for i in range(len(w) - k + 1 if k else 0):
-            out.setdefault(" " + b" ".join(w[i : i + k]).decode() + " ", (k, set()))[1].add(item)
+            of = out.setdefault(" " + b" ".join(w[i : i + k]).decode() + " ", (k, set()))[1]
+            if item is not None:
+                of.add(item)
     return out
 
 
-def automaton(items: list[tuple[str, str | None]], width: int = WIDTH) -> ahocorasick.Automaton:
+def automaton(items: list[tuple[str | None, str | None]], width: int = WIDTH) -> ahocorasick.Automaton:
     """Kept by content in the worker, so that a worker's tasks build it once."""
     key = hashlib.md5(repr((items, width)).encode()).hexdigest()
     if key not in _made:
@@ -70,10 +72,10 @@ def scan(text: str | None, machine: ahocorasick.Automaton) -> tuple[int, np.ndar
     return len(w), np.flatnonzero(hit).astype(np.int32), items
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, most_bytes: int) -> Iterator[list[tuple[str, str]]]:
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, most_bytes: int) -> Iterator[list[tuple[str | None, str]]]:
     """The benchmark in blocks of at most ``most_bytes`` of text, one longer item aside; each is broadcast and scanned for on its own."""
     held, size = [], 0
-    for item, text in benchmark.select(F.col(id_col).cast("string"), F.col(text_col)).where(f"`{text_col}` is not null and `{id_col}` is not null").orderBy(F.col(id_col).cast("string"), text_col).toLocalIterator():
+    for item, text in benchmark.select(F.col(id_col).cast("string"), F.col(text_col)).where(f"`{text_col}` is not null").orderBy(F.col(id_col).cast("string"), text_col).toLocalIterator():
         if held and size + len(text) > most_bytes:
             yield held
             held, size = [], 0
@@ -146,7 +148,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     A window is 13 consecutive words of an item, or a shorter item whole; words inside an occurrence are hit. hit_spans
     are code-point offsets in the original text, "start:end" joined by commas. Null texts and items have no words;
-    items without words have no window; null and repeated ids stay rows; an empty benchmark hits nothing.
+    items without words have no window; null and repeated ids stay rows; an empty benchmark hits nothing. Words of items
+    without id are hit as well; n_items and items_sha256 leave such items out.
     """
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, hit_spans string"
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -4,6 +4,7 @@ import hashlib
 from itertools import combinations
 
 from folioframe.functions import similarity
+from folioframe.llm import decontaminate
 from folioframe.llm import queries as llm_queries
 from folioframe.operators import resolve
 from folioframe.plans import queries
@@ -82,3 +83,13 @@ def test_all_rows_are_offered(spark, sf_dir):
     assert queries.mention_upsert_all(spark, c).count() >= c["mentions"].where("document_id % 4 <> 0").count() > 0
     names = {(r.name, r.type) for r in queries.entity_find_or_create_all(spark, c).collect()}
     assert {(r.name, r.type) for r in c["entities"].where("id % 2 = 0").collect()} <= names
+
+
+def test_items_without_id_contaminate(spark):
+    docs = spark.createDataFrame([(1, "so one two three"), (2, "four five"), (3, "clean")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "one two three"), (None, "four five"), (7, "four five")], "item_id long, text string")
+    for block in (4_000_000, 10):
+        got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate.contamination(docs, items, block_bytes=block).collect()}
+        digest = lambda t: hashlib.sha256(t).hexdigest()
+        assert got == {1: (3, 0, digest(b""), True), 2: (2, 1, digest(b"7"), True), 3: (0, 0, digest(b""), False)}
+        assert [r.doc_id for r in decontaminate.clean(docs, items, block_bytes=block).collect()] == [3]
