@@ -1,4 +1,4 @@
-"""Substring dedup by lines or paragraphs: the first occurrence of a unit in the corpus stays, later ones go."""
+"""Substring dedup by lines, sentences or paragraphs: the first occurrence of a unit in the corpus stays, later ones go."""
 
 from __future__ import annotations
 
@@ -13,14 +13,20 @@ from .kernels import IS_WORD, LOWER, U64, mix, powers, runs, span_hashes, text_s
 from .work import arrow_map, staged
 
 _LEADS = (np.arange(256) & 0xC0) != 0x80
+_STOP = np.zeros(256, bool)
+_STOP[list(b".!?")] = True
+LEVELS = ("sentence", "line", "paragraph")
 UNITS = "array<struct<no:int,start:int,end:int,n_words:int,a:long,b:long>>"
 _UNIT = pa.struct([("no", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("n_words", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+LAST = (1 << 63) - 1  # the rank of a null id
+#: A digest in more than this share of all units, and in HOT_LEAST of them, is hot; so there are at most 100,000 hot ones.
+HOT_SHARE, HOT_LEAST = 100_000, 4_096
 
 
-def _spans(data: np.ndarray, offsets: np.ndarray, paragraphs: bool) -> tuple[np.ndarray, np.ndarray]:
+def _spans(data: np.ndarray, offsets: np.ndarray, level: str) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the non-empty lines, or of what lies between blank lines."""
     a, b = runs(data != 10, offsets)
-    if not paragraphs or not len(a):
+    if level != "paragraph" or not len(a):
         return a, b
     worded = np.zeros(len(data) + 1, np.int64)
     np.cumsum(IS_WORD[data], out=worded[1:])
@@ -32,24 +38,58 @@ def _spans(data: np.ndarray, offsets: np.ndarray, paragraphs: bool) -> tuple[np.
     return a[~joined], b[np.append(~joined[1:], True)] if len(a) else b
 
 
-def units(column: pa.Array, paragraphs: bool) -> pa.Array:
+def _first_of_runs(x: np.ndarray) -> np.ndarray:
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    return new
+
+
+def _cut(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, a: np.ndarray, b: np.ndarray, sentence_words: int | None) -> tuple[np.ndarray, ...]:
+    """Units of the spans a:b that have words: their first and end words, first and end bytes.
+
+    With ``sentence_words`` a span is cut after each sentence of so many words; shorter ones go with the next, and those
+    at a span's end with the unit before them.
+    """
+    n = len(starts)
+    span = np.searchsorted(a, starts, "right") - 1
+    stop = np.ones(n, bool)
+    stop[:-1] = span[1:] != span[:-1]
+    if sentence_words:
+        stop |= _STOP[data[ends - 1]]
+    last = np.flatnonzero(stop)
+    first = np.append(0, last[:-1] + 1)[: len(last)]
+    of = span[last]
+    whole = (last - first + 1 >= sentence_words) if sentence_words else np.zeros(len(last), bool)
+    before = np.cumsum(whole) - whole
+    heads = np.flatnonzero(_first_of_runs(of))
+    sizes = np.diff(np.append(heads, len(of)))
+    of_span = np.add.reduceat(whole, heads, dtype=np.int64) if len(heads) else heads
+    number = np.minimum(before - np.repeat(before[heads], sizes), np.repeat(np.maximum(of_span - 1, 0), sizes))
+    new = _first_of_runs(of)
+    new[1:] |= number[1:] != number[:-1]
+    p, of = first[new], of[new]
+    q = np.append(p[1:], n)[: len(p)]
+    head, tail = _first_of_runs(of), np.ones(len(of), bool)
+    tail[:-1] = head[1:]
+    byte = np.where(head, a[of], starts[p])
+    return p, q, byte, np.where(tail, b[of], np.append(byte[1:], 0)[: len(p)])
+
+
+def units(column: pa.Array, level: str = "sentence", sentence_words: int = 8) -> pa.Array:
     """For each text its units with at least a word: number, code-point span, words, 128-bit digest.
 
-    A unit is compared by its words, with A-Z lower-cased, so spacing does not count.
+    A unit is compared by its words, with A-Z lower-cased, so spacing does not count. The two halves of a digest come
+    from two hashes of each word. Blanks after a sentence belong to it.
     """
     parts, counts = [], [0]
     for first, end, data, offsets in text_slices(column):
         low = LOWER[data]
         starts, ends = runs(IS_WORD[data], offsets)
-        words = span_hashes(low, starts, ends)
-        up, down = powers(len(words) + 1)
-        sums = np.zeros((2, len(words) + 1), U64)
-        np.cumsum(words * up[: len(words)], out=sums[0, 1:])
-        np.cumsum(mix(words + U64(77)) * up[: len(words)], out=sums[1, 1:])
-        a, b = _spans(data, offsets, paragraphs)
-        p, q = np.searchsorted(starts, a), np.searchsorted(starts, b)
-        full = q > p
-        a, b, p, q = a[full], b[full], p[full], q[full]
+        up, down = powers(len(starts) + 1)
+        sums = np.zeros((2, len(starts) + 1), U64)
+        for i, view in enumerate((low, 255 - low)):
+            np.cumsum(span_hashes(view, starts, ends) * up[: len(starts)], out=sums[i, 1:])
+        p, q, a, b = _cut(data, starts, ends, *_spans(data, offsets, level), sentence_words if level == "sentence" else None)
         row = np.searchsorted(offsets, a, "right") - 1
         row_first = np.searchsorted(row, np.arange(end - first + 1))
         points = np.zeros(len(data) + 1, np.int64)
@@ -63,34 +103,44 @@ def units(column: pa.Array, paragraphs: bool) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.StructArray.from_arrays(fields, fields=list(_UNIT)))
 
 
-def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", paragraphs: bool = False, least_words: int = 5) -> DataFrame:
+def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", level: str = "sentence", sentence_words: int = 8) -> DataFrame:
     """Per row: doc_id, n_units, n_removed, chars_removed, removed ("start:end" code-point spans of the text, in order).
 
-    Of equal units the one in the smallest doc_id, and there the first, stays; all others go, within a document too.
-    Units of fewer than ``least_words`` words are too short to tell a repeat from chance and stay. Null texts have no
-    units; null ids rank last; rows that share an id are one document and are judged alike. Other columns are ignored.
+    Units are paragraphs (``level``), lines, or lines cut after each sentence of ``sentence_words`` words or more, so
+    that a passage which begins and ends inside a line is found by the sentences in it; a shorter sentence goes with the
+    next one of its line, a line without a longer one is one unit. Every word is in a unit, and every unit counts,
+    however short. Of equal units the one in the smallest doc_id, and there the first, stays; all others go, within a
+    document too. Null texts have no units; null ids rank last. Rows that share an id rank by a hash of their texts, and
+    rows with one id and one text are one document, judged alike. Other columns are ignored.
 
-    Digests are counted with partial sums, so a line in a third of all texts is a row a task; only units that repeat
-    are joined back, and the largest keys of that join can be split.
+    Digests are counted with partial sums, so a line in a third of all texts is a row a task. Occurrences of repeated
+    digests are joined back to the first: those of hot digests to a broadcast table of at most HOT_SHARE rows, the rest
+    by a shuffle in which no digest has more rows than the hot bound.
     """
+    if level not in LEVELS:
+        raise ValueError(f"level must be one of {LEVELS}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), units(batch.column(1), paragraphs)], ["doc_id", "units"])
-
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = staged(arrow_map(own, run, f"doc_id long, units {UNITS}"), "units")
-    rank = F.coalesce("doc_id", F.lit((1 << 63) - 1))
-    each = found.select("doc_id", F.explode("units").alias("u")).where(F.col("u.n_words") >= least_words).select("doc_id", rank.alias("rank"), "u.*")
-    first = each.groupBy("a", "b").agg(F.min(F.struct("rank", "no")).alias("first"), F.count("*").alias("times")).where("times > 1").select("a", "b", F.col("first.rank").alias("first_rank"), F.col("first.no").alias("first_no"))
-    gone = each.join(first, ["a", "b"]).where("rank <> first_rank or no <> first_no")
-    spans = gone.groupBy("rank").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), units(batch.column(2), level, sentence_words)], ["rank", "row", "units"])
+
+    own = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("rank"), F.xxhash64(text_col).alias("row"), F.col(text_col).alias("text"))
+    found = staged(arrow_map(own, run, f"rank long, row long, units {UNITS}"), "units")
+    each = found.select("rank", "row", F.explode("units").alias("u")).select("rank", "row", "u.no", "u.start", "u.end", "u.a", "u.b")
+    place = F.struct("rank", "row", "no")
+    again = staged(each.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("times")).where("times > 1"), "repeats")
+    total = found.agg(F.sum(F.size("units"))).first()[0] or 0
+    is_hot = F.col("times") > max(HOT_LEAST, total // HOT_SHARE)
+    hot = F.broadcast(again.where(is_hot).select("a", "b", "first"))
+    keys = ["a", "b"]
+    gone = each.join(hot, keys).unionByName(each.join(hot.select(*keys), keys, "left_anti").join(again.where(~is_hot).select("a", "b", "first"), keys)).where(place != F.col("first"))
+    spans = gone.groupBy("rank", "row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
     told = F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>"))
     return (
-        found.select("doc_id", rank.alias("rank"), F.size("units").cast("long").alias("n_units"))
-        .join(spans, "rank", "left")
+        found.select("rank", "row", F.size("units").cast("long").alias("n_units"))
+        .join(spans, ["rank", "row"], "left")
         .select(
-            "doc_id",
+            F.nullif("rank", F.lit(LAST)).alias("doc_id"),
             "n_units",
             F.size(told).cast("long").alias("n_removed"),
             F.aggregate(told, F.lit(0).cast("long"), lambda s, x: s + (x["end"] - x["start"])).alias("chars_removed"),
@@ -100,10 +150,16 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def without(text: str, removed: str) -> str:
-    """A text less its removed spans; a line's break goes with it."""
-    out, past = [], 0
+    """A text less its removed spans; the break of a line that goes whole goes with it."""
+    merged: list[list[int]] = []
     for span in filter(None, removed.split(",")):
         a, b = map(int, span.split(":"))
+        if merged and merged[-1][1] == a:
+            merged[-1][1] = b
+        else:
+            merged.append([a, b])
+    out, past = [], 0
+    for a, b in merged:
         out.append(text[past:a])
-        past = b + (text[b : b + 1] == "\n")
+        past = b + (text[b : b + 1] == "\n" and (a == 0 or text[a - 1] == "\n"))
     return "".join([*out, text[past:]])

@@ -52,11 +52,6 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.repeated_units(_table(spark, sf_dir, "documents"))
 
 
-def op9_line_dedup_all_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short units count as well; op9_line_dedup and its SQL leave those of fewer than five words."""
-    return lines.repeated_units(_table(spark, sf_dir, "documents"), least_words=1)
-
-
 def op10_chat_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat(_table(spark, sf_dir, "conversations"))
 
@@ -71,7 +66,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_line_dedup": op9_line_dedup,
-    "op9_line_dedup_all_units": op9_line_dedup_all_units,
     "op10_chat_snapshot_collapse": op10_chat_snapshot_collapse,
 }
 
@@ -131,13 +125,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, c
 FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN which USING (doc_id)""",
     "op9_line_dedup": rf"""
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
-each_line AS (SELECT doc_id, i, l[i] AS line, list_sum(list_transform(l[1:i-1], lambda x: length(x) + 1)) AS before FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM split)),
+each_line AS (SELECT doc_id, i, l[i] AS line, coalesce(list_sum(list_transform(l[1:i-1], lambda x: length(x) + 1)), 0) AS before FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM split)),
+cut AS (SELECT doc_id, i, before, regexp_extract_all(line, '.*?[.!?][\x20\x09-\x0D]+|.+') AS p FROM each_line),
+pieces AS (
+  SELECT doc_id, i, j, before + coalesce(list_sum(list_transform(p[1:j-1], lambda x: length(x))), 0) AS s, length(p[j]) AS n,
+    list_filter(regexp_split_to_array(translate(p[j], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM (SELECT doc_id, i, before, p, unnest(range(1, len(p) + 1)) AS j FROM cut)),
+counted AS (
+  SELECT *, sum(CAST(len(w) >= 8 AS INT)) OVER (PARTITION BY doc_id, i) AS whole,
+    coalesce(sum(CAST(len(w) >= 8 AS INT)) OVER (PARTITION BY doc_id, i ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier FROM pieces),
 units AS (
-  SELECT doc_id, i, coalesce(before, 0) AS s, coalesce(before, 0) + length(line) AS e,
-    list_filter(regexp_split_to_array(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM each_line),
-ranked AS (SELECT doc_id, s, e, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS r FROM units WHERE len(w) >= 5),
+  SELECT doc_id, min(s) AS s, max(s + n) AS e, flatten(list(w ORDER BY j)) AS w FROM counted
+  GROUP BY doc_id, i, least(earlier, greatest(whole - 1, 0)) HAVING sum(len(w)) > 0),
+ranked AS (SELECT doc_id, s, e, row_number() OVER (PARTITION BY w ORDER BY doc_id, s) AS r FROM units),
 gone AS (SELECT doc_id, count(*) AS n, CAST(sum(e - s) AS BIGINT) AS chars, string_agg(CAST(CAST(s AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(e AS BIGINT) AS VARCHAR), ',' ORDER BY s) AS spans FROM ranked WHERE r > 1 GROUP BY doc_id),
-total AS (SELECT doc_id, count(*) AS n FROM units WHERE len(w) > 0 GROUP BY doc_id)
+total AS (SELECT doc_id, count(*) AS n FROM units GROUP BY doc_id)
 SELECT d.doc_id, coalesce(total.n, 0) AS n_units, coalesce(gone.n, 0) AS n_removed, coalesce(gone.chars, 0) AS chars_removed, coalesce(gone.spans, '') AS removed
 FROM documents d LEFT JOIN total USING (doc_id) LEFT JOIN gone USING (doc_id)""",
     "op10_chat_snapshot_collapse": r"""
@@ -150,4 +152,3 @@ inner_prefixes AS (SELECT DISTINCT l[1:i] AS p FROM (SELECT l, unnest(range(1, l
 SELECT k.conv_id, CAST(len(k.l) AS BIGINT) AS n_turns, k.n_copies, c.rendered AS text
 FROM keys k JOIN chats c ON c.conv_id = k.conv_id WHERE NOT EXISTS (SELECT 1 FROM inner_prefixes WHERE p = k.l)""",
 }
-ORACLE_SQL["op9_line_dedup_all_units"] = ORACLE_SQL["op9_line_dedup"].replace("len(w) >= 5", "len(w) >= 1")

@@ -444,52 +444,105 @@ def test_contamination(spark, block):
     assert not any(r.n_hit for r in decontaminate.contamination(df, bench.limit(0)).collect())
 
 
-# --- 9: lines and paragraphs -------------------------------------------------------------------------------------------
-
-
-def brute_units(ids, texts, least=5, paragraphs=False):
+# --- 9: lines, sentences and paragraphs --------------------------------------------------------------------------------
+
+
+def brute_spans(t, level, least):
+    spans, at = [], 0
+    for line in t.split("\n"):
+        spans.append((at, at + len(line)))
+        at += len(line) + 1
+    if level == "paragraph":
+        joined, open_ = [], False
+        for a, b in spans:
+            full = bool(WORD.search(t[a:b]))
+            if full and open_:
+                joined[-1] = (joined[-1][0], b)
+            elif full:
+                joined.append((a, b))
+            open_ = full
+        spans = joined
+    if level == "sentence":
+        cut = []
+        for a, b in spans:
+            units, start = [], a
+            for m in WORD.finditer(t, a, b):
+                after = re.compile(r"[\x20\x09-\x0D]*").match(t, m.end(), b).end()
+                if m[0][-1] in ".!?" or after == b:
+                    units.append([start, after])
+                    start = after
+            i = 0
+            while i < len(units) - 1:  # short sentences go with the next one
+                if sum(1 for _ in WORD.finditer(t, *units[i][-2:])) < least:
+                    units[i + 1] = [units[i][0], *units[i + 1]]
+                    del units[i]
+                else:
+                    i += 1
+            if len(units) > 1 and sum(1 for _ in WORD.finditer(t, *units[-1][-2:])) < least:
+                units[-2:] = [[units[-2][0], units[-1][-1]]]
+            cut += [(u[0], u[-1]) for u in units]
+        spans = cut
+    return [(a, b) for a, b in spans if WORD.search(t[a:b])]
+
+
+def brute_units(ids, texts, level="sentence", least=8):
     units, out = [], {}
     for i, t in sorted(zip(ids, texts, strict=True), key=lambda x: x[0]):
         t = t or ""
-        spans, at = [], 0
-        for line in t.split("\n"):
-            spans.append((at, at + len(line)))
-            at += len(line) + 1
-        if paragraphs:
-            joined, open_ = [], False
-            for a, b in spans:
-                full = bool(WORD.search(t[a:b]))
-                if full and open_:
-                    joined[-1] = (joined[-1][0], b)
-                elif full:
-                    joined.append((a, b))
-                open_ = full
-            spans = joined
-        spans = [(a, b) for a, b in spans if WORD.search(t[a:b])]
+        spans = brute_spans(t, level, least)
         out[i] = [len(spans), []]
         units += [(tuple(WORD.findall(t[a:b].translate(LOWER))), i, a, b) for a, b in spans]
     seen = set()
     for w, i, a, b in units:
-        if len(w) >= least:
-            if w in seen:
-                out[i][1].append(f"{a}:{b}")
-            seen.add(w)
+        if w in seen:
+            out[i][1].append(f"{a}:{b}")
+        seen.add(w)
     return {i: (n, len(s), ",".join(s)) for i, (n, s) in out.items()}
 
 
-@pytest.mark.parametrize("paragraphs", [False, True])
-def test_repeated_units(spark, corpus, paragraphs):
-    texts = [*corpus, "é one  two three FOUR five\n\n a b c d e f\nshort\n\n\nONE é two three four five", "a b c d e f\nshort\n\none é two three four five", "\nx y z v w\n\n\nx y  z v w\n"]
-    got = by_id(lines.repeated_units(docs_of(spark, texts), paragraphs=paragraphs))
-    assert {i: (r.n_units, r.n_removed, r.removed) for i, r in got.items()} == brute_units(range(len(texts)), texts, paragraphs=paragraphs)
-    assert lines.without("a\nb\nc", "2:3") == "a\nc"
+LINES = ["é one  two three FOUR five\n\n a b c d e f\nshort\n\n\nONE é two three four five", "a b c d e f\nshort\n\none é two three four five", "\nx y z v w\n\n\nx y  z v w\n", "All rights reserved.\nhttps://a.example/x\nown", "all  RIGHTS reserved.\nhttps://a.example/x\n東京都\n東京都"]
+
+
+@pytest.mark.parametrize("level", lines.LEVELS)
+def test_repeated_units(spark, corpus, level):
+    rnd = random.Random(2)
+    stops = lambda t: "".join(rnd.choice([". ", "! ", ".  ", " ", " "]) if c == " " else c for c in t)
+    texts = [*corpus, *LINES, *map(stops, [t for t in corpus if t][:40]), "w " * 25_000 + "end. " + "v " * 9]
+    texts += [t and "Odd start of it " + t[5:] for t in texts[-41:]]
+    got = by_id(lines.repeated_units(docs_of(spark, texts), level=level))
+    want = brute_units(range(len(texts)), texts, level)
+    assert {i: (r.n_units, r.n_removed, r.removed) for i, r in got.items()} == want
+    assert sum(n for _, n, _ in want.values()) > 20
     assert lines.repeated_units(docs_of(spark, ["x"]).limit(0)).count() == 0
 
 
+def test_hot_units_are_broadcast(spark, corpus, monkeypatch):
+    monkeypatch.setattr(lines, "HOT_LEAST", 1)
+    texts = [*corpus, *[f"the same line in all of them\nown {i}" for i in range(300)]]
+    monkeypatch.setattr(lines, "HOT_SHARE", 100)
+    got = by_id(lines.repeated_units(docs_of(spark, texts)))
+    assert {i: (r.n_units, r.n_removed, r.removed) for i, r in got.items()} == brute_units(range(len(texts)), texts)
+
+
+def test_passages_inside_lines_are_found(spark):
+    inner = " ".join(f"word{i}" for i in range(30)) + ". " + " ".join(f"more{i}" for i in range(30)) + ". end"  # a short end goes with the sentence before it, so that one differs
+    inner = " ".join(f"first{i}" for i in range(30)) + ". " + inner
+    got = by_id(lines.repeated_units(docs_of(spark, [f"begins here {inner} so.", f"Quite {inner} other"])))
+    assert got[0].n_removed == 0 and got[1].n_removed == 1 and got[1].chars_removed > 150
+
+
+def test_without():
+    assert lines.without("a\nb\nc", "2:3") == "a\nc"
+    assert lines.without("One. Two. Three.\nc", "5:10,10:16") == "One. \nc"
+    assert lines.without("a. b.\nc", "0:3,3:5") == "c"
+
+
 def test_repeated_units_null_ids(spark):
     t = "five words or more here"
-    got = lines.repeated_units(docs_of(spark, [t, t, t + "\n" + t], [None, 4, 4])).collect()
-    assert sorted((r.doc_id or -1, r.n_units, r.n_removed) for r in got) == [(-1, 1, 1), (4, 1, 1), (4, 2, 1)]
+    got = lines.repeated_units(docs_of(spark, [t, t, t + "\n" + t, None, "other"], [None, 4, 4, None, None])).collect()
+    assert sorted((r.doc_id or -1, r.n_units, r.n_removed) for r in got)[:3] == [(-1, 0, 0), (-1, 1, 0), (-1, 1, 1)]
+    four = sorted((r.n_units, r.n_removed) for r in got if r.doc_id == 4)
+    assert four in ([(1, 0), (2, 2)], [(1, 1), (2, 1)])
 
 
 # --- 10: chat ----------------------------------------------------------------------------------------------------------
