@@ -114,7 +114,7 @@ def allowance(n_documents: int, each: int = 45_000, together: int = 130_000) ->
     return min(each, together // max(1, n_documents))
 
 
-# Evidence metrics of a written answer.
+# Evidence metrics of a written answer: month names, patterns and section titles (fixed values).
 _MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
 EVIDENCE = {
     "dollar_amounts": r"\$[\d,]+(?:\.\d{2})?",

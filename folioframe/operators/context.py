@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import allowance, doc_date, label, tokens_by_chars, truncated
+from .ordering import numbered
 
 _or = lambda c, default="": F.coalesce(F.col(c), F.lit(default))
 _source = lambda: F.concat(F.lit("Source: "), label(F.col("display_title"), F.col("file_name")))
@@ -115,15 +116,19 @@ def hybrid_context(bundles: DataFrame, n_documents: int, cap: int = 170_000) ->
 
 
 def corpus_lines(documents: DataFrame, dates: bool = True, by_id: bool = False) -> DataFrame:
-    """(n, line) of all summaries: a header where the collection changes, then "[Doc id] name (date)" and the summary."""
-    order = [F.col("id")] if by_id else [F.asc_nulls_last("collection"), F.col("file_name"), F.col("id")]
-    w = Window.orderBy(*order)
+    """(n, id, line) of all summaries: a header where the collection changes, then "[Doc id] name (date)" and the summary.
+
+    Lines are numbered over range partitions; whether the collection changes at a partition's start is told by the last
+    row of the one before.
+    """
+    order = [F.col("id").asc()] if by_id else [F.asc_nulls_last("collection"), F.asc("file_name"), F.asc("id")]
     group = F.coalesce("collection", F.lit("Unknown"))
     own = documents.where("summary is not null" + (" and summary <> ''" if by_id else "")).select("id", "file_name", "display_title", "summary", "collection")
-    changed = F.coalesce(F.lag(group).over(w) != group, F.lit(True))
+    placed = numbered(own, order, "n", before=group)
+    changed = F.coalesce(F.col("before") != group, F.lit(True))
     date = F.when(doc_date(F.col("file_name")) != "", F.concat(F.lit(" ("), doc_date(F.col("file_name")), F.lit(")"))).otherwise(F.lit("")) if dates else F.lit("")
     line = F.concat(F.when(changed, F.concat(F.lit("=== "), group, F.lit(" ===\n"))).otherwise(F.lit("")), F.lit("[Doc "), F.col("id"), F.lit("] "), label(F.col("display_title"), F.col("file_name")), date, F.lit("\n"), F.col("summary"))
-    return own.select(F.row_number().over(w).alias("n"), "id", line.alias("line"))
+    return placed.select("n", "id", line.alias("line"))
 
 
 def corpus_context(documents: DataFrame, **how) -> DataFrame:

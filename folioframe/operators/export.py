@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.json_text import item_counts, parsed
 from ..functions.text import evidence
+from .ordering import free_name, numbered, ranged
 
 #: How table columns are named in an exported extraction.
 EXPORTED: dict[str, dict[str, str]] = {
@@ -54,11 +55,14 @@ def chat_lines(pairs: DataFrame) -> DataFrame:
 
 
 def split(rows: DataFrame, share: float = 0.1, seed: int = 42, key: str = "id") -> DataFrame:
-    """Rows with ``part``: train for the first int(n * (1 - share)) in a seeded hash order, else validation."""
-    n = rows.count()
-    cut = int(n * (1 - share))
-    first = rows.select(key, F.xxhash64(key, F.lit(seed)).alias("h")).orderBy("h", key).limit(cut).select(key, F.lit("train").alias("part"))
-    return rows.join(first, key, "left").withColumn("part", F.coalesce("part", F.lit("validation")))
+    """Rows with ``part``: train for the first int(n * (1 - share)) in a seeded hash order, else validation.
+
+    The order's numbers come from range partitions, so no task holds or merges all keys; rows aren't joined.
+    """
+    place = free_name(rows.columns, "place")
+    cut = int(rows.count() * (1 - share))
+    placed = numbered(rows, [F.xxhash64(key, F.lit(seed)).asc(), F.asc_nulls_first(key)], place)
+    return placed.withColumn("part", F.when(F.col(place) <= cut, F.lit("train")).otherwise(F.lit("validation"))).drop(place)
 
 
 def sample(rows: DataFrame, n: int, seed: int | None = None) -> DataFrame:
@@ -69,21 +73,27 @@ def sample(rows: DataFrame, n: int, seed: int | None = None) -> DataFrame:
 def upper_median(rows: DataFrame, column: str) -> DataFrame:
     """(n, least, most, mean, median): the median is the element at n div 2 of the sorted values, from 0.
 
-    Values are counted, and the counts' running sums find the element, so no array of all values is built.
+    Values are counted; sums over range partitions of the values tell the partition of the element, and running sums in
+    that one partition find it, so no array of all values is built and no task sees all values.
     """
     counts = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("c"))
     n, least, most, mean = counts.agg(F.sum("c"), F.min("v"), F.max("v"), F.sum(F.col("v") * F.col("c")) / F.sum("c")).first()
-    running = counts.withColumn("up", F.sum("c").over(Window.orderBy("v")))
-    middle = running.where(F.col("up") > (n or 0) // 2).agg(F.min("v").alias("median"))
+    placed, part = ranged(counts, [F.asc("v")])
+    at, base, here = (n or 0) // 2, 0, None
+    for p, size in sorted(placed.groupBy(part).agg(F.sum("c")).collect()):
+        if base + size > at:
+            here = p
+            break
+        base += size
+    running = placed.where(F.col(part) == here).withColumn("up", base + F.sum("c").over(Window.partitionBy(part).orderBy("v")))
+    middle = running.where(F.col("up") > at).agg(F.min("v").alias("median"))
     return middle.select(F.lit(n).cast("long").alias("n"), F.lit(least).alias("least"), F.lit(most).alias("most"), F.lit(mean).alias("mean"), "median")
 
 
 def batches(rows: DataFrame, size: int = 25, key: str = "id") -> DataFrame:
     """(batch, ids…): rows in order of their key, ``size`` a batch."""
-    from .load import with_ids
-
-    placed = with_ids(rows.withColumnRenamed("id", "__key") if key == "id" else rows.withColumnRenamed(key, "__key"), ["__key"])
-    return placed.withColumn("batch", F.floor((F.col("id") - 1) / size).cast("long")).drop("id").withColumnRenamed("__key", key)
+    place = free_name(rows.columns, "place")
+    return numbered(rows, [F.asc_nulls_first(key)], place).withColumn("batch", F.floor((F.col(place) - 1) / size).cast("long")).drop(place)
 
 
 def extraction_scores(replies: DataFrame, groups: list[str], reply_col: str = "reply") -> DataFrame:

@@ -7,29 +7,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import CHILDREN, CLEARED, TABLES
-from ..shared import written
+from .ordering import free_name, numbered
 
 
 def with_ids(rows: DataFrame, order: list[str], start: int = 0, partitions: int | None = None) -> DataFrame:
-    """Rows with ids from start + 1 on, without gaps, by ``order``.
-
-    Rows are range-partitioned by the order and written, so that counting them and numbering them see the same
-    partitions; a partition's ids start after the sizes of those before it. No task sorts the whole, and the driver has
-    one number a partition.
-    """
-    if partitions is None:
-        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by = [F.asc_nulls_first(c) for c in order]
-    placed = written(rows.repartitionByRange(partitions, *by).withColumn("__p", F.spark_partition_id()), "ordered")
-    sizes = dict(placed.groupBy("__p").count().collect())
-    base, at = [], start
-    for p in sorted(sizes):
-        base += [F.lit(p), F.lit(at)]
-        at += sizes[p]
-    if not base:
-        return rows.withColumn("id", F.lit(None).cast("long")).limit(0)
-    n = F.row_number().over(Window.partitionBy("__p").orderBy(*by))
-    return placed.withColumn("id", (n + F.create_map(*base)[F.col("__p")]).cast("long")).drop("__p")
+    """Rows with ids from start + 1 on, without gaps, by ``order``, nulls first. No task sorts the whole."""
+    return numbered(rows, [F.asc_nulls_first(c) for c in order], "id", start, partitions)
 
 
 def unprocessed(incoming: DataFrame, documents: DataFrame) -> DataFrame:
@@ -112,7 +95,8 @@ def new_mentions(entities: DataFrame, incoming: DataFrame, mentions: DataFrame)
     ids = entities.select(F.col("id").alias("entity_id"), "name", "type")
     linked = incoming.join(ids, ["name", "type"])
     order = Window.partitionBy("entity_id", "document_id").orderBy("seq")
-    first = linked.withColumn("__n", F.row_number().over(order)).where("__n = 1").select("entity_id", "document_id", "context")
+    place = free_name(linked.columns, "place")
+    first = linked.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).select("entity_id", "document_id", "context")
     return first.join(mentions.select("entity_id", "document_id"), ["entity_id", "document_id"], "left_anti")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from .ordering import free_name
 
 _text = lambda c: F.coalesce(F.col(c), F.lit(""))
 _folded = lambda c: strip(F.lower(_text(c)))
@@ -31,7 +32,8 @@ def items(parsed: DataFrame, group: str, doc_col: str = "document_id", chunk_col
 def first_of_equal(rows: DataFrame, group: str) -> DataFrame:
     """The first item, by chunk and position, of each set of equal ones in a document."""
     order = Window.partitionBy("document_id", *item_key(group)).orderBy("chunk", "pos")
-    return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    place = free_name(rows.columns, "place")
+    return rows.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
 
 
 def merged_entities(rows: DataFrame) -> DataFrame:
@@ -54,7 +56,8 @@ def merged_entities(rows: DataFrame) -> DataFrame:
 def uploaded_entities(rows: DataFrame) -> DataFrame:
     """The upload flow's rule: equal are folded but unstripped names of one type; the first stays as it is."""
     order = Window.partitionBy("document_id", F.lower(_text("name")), "type").orderBy("chunk", "pos")
-    return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    place = free_name(rows.columns, "place")
+    return rows.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
 
 
 def concatenated(parsed: DataFrame, groups: list[str], doc_col: str = "document_id") -> DataFrame:

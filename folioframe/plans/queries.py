@@ -57,8 +57,8 @@ _FACT_QUERIES = {
 }
 
 
-def _fact_search(name: str, asked: str, whole: str = "") -> None:
-    how, name = search.SEARCHES[name], name + whole
+def _fact_search(name: str, asked: str) -> None:
+    how = search.SEARCHES[name]
     order = ", ".join(f"f.{c} ASC NULLS LAST" for c in how.order)
     sql = f"""{ctes('documents', name)}
 SELECT f.id, {', '.join('f.' + c for c in how.returned)}, d.file_name, d.display_title
@@ -74,7 +74,6 @@ ORDER BY {order}, f.id LIMIT {how.limit}"""
 
 for _name, _asked in _FACT_QUERIES.items():
     _fact_search(_name, _asked)
-_fact_search("correspondence", _FACT_QUERIES["correspondence"], "_whole")
 
 
 @query(f"""{ctes('entities', 'mentions')}
@@ -155,20 +154,13 @@ def chunk_texts(spark, c):
     return chunking.chunks(c["texts"], 4000, 500).select("id", "chunk", F.md5("text").alias("digest"))
 
 
-@query(f"""{ctes('texts')}, m AS (SELECT id, string_agg('\n--- Page ' || CAST(p AS VARCHAR) || ' ---\n' || substring(full_text, (p - 1) * 1000 + 1, 1000), '' ORDER BY p) AS t
-FROM (SELECT id, full_text, unnest(range(1, 4)) AS p FROM c_texts) GROUP BY id) SELECT id, md5(t) AS digest, CAST(length(t) AS INT) AS n_chars FROM m""")
-def page_marked_texts(spark, c):
-    pages = c["texts"].select("id", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("page"), "full_text").select("id", "page", F.col("full_text").substr((F.col("page") - 1) * 1000 + 1, F.lit(1000)).alias("text"))
-    return chunking.page_marked(pages).select("id", F.md5("full_text").alias("digest"), F.length("full_text").alias("n_chars"))
-
-
 _PAGES = "CAST(greatest(1, ceil(length(full_text) / 1000.0)) AS INT)"
 
 
 @query(f"""{ctes('texts')}, m AS (SELECT id, string_agg('\n--- Page ' || CAST(p AS VARCHAR) || ' ---\n' || coalesce(substring(full_text, (p - 1) * 1000 + 1, 1000), ''), '' ORDER BY p) AS t
 FROM (SELECT id, full_text, unnest(range(1, {_PAGES} + 1)) AS p FROM c_texts) GROUP BY id) SELECT id, md5(t) AS digest, CAST(length(t) AS INT) AS n_chars FROM m""")
-def page_marked_texts_whole(spark, c):
-    """As many pages as the text fills; page_marked_texts has three, as its SQL has."""
+def page_marked_texts(spark, c):
+    """As many pages as the text fills."""
     cut = F.regexp_extract_all("full_text", F.lit("(?s).{1,1000}"), F.lit(0))
     pages = c["texts"].select("id", F.posexplode(F.when(F.length("full_text") > 0, cut).otherwise(F.array(F.lit(""))))).select("id", (F.col("pos") + 1).alias("page"), F.col("col").alias("text"))
     return chunking.page_marked(pages).select("id", F.md5("full_text").alias("digest"), F.length("full_text").alias("n_chars"))
@@ -347,26 +339,25 @@ FROM firsts f LEFT JOIN contexts ON f.document_id = contexts.document_id AND f.t
 # --- loading -----------------------------------------------------------------------------------------------------------
 
 
-@query(f"""{ctes('entities')}, i AS (SELECT id AS seq, CASE WHEN id % 2 = 0 THEN name ELSE concat('New ', CAST(id % 50 AS STRING)) END AS name, type, concat('ctx ', CAST(id % 7 AS STRING)) AS context FROM c_entities WHERE id % 5 = 0),
+@query(f"""{ctes('entities')}, i AS (SELECT id AS seq, CASE WHEN id % 2 = 0 THEN name ELSE concat('New ', CAST(id % 50 AS STRING)) END AS name, type, concat('ctx ', CAST(id % 7 AS STRING)) AS context FROM c_entities),
 old AS (SELECT * FROM c_entities WHERE id % 3 <> 1), fresh AS (SELECT name, type, min(seq) AS seq, arg_min(context, seq) AS context FROM i WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.name = i.name AND old.type = i.type) GROUP BY name, type)
 SELECT id, name, type, context FROM old UNION ALL SELECT (SELECT max(id) FROM old) + row_number() OVER (ORDER BY seq, name, type), name, type, context FROM fresh""")
 def entity_find_or_create(spark, c):
-    return _found_or_created(c, c["entities"].where("id % 5 = 0"))
-
-
-def _found_or_created(c: Corpus, offered: DataFrame) -> DataFrame:
+    """All entities are offered; two of three are there already, and half of the rest come under new names."""
+    offered = c["entities"]
     old = c["entities"].where("id % 3 <> 1").withColumn("acres", F.lit(None).cast("string")).withColumn("land_type", F.lit(None).cast("string"))
     name = F.when(F.col("id") % 2 == 0, F.col("name")).otherwise(F.concat(F.lit("New "), F.col("id") % 50))
     incoming = offered.select(F.col("id").alias("seq"), name.alias("name"), "type", F.concat(F.lit("ctx "), F.col("id") % 7).alias("context"), F.lit(None).cast("string").alias("acres"), F.lit(None).cast("string").alias("land_type"))
     return load.upserted_entities(old, incoming, "first").select("id", "name", "type", "context")
 
 
-@query(f"""{ctes('entities', 'mentions')}, i AS (SELECT e.name, e.type, m.document_id, e.id AS seq FROM c_mentions m JOIN c_entities e ON e.id = m.entity_id WHERE m.document_id % 4 = 0)
-SELECT x.id AS entity_id, i.document_id, count(*) > 0 AS is_new FROM i JOIN c_entities x ON x.name = i.name AND x.type = i.type
-WHERE NOT EXISTS (SELECT 1 FROM c_mentions m WHERE m.entity_id = x.id AND m.document_id = i.document_id) GROUP BY x.id, i.document_id""")
+@query(f"""{ctes('entities', 'mentions')}, i AS (SELECT e.name, e.type, m.document_id FROM c_mentions m JOIN c_entities e ON e.id = m.entity_id)
+SELECT x.id AS entity_id, i.document_id, true AS is_new FROM i JOIN c_entities x ON x.name = i.name AND x.type = i.type
+WHERE NOT EXISTS (SELECT 1 FROM c_mentions m WHERE m.document_id % 4 = 0 AND m.entity_id = x.id AND m.document_id = i.document_id) GROUP BY x.id, i.document_id""")
 def mention_upsert(spark, c):
-    incoming = c["mentions"].where("document_id % 4 = 0").join(c["entities"].select(F.col("id").alias("entity_id"), "name", "type", "context"), "entity_id").select("name", "type", "document_id", "context", F.col("entity_id").alias("seq"))
-    return load.new_mentions(c["entities"], incoming, c["mentions"]).select("entity_id", "document_id", F.lit(True).alias("is_new"))
+    """All mentions are offered; those of each fourth document are there already."""
+    incoming = c["mentions"].join(c["entities"].select(F.col("id").alias("entity_id"), "name", "type", "context"), "entity_id").select("name", "type", "document_id", "context", F.col("entity_id").alias("seq"))
+    return load.new_mentions(c["entities"], incoming, c["mentions"].where("document_id % 4 = 0")).select("entity_id", "document_id", F.lit(True).alias("is_new"))
 
 
 _FACT_ROWS = "SELECT document_id, CASE WHEN pos % 7 = 0 THEN '' ELSE allottee END AS allottee, allotment_number, patent_date"
@@ -407,10 +398,10 @@ def clear_for_reextraction(spark, c):
     return documents.table_counts(load.cleared(tables, c["documents"].where("id % 10 = 3")))
 
 
-@query(f"""{ctes('documents')} SELECT file_path, file_name FROM (SELECT file_name AS file_path, file_name, id FROM c_documents) WHERE id % 3 = 0 AND file_path NOT IN (SELECT file_name FROM c_documents WHERE id % 2 = 0)""")
+@query(f"""{ctes('documents')} SELECT file_path, file_name FROM (SELECT file_name AS file_path, file_name, id FROM c_documents) WHERE file_path NOT IN (SELECT file_name FROM c_documents WHERE id % 2 = 0)""")
 def skip_processed(spark, c):
     docs = c["documents"].withColumn("file_path", F.col("file_name"))
-    return load.unprocessed(docs.where("id % 3 = 0").select("file_path", "file_name"), docs.where("id % 2 = 0"))
+    return load.unprocessed(docs.select("file_path", "file_name"), docs.where("id % 2 = 0"))
 
 
 @query(f"""{ctes('documents')} SELECT id, file_name, CASE WHEN id % 4 = 0 THEN concat('updated ', CAST(id AS STRING)) ELSE display_title END AS display_title, summary FROM c_documents""")
@@ -420,38 +411,11 @@ def enrichment_update(spark, c):
     return load.set_by_id(docs, values, ["display_title", "summary"])
 
 
-@query(f"{ctes('documents')} SELECT row_number() OVER (ORDER BY file_name) + 1000 AS id, file_name FROM c_documents WHERE id % 9 = 1")
+@query(f"{ctes('documents')} SELECT row_number() OVER (ORDER BY file_name) + 1000 AS id, file_name FROM c_documents")
 def id_assignment(spark, c):
-    return load.with_ids(c["documents"].where("id % 9 = 1").select("file_name"), ["file_name"], 1000)
-
-
-def entity_find_or_create_all(spark, c):
-    return _found_or_created(c, c["entities"])
-
-
-def mention_upsert_all(spark, c):
-    """All mentions are offered; those of each fourth document are there already."""
-    incoming = c["mentions"].join(c["entities"].select(F.col("id").alias("entity_id"), "name", "type", "context"), "entity_id").select("name", "type", "document_id", "context", F.col("entity_id").alias("seq"))
-    return load.new_mentions(c["entities"], incoming, c["mentions"].where("document_id % 4 = 0")).select("entity_id", "document_id", F.lit(True).alias("is_new"))
-
-
-def skip_processed_all(spark, c):
-    docs = c["documents"].withColumn("file_path", F.col("file_name"))
-    return load.unprocessed(docs.select("file_path", "file_name"), docs.where("id % 2 = 0"))
-
-
-def id_assignment_all(spark, c):
     return load.with_ids(c["documents"].select("file_name"), ["file_name"], 1000)
 
 
-#: The four above with all rows as input; their SQL is that of the queries that take a part, less its filter.
-for _fn, _part in ((entity_find_or_create_all, " WHERE id % 5 = 0)"), (skip_processed_all, "id % 3 = 0 AND "), (id_assignment_all, " WHERE id % 9 = 1")):
-    query(ORACLE_SQL[_fn.__name__.removesuffix("_all")].replace(_part, ")" if _part.endswith(")") else ""))(_fn)
-query(f"""{ctes('entities', 'mentions')}, i AS (SELECT e.name, e.type, m.document_id FROM c_mentions m JOIN c_entities e ON e.id = m.entity_id)
-SELECT x.id AS entity_id, i.document_id, true AS is_new FROM i JOIN c_entities x ON x.name = i.name AND x.type = i.type
-WHERE NOT EXISTS (SELECT 1 FROM c_mentions m WHERE m.document_id % 4 = 0 AND m.entity_id = x.id AND m.document_id = i.document_id) GROUP BY x.id, i.document_id""")(mention_upsert_all)
-
-
 @query(f"""{ctes('events')} SELECT id, CASE WHEN metadata IS NULL THEN 0 WHEN metadata LIKE '[%' THEN 1 ELSE 2 END AS n_entities FROM c_events""")
 def event_metadata(spark, c):
     return c["events"].select("id", F.size(load.involved_entities(F.col("metadata"))).alias("n_entities"))
@@ -561,7 +525,6 @@ def corpus_context_lines(spark, c):
 
 @query()
 def discovery_evidence(spark, c):
-    c.tables["correspondence"] = c["correspondence_whole"]
     return discovery.evidence_counts(discovery.discover(c, "bolt 000000012"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,11 +12,13 @@ _own: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a local folder of ours only where that is unset, as in tests."""
+    """The folder in ``spark.checkpoint.dir``; a local folder of ours only where that is unset and the master is local, as in tests."""
     global _own
     there = spark.conf.get("spark.checkpoint.dir", None)
     if there:
         return there
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _own is None:
         _own = tempfile.mkdtemp(prefix="folioframe-")
     return _own

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordering import free_name, numbered
+
 
 def listing(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
     """(path, file_name, length) of files below a folder, by path; contents are not read."""
@@ -16,8 +18,8 @@ def listing(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFra
 
 def batch_window(files: DataFrame, batch: int, size: int = 50) -> DataFrame:
     """The batch-th run of ``size`` files by path, from 1."""
-    n = F.row_number().over(Window.orderBy("path"))
-    return files.withColumn("n", n).where(F.col("n").between((batch - 1) * size + 1, batch * size)).drop("n")
+    place = free_name(files.columns, "place")
+    return numbered(files, [F.asc("path")], place).where(F.col(place).between((batch - 1) * size + 1, batch * size)).drop(place)
 
 
 def without_copies(files: DataFrame) -> DataFrame:
@@ -85,8 +87,8 @@ def write_replies(rows: DataFrame, path: str, quarantine: str) -> None:
 
 
 def dump_context(path: str, **parts: DataFrame) -> None:
-    """One JSON object with an array a part, as context for a run elsewhere."""
-    texts = [df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("t")).select(F.concat(F.lit(f'"{name}":'), F.col("t")).alias("t")) for name, df in parts.items()]
+    """One JSON object with an array a part, in the order of its columns, as context for a run elsewhere. Give parts that fit in one value."""
+    texts = [df.agg(F.to_json(F.sort_array(F.collect_list(F.struct(*df.columns)))).alias("t")).select(F.concat(F.lit(f'"{name}":'), F.col("t")).alias("t")) for name, df in parts.items()]
     all_texts = reduce(DataFrame.unionByName, texts)
     all_texts.agg(F.concat(F.lit("{"), F.array_join(F.collect_list("t"), ","), F.lit("}")).alias("value")).write.mode("overwrite").text(path)
 

@@ -1,11 +1,9 @@
-"""Queries that take all of their input, where an older query and its SQL take a part."""
+"""Queries take all of their input."""
 
 import hashlib
 from itertools import combinations
 
 from folioframe.functions import similarity
-from folioframe.llm import decontaminate
-from folioframe.llm import queries as llm_queries
 from folioframe.operators import resolve
 from folioframe.plans import queries
 from folioframe.sources.corpus_view import Corpus
@@ -14,30 +12,23 @@ from folioframe.sources.corpus_view import Corpus
 def test_pages_hold_the_whole_text(spark):
     texts = ["", "é𝒳\n" * 400, "y" * 1000, "x" * 3500 + "end", None]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, full_text string")
-    got = {r.id: (r.digest, r.n_chars) for r in queries.page_marked_texts_whole(spark, {"texts": df}).collect()}
+    got = {r.id: (r.digest, r.n_chars) for r in queries.page_marked_texts(spark, {"texts": df}).collect()}
     for i, t in enumerate(texts):
         t = t or ""
         want = "".join(f"\n--- Page {p + 1} ---\n{t[p * 1000 : p * 1000 + 1000]}" for p in range(max(1, -(-len(t) // 1000))))
         assert got[i] == (hashlib.md5(want.encode()).hexdigest(), len(want))
 
 
-def test_short_lines_count(spark, tmp_path):
-    texts = ["All rights reserved.\nhttps://a.example/x\nown", "all  RIGHTS reserved.\nhttps://a.example/x\n東京都\n東京都", None]
-    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: (r.n_units, r.n_removed, r.removed) for r in llm_queries.op9_line_dedup_all_units(spark, str(tmp_path)).collect()}
-    assert got == {0: (3, 0, ""), 1: (4, 3, "0:21,22:41,46:49"), 2: (0, 0, "")}
-
-
 def test_letters_are_searched_whole(spark, sf_dir, tmp_path, monkeypatch):
     texts = ["z" * 48 + "bolt", "z" * 148 + "bolt", "z" * 900 + "Bolt", "z" * 900, "bolt", None]
     turns = [(1, i, "clerk", t) for i, t in enumerate(texts)]
     spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
-    letters = Corpus.from_star(spark, str(tmp_path))["correspondence_whole"]
+    letters = Corpus.from_star(spark, str(tmp_path))["correspondence"]
     docs = spark.createDataFrame([(1, "a.pdf", None)], "id long, file_name string, display_title string")
     found = queries.search.search_facts(letters, docs, "bolt", queries.search.SEARCHES["correspondence"])
     assert [r.id for r in found.collect()] == [1000, 1001, 1002, 1004]
     c = Corpus.from_star(spark, sf_dir)
-    c.tables["correspondence_whole"] = letters
+    c.tables["correspondence"] = letters
     c.tables["documents"] = spark.createDataFrame([(1, "a.pdf", None)], c["documents"].select("id", "file_name", "display_title").schema)
     seen = {}
     monkeypatch.setattr(queries.discovery, "evidence_counts", seen.update)
@@ -77,19 +68,9 @@ def test_fuzzy_takes_the_names_of_the_table(spark):
 def test_all_rows_are_offered(spark, sf_dir):
     c = Corpus.from_star(spark, sf_dir)
     docs = c["documents"].select("id", "file_name").collect()
-    ids = {r.file_name: r.id for r in queries.id_assignment_all(spark, c).collect()}
+    ids = {r.file_name: r.id for r in queries.id_assignment(spark, c).collect()}
     assert ids == {n: 1001 + i for i, n in enumerate(sorted(r.file_name for r in docs))}
-    assert {r.file_name for r in queries.skip_processed_all(spark, c).collect()} == {r.file_name for r in docs if r.id % 2}
-    assert queries.mention_upsert_all(spark, c).count() >= c["mentions"].where("document_id % 4 <> 0").count() > 0
-    names = {(r.name, r.type) for r in queries.entity_find_or_create_all(spark, c).collect()}
+    assert {r.file_name for r in queries.skip_processed(spark, c).collect()} == {r.file_name for r in docs if r.id % 2}
+    assert queries.mention_upsert(spark, c).count() >= c["mentions"].where("document_id % 4 <> 0").count() > 0
+    names = {(r.name, r.type) for r in queries.entity_find_or_create(spark, c).collect()}
     assert {(r.name, r.type) for r in c["entities"].where("id % 2 = 0").collect()} <= names
-
-
-def test_items_without_id_contaminate(spark):
-    docs = spark.createDataFrame([(1, "so one two three"), (2, "four five"), (3, "clean")], "doc_id long, text string")
-    items = spark.createDataFrame([(None, "one two three"), (None, "four five"), (7, "four five")], "item_id long, text string")
-    for block in (4_000_000, 10):
-        got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate.contamination(docs, items, block_bytes=block).collect()}
-        digest = lambda t: hashlib.sha256(t).hexdigest()
-        assert got == {1: (3, 0, digest(b""), True), 2: (2, 1, digest(b"7"), True), 3: (0, 0, digest(b""), False)}
-        assert [r.doc_id for r in decontaminate.clean(docs, items, block_bytes=block).collect()] == [3]
