@@ -62,6 +62,16 @@ def with_tokens(texts: DataFrame, stemmed: bool = False) -> DataFrame:
     return texts.withColumn("tokens", stems(own) if stemmed else own)
 
 
+def matched(texts: DataFrame, query: str, stemmed: bool = False, or_else: Column | None = None) -> DataFrame:
+    """Texts that match, with their tokens: a generator yields a text's tokens if they match, so they are made once.
+
+    As a column and a filter, the filter would be pushed below the column and the text be cut into tokens twice.
+    """
+    own = tokens(F.col("full_text"))
+    hit = lambda t: match(t, query, stemmed) if or_else is None else match(t, query, stemmed) | or_else
+    return texts.withColumn("tokens", F.explode(F.filter(F.array(stems(own) if stemmed else own), hit)))
+
+
 def token_index(texts: DataFrame) -> DataFrame:
     """(token, document_id, positions): an inverted index to write once, bucketed by token, for repeated queries."""
     each = texts.select(F.col("id").alias("document_id"), F.posexplode(tokens(F.col("full_text"))).alias("pos", "token"))
@@ -84,17 +94,22 @@ def passages(text: Column, terms: list[str], context_chars: int = 500, most: int
     tidy = F.regexp_replace(F.regexp_replace(text, r"\n{3,}", "\n\n"), r"[ \t]+", " ")
     parts = F.filter(F.transform(F.split(tidy, separator), strip), lambda p: p != "")
 
+    def hits(p: Column) -> Column:
+        """Occurrences of all terms, with the paragraph lower-cased once."""
+        return bound(F.lower(p), lambda l: reduce(lambda a, b: a + b, [((F.length(l) - F.length(F.replace(l, F.lit(t), F.lit("")))) / len(t)).cast("long") for t in low]))
+
     def cut(block: Column) -> Column:
-        around = F.lit(None).cast("string")
-        for t in reversed(low):
-            pos = F.instr(F.lower(block), t) - 1
-            start = F.greatest(F.lit(0), pos - context_chars)
-            end = F.least(F.length(block), pos + context_chars)
-            around = F.when(pos >= 0, F.concat(F.lit("..."), block.substr(start + 1, end - start), F.lit("..."))).otherwise(around)
-        return F.when(F.length(block) > 2 * context_chars, F.coalesce(around, block)).otherwise(block)
+        places = lambda l: F.filter(F.array(*[(F.instr(l, t) - 1) for t in low]), lambda p: p >= 0)
+        pos = F.get(bound(F.lower(block), places), F.lit(0))
+
+        def around(p: Column) -> Column:
+            start = F.greatest(F.lit(0), p - context_chars)
+            return F.when(p >= 0, F.concat(F.lit("..."), block.substr(start + 1, F.least(F.length(block), p + context_chars) - start), F.lit("...")))
+
+        return F.when(F.length(block) > 2 * context_chars, F.coalesce(bound(pos, around), block)).otherwise(block)
 
     def pick(ps: Column) -> Column:
-        scored = F.transform(ps, lambda p, i: F.struct((-term_hits(p, low)).alias("score"), (-F.length(p)).alias("length"), i.alias("i")))
+        scored = F.transform(ps, lambda p, i: F.struct((-hits(p)).alias("score"), (-F.length(p)).alias("length"), i.alias("i")))
         good = F.array_sort(F.filter(scored, lambda s: (s["score"] < 0) & (s["length"] < -30)))
         first = F.slice(good, 1, 2 * most)
         blocks = F.transform(first, lambda s: F.struct((-s["score"]).alias("score"), cut(F.array_join(F.slice(ps, F.greatest(s["i"], F.lit(1)), F.when(s["i"] > 0, 3).otherwise(2)), joiner)).alias("text")))
@@ -125,10 +140,9 @@ def search_passages(texts: DataFrame, mentions: DataFrame, query: str, max_docs:
     and orders by entities.
     """
     terms = query_terms(query)
-    found = with_tokens(texts, stemmed)
     plain = " ".join(w for g in parse_query(query) for _, ws in g for w in ws)
     for asked in dict.fromkeys((query, plain)):
-        hits = found.where(match(F.col("tokens"), asked, stemmed))
+        hits = matched(texts, asked, stemmed)
         if not hits.isEmpty():
             ranked = hits.withColumn("rank", F.round(rank(F.col("tokens"), asked, stemmed), 6))
             break
@@ -140,8 +154,7 @@ def search_passages(texts: DataFrame, mentions: DataFrame, query: str, max_docs:
 
 def search_documents(texts: DataFrame, mentions: DataFrame, query: str, limit: int = 30, stemmed: bool = False) -> DataFrame:
     """(id, file_name, display_title, collection, rank, entity_count): full-text or file-name hits, by rank and entities."""
-    found = with_tokens(texts, stemmed)
-    hits = found.where(match(F.col("tokens"), query, stemmed) | any_ilike(["file_name"], query_terms(query)))
+    hits = matched(texts, query, stemmed, any_ilike(["file_name"], query_terms(query)))
     ranked = hits.withColumn("rank", F.round(F.coalesce(rank(F.col("tokens"), query, stemmed), F.lit(0.0)), 6)).drop("full_text", "tokens")
     return counted(ranked, {"entity_count": mentions}).select("id", "file_name", "display_title", "collection", "rank", "entity_count").orderBy(F.desc("rank"), F.desc("entity_count"), "id").limit(limit)
 
@@ -164,7 +177,7 @@ def rank_documents(texts: DataFrame, mentions: DataFrame, transactions: DataFram
     three times relationships. Finding aids are left out. Order: score, id.
     """
     terms = content_terms(query)
-    found = with_tokens(texts, stemmed).where(match(F.col("tokens"), query, stemmed) & ~F.lower("file_name").rlike("|".join(REFERENCE_NAMES)))
+    found = matched(texts.where(~F.lower("file_name").rlike("|".join(REFERENCE_NAMES))), query, stemmed)
     length = F.greatest(F.coalesce(F.length("full_text"), F.lit(1)), F.lit(1))
     name_hits = reduce(lambda a, b: a + b, [F.contains(F.lower("file_name"), F.lit(t.lower())).cast("int") for t in terms])
     slim = found.select(
