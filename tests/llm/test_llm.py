@@ -454,6 +454,45 @@ def test_items_without_id_contaminate(spark):
         assert [r.doc_id for r in decontaminate.clean(docs, items, block_bytes=block).collect()] == [3]
 
 
+@given(st.data())
+@settings(max_examples=60, deadline=None)
+def test_machine_equals_brute_force(data):
+    vocabulary = ["a", "b", "c", "dé"]
+    say = lambda most: " ".join(data.draw(st.lists(st.sampled_from(vocabulary), max_size=most)))
+    width = data.draw(st.integers(1, 7))
+    items = [(str(i), say(14)) for i in range(data.draw(st.integers(0, 5)))]
+    texts = [say(40) for _ in range(data.draw(st.integers(1, 5)))]
+    machine = decontaminate.Machine(items, width)
+    (_, _, hashes, bounds), *_ = decontaminate._hashed(pa.array(texts))
+    hit, pairs = machine.find(hashes, bounds)
+    for i, t in enumerate(texts):
+        w = decontaminate.words(t)
+        want, which = set(), set()
+        for j, (_, item) in enumerate(items):
+            v = decontaminate.words(item)
+            k = min(width, len(v))
+            for x in range(len(v) - k + 1 if k else 0):
+                for y in range(len(w) - k + 1):
+                    if w[y : y + k] == v[x : x + k]:
+                        want |= set(range(y, y + k))
+                        which.add(j)
+        assert set(np.flatnonzero(hit[bounds[i] : bounds[i + 1]]).tolist()) == want
+        assert set(pairs[pairs[:, 0] == i, 1].tolist()) == which
+
+
+def test_long_texts_are_scanned_whole(spark):
+    item = " ".join(f"w{i % 700}" for i in range(3_000))
+    text = "odd " * 20_000 + item + " odd" * 5_000 + " " + item[:200]
+    got = by_id(decontaminate.contamination(docs_of(spark, [text, "odd"]), spark.createDataFrame([("1", item)], "item_id string, text string")))
+    assert (got[0].n_words, got[0].n_items, got[1].n_hit) == (len(text.split()), 1, 0)
+    assert got[0].n_hit == 3_000 + len(item[:200].split(" ")) - (item[200] != " ")
+
+
+def test_clean_takes_clashing_names(spark):
+    df = docs_of(spark, ["so one two three", "clean"]).withColumn("hit_words", F.lit(1)).withColumn("hit_items", F.lit("x"))
+    assert [r.doc_id for r in decontaminate.clean(df, spark.createDataFrame([("1", "one two three")], "item_id string, text string")).collect()] == [1]
+
+
 # --- 9: lines, sentences and paragraphs --------------------------------------------------------------------------------
 
 
