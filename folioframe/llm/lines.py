@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .kernels import IS_WORD, LOWER, U64, mix, powers, runs, span_hashes, text_slices
-from .work import arrow_map, staged
+from .work import arrow_map, joined_by_count, staged
 
 _LEADS = (np.arange(256) & 0xC0) != 0x80
 _STOP = np.zeros(256, bool)
@@ -19,8 +19,6 @@ LEVELS = ("sentence", "line", "paragraph")
 UNITS = "array<struct<no:int,start:int,end:int,n_words:int,a:long,b:long>>"
 _UNIT = pa.struct([("no", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("n_words", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
 LAST = (1 << 63) - 1  # the rank of a null id
-#: A digest in more than this share of all units, and in HOT_LEAST of them, is hot; so there are at most 100,000 hot ones.
-HOT_SHARE, HOT_LEAST = 100_000, 4_096
 
 
 def _spans(data: np.ndarray, offsets: np.ndarray, level: str) -> tuple[np.ndarray, np.ndarray]:
@@ -114,7 +112,7 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows with one id and one text are one document, judged alike. Other columns are ignored.
 
     Digests are counted with partial sums, so a line in a third of all texts is a row a task. Occurrences of repeated
-    digests are joined back to the first: those of hot digests to a broadcast table of at most HOT_SHARE rows, the rest
+    digests are joined back to the first: those of hot digests to a broadcast table of at most 100,000 rows, the rest
     by a shuffle in which no digest has more rows than the hot bound.
     """
     if level not in LEVELS:
@@ -130,10 +128,7 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     place = F.struct("rank", "row", "no")
     again = staged(each.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("times")).where("times > 1"), "repeats")
     total = found.agg(F.sum(F.size("units"))).first()[0] or 0
-    is_hot = F.col("times") > max(HOT_LEAST, total // HOT_SHARE)
-    hot = F.broadcast(again.where(is_hot).select("a", "b", "first"))
-    keys = ["a", "b"]
-    gone = each.join(hot, keys).unionByName(each.join(hot.select(*keys), keys, "left_anti").join(again.where(~is_hot).select("a", "b", "first"), keys)).where(place != F.col("first"))
+    gone = joined_by_count(each, again, ["a", "b"], total).where(place != F.col("first"))
     spans = gone.groupBy("rank", "row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
     told = F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>"))
     return (

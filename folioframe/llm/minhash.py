@@ -4,8 +4,8 @@ A document's set of word shingles becomes ``REGISTERS`` compressed registers: th
 leading-zero count and ten mantissa bits. Bands of registers give candidate groups; inside a group the registers'
 agreement, corrected for chance collisions, decides which documents may be near; those are confirmed on full sets.
 
-Sizes: band rows are 16 bytes, ``BANDS`` per distinct text. Groups are walked breadth first, so a group of near copies
-costs about its size and never all its pairs; links leave a group as a forest.
+Sizes: band rows are 16 bytes, ``BANDS`` per distinct text, and only those of bands that two texts share are written.
+Groups are walked breadth first, so a group of near copies costs about its size; links leave a group as a forest.
 """
 
 from __future__ import annotations
@@ -17,7 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordering import free_name
 from .components import components
+from .confirm import links, with_blocks
 from .kernels import U64, mix, shingle_sets
 from .work import arrow_map, by_groups, discard, small, staged
 
@@ -26,8 +28,8 @@ BANDS = REGISTERS // ROWS
 MANTISSA = 10
 #: Chance that two registers of different minima agree.
 COLLISION = 0.36 / (1 << MANTISSA)
-#: Documents in one confirming group; larger clusters are confirmed block by block.
-BLOCK = 1024
+#: Documents of one band that are weighed by their registers; where more share a band, all of them are candidates.
+BAND = 4096
 
 _EDGES = np.array([-(-(i << 64) // REGISTERS) for i in range(REGISTERS)], dtype=np.uint64)
 _order: np.ndarray | None = None
@@ -119,61 +121,10 @@ def near_edges(regs: np.ndarray, sizes: np.ndarray, least: float, percent: int)
     return edges
 
 
-class _Forest:
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.root(x), self.root(y)
-        self.up[max(x, y)] = min(x, y)
-        return x != y
-
-
-def exact_edges(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A forest of the true links among the sets: 100 * intersection >= percent * union."""
-    n, forest, edges = len(sets), _Forest(len(sets)), []
-    size = np.array([len(s) for s in sets])
-    if n <= 24:
-        for x in range(n):
-            for y in range(x + 1, n):
-                if 100 * min(size[x], size[y]) >= percent * max(size[x], size[y]) and forest.root(x) != forest.root(y):
-                    both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                    if both * 100 >= percent * (size[x] + size[y] - both) and forest.join(x, y):
-                        edges.append((x, y))
-        return edges
-    owner = np.repeat(np.arange(n), size)
-    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    common = count > 1
-    place = np.cumsum(common) - 1
-    keep = common[column]
-    owner, column = owner[keep], place[column[keep]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    both = np.zeros((n, n), np.float32)
-    step = 4096
-    for first in range(0, int(common.sum()), step):
-        a, b = np.searchsorted(column, [first, first + step])
-        rows, inside = np.unique(owner[a:b], return_inverse=True)
-        block = np.zeros((len(rows), step), np.float32)
-        block[inside, column[a:b] - first] = 1
-        both[np.ix_(rows, rows)] += block @ block.T
-    union = size[:, None] + size[None, :] - both
-    for x, y in zip(*np.nonzero(np.triu(both * 100 >= percent * union, 1)), strict=True):
-        if forest.join(int(x), int(y)):
-            edges.append((int(x), int(y)))
-    return edges
-
-
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [s.tobytes() for s in shingle_sets(batch.column("text"), width)]
-        yield pa.RecordBatch.from_arrays([batch.column("cluster"), batch.column("blocks"), batch.column("doc_id"), pa.array(found, pa.binary())], ["cluster", "blocks", "doc_id", "shingles"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cluster", "blocks", "doc_id", "size")), pa.array(found, pa.binary())], ["cluster", "blocks", "doc_id", "size", "shingles"])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = 5, margin: float = 0.13) -> DataFrame:
@@ -181,7 +132,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Documents link when their sets of ``width``-word shingles have 100 * intersection >= ``percent`` * union. ``margin``
     is what an estimate may fall short of that and still be confirmed on full sets; it is over five standard
-    deviations. A pair at the very threshold shares no band with a chance of about 5e-7, and falls below the margin with 1e-7.
+    deviations. If registers agree independently, a pair of similarity s shares no band with a chance of
+    (1 - s**ROWS)**BANDS: 6e-9 for 0.85, 5e-6 for 0.8.
 
     Null and empty texts, and texts without words, have no shingles and link with nothing. Rows that share a doc_id
     count as one document. A row with null doc_id is kept, with a null component. Other columns are ignored.
@@ -193,15 +145,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # A class of equal sets goes on as its smallest document.
     reps = with_set.join(classes.select("key", F.col("rep").alias("doc_id")), ["key", "doc_id"]).dropDuplicates(["doc_id", "key"]).select(F.col("doc_id").alias("rep"), "n_shingles", "regs")
     reps = staged(reps, "reps")
+    rows = arrow_map(reps.select("rep", "regs"), _bands, "band long, rep long")
+    shared = staged(rows.groupBy("band").agg(F.count("*").alias("n"), F.min("rep").alias("first")).where("n > 1"), "bands")
+    bands = staged(rows.join(small(shared), "band"), "members")
+    # A band with very many documents is no evidence to weigh in one task: all of them are candidates.
+    hot = bands.where((F.col("n") > BAND) & (F.col("rep") != F.col("first"))).select(F.col("first").alias("a"), F.col("rep").alias("b"))
     in_band = Window.partitionBy("band")
-    bands = (
-        arrow_map(reps.select("rep", "regs"), _bands, "band long, rep long")
-        .select("band", "rep", F.count("*").over(in_band).alias("n"), F.bit_xor(F.xxhash64("rep")).over(in_band).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).over(in_band).alias("y"))
-        .where("n > 1")
-    )
+    few = bands.where(F.col("n") <= BAND).select("band", "rep", "n", F.bit_xor(F.xxhash64("rep")).over(in_band).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).over(in_band).alias("y"))
     # The same documents often share many bands: one band of each such group is enough.
     alike = Window.partitionBy("n", "x", "y")
-    groups = bands.withColumn("one", F.min("band").over(alike)).where("band = one").select("band", "rep")
+    groups = few.withColumn("one", F.min("band").over(alike)).where("band = one").select("band", "rep")
     members = groups.join(reps, "rep")
     least = percent / 100 - margin
 
@@ -211,21 +164,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = near_edges(regs, group["n_shingles"].to_numpy(), least, percent)
         return pa.table({"a": ids[[x for x, _ in found]], "b": ids[[y for _, y in found]]}) if found else None
 
-    clusters = staged(components(by_groups(members, ["band"], walk, "a long, b long")), "clusters")
+    clusters = components(by_groups(members, ["band"], walk, "a long, b long").unionByName(hot))
+    sized = clusters.select(F.col("node").alias("doc_id"), F.col("label").alias("cluster")).join(reps.select(F.col("rep").alias("doc_id"), F.col("n_shingles").alias("size")), "doc_id")
+    inside = staged(with_blocks(sized), "inside")
     discard(reps)
-    sizes = clusters.groupBy("label").agg(F.count("*").alias("size"))
-    inside = staged(clusters.join(sizes, "label").select(F.col("node").alias("doc_id"), F.col("label").alias("cluster"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "inside")
-    sets = arrow_map(own.where("doc_id is not null").join(small(inside), "doc_id").select("cluster", "blocks", "doc_id", "text"), lambda it: _sets(it, width), "cluster long, blocks int, doc_id long, shingles binary")
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = sets.withColumn("own", block).withColumn("other", other).select("cluster", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "doc_id", "shingles")
-
-    def confirm(group: pa.Table) -> pa.Table | None:
-        ids = group["doc_id"].to_numpy()
-        found = exact_edges([np.frombuffer(s, np.uint64) for s in group["shingles"].to_pylist()], percent)
-        return pa.table({"a": ids[[x for x, _ in found]], "b": ids[[y for _, y in found]]}) if found else None
-
-    labels = components(by_groups(dealt, ["cluster", "p", "q"], confirm, "a long, b long"))
+    named = own.where("doc_id is not null")
+    sets_of = lambda rows: arrow_map(named.join(small(rows), "doc_id").select("cluster", "blocks", "doc_id", "size", "text"), lambda it: _sets(it, width), "cluster long, blocks int, doc_id long, size long, shingles binary")
+    labels = links(inside, sets_of, percent)
     copies = classes.where("copies > 1").select("key", "rep")
     out = sketch.select("doc_id", "key", "n_shingles").join(copies, "key", "left").withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")))
     out = out.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component_id", F.coalesce("label", "rep"))
@@ -244,6 +189,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     again = staged(found.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias(id_col)).count().where("count > 1").select(id_col), "again")
     if not again.isEmpty():
         order = Window.partitionBy(id_col).orderBy(F.xxhash64(*docs.columns))
-        one = out.join(again, id_col, "left_semi").withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+        place = free_name(docs.columns, "place")
+        one = out.join(again, id_col, "left_semi").withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
         out = out.join(again, id_col, "left_anti").unionByName(one)
     return out.select(*docs.columns)

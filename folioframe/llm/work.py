@@ -57,6 +57,18 @@ def small(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= most_rows else df
 
 
+#: A key in more than this share of all rows, and in HOT_LEAST of them, is hot; so there are at most HOT_SHARE hot ones.
+HOT_SHARE, HOT_LEAST = 100_000, 4_096
+
+
+def joined_by_count(each: DataFrame, per_key: DataFrame, keys: list[str], total: int, times: str = "times") -> DataFrame:
+    """``each`` joined with a staged table of a row per key and its rows in ``each``: hot keys by a broadcast of at most
+    HOT_SHARE rows, the rest by a shuffle in which no key has more rows than the hot bound."""
+    is_hot = F.col(times) > max(HOT_LEAST, total // HOT_SHARE)
+    hot = F.broadcast(per_key.where(is_hot))
+    return each.join(hot, keys).unionByName(each.join(hot.select(*keys), keys, "left_anti").join(per_key.where(~is_hot), keys))
+
+
 def tidy() -> None:
     """Give freed memory back: a worker stays between tasks, and what it keeps is missing elsewhere."""
     pa.default_memory_pool().release_unused()

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from folioframe.llm import chat, decontaminate, hostrules, kernels, lines, minhash, packing, pii, quality, queries, repeats, tokens
+from folioframe.llm import chat, confirm, decontaminate, hostrules, kernels, lines, minhash, packing, pii, quality, queries, repeats, tokens, work
 from folioframe.llm.components import components
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -109,13 +109,65 @@ def test_near_duplicates(spark, corpus):
 
 def test_near_duplicates_of_a_chain(spark, monkeypatch):
     """Each text is near the next, the ends are not near each other; blocks are made small so that clusters are split."""
-    monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(confirm, "BLOCK", 8)
     base = [f"w{i}" for i in range(200)]
     texts = [" ".join(base[:i] + [f"x{k}" for k in range(i)] + base[i:]) for i in range(0, 60, 1)]
     got = by_id(minhash.near_duplicates(docs_of(spark, texts)))
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == brute_near(list(range(60)), texts)
 
 
+@pytest.mark.parametrize(("block", "items", "band"), [(4, 2_000_000, 4096), (16, 1_500, 4096), (8, 2_000_000, 3)])
+def test_near_duplicates_in_small_blocks(spark, corpus, monkeypatch, block, items, band):
+    """Clusters are dealt over many blocks, and pieces that no representatives link are linked by rare shingles."""
+    monkeypatch.setattr(confirm, "BLOCK", block)
+    monkeypatch.setattr(confirm, "BLOCK_ITEMS", items)
+    monkeypatch.setattr(minhash, "BAND", band)
+    across = []
+    plain = confirm._across
+    monkeypatch.setattr(confirm, "_across", lambda *a: across.append(a) or plain(*a))
+    rnd = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    edit = lambda w, n: [f"e{rnd.randrange(10**6)}" if i in set(rnd.sample(range(len(w)), n)) else x for i, x in enumerate(w)]
+    bases = [base]
+    for n in (3, 4, 5, 4):  # groups about as near to each other as the threshold asks
+        bases.append(edit(bases[-1], n))
+    texts = [*corpus[:40], *[" ".join(edit(b, rnd.choice([0, 0, 1, 1, 2]))) for b in bases for _ in range(25)]]
+    got = by_id(minhash.near_duplicates(docs_of(spark, texts)))
+    assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == brute_near(list(range(len(texts))), texts)
+    assert across
+
+
+def test_near_copies_cost_their_number(spark, monkeypatch):
+    """Rows that go into comparing groups grow with a cluster of near copies, not with its square."""
+    monkeypatch.setattr(confirm, "BLOCK", 64)
+    rows = []
+    plain = confirm.by_groups
+    monkeypatch.setattr(confirm, "by_groups", lambda df, *a, **k: rows.append(df.count()) or plain(df, *a, **k))
+    rnd = random.Random(3)
+    base = [f"w{i}" for i in range(150)]
+    texts = [" ".join(x if i != k else f"e{n}" for i, x in enumerate(base)) for n, k in enumerate(rnd.randrange(150) for _ in range(2_000))]
+    got = by_id(minhash.near_duplicates(docs_of(spark, texts)))
+    assert {r.component_id for r in got.values()} == {0}
+    assert sum(rows) < 1.2 * len(texts)
+
+
+def test_keep_one_takes_clashing_names(spark):
+    t = "the same ten words are in all of these texts"
+    df = docs_of(spark, [t, t, t], [5, 5, 6]).withColumn("place", F.lit(1)).withColumn("__n", F.lit(1)).withColumn("n", F.lit(2))
+    assert [r.doc_id for r in minhash.keep_one(df).collect()] == [5]
+
+
+def test_a_pair_at_the_threshold_shares_a_band():
+    rnd = np.random.default_rng(8)
+    missed, n = 0, 2_000
+    for _ in range(n):
+        pool = rnd.integers(0, 1 << 63, 185, dtype=np.uint64)  # 170 of 200 in common
+        a, b = np.unique(pool[:185]), np.unique(np.append(pool[:170], rnd.integers(0, 1 << 63, 15, dtype=np.uint64)))
+        same = (minhash.registers(a) == minhash.registers(b)).reshape(minhash.BANDS, minhash.ROWS)
+        missed += not same.all(1).any() or float(minhash.corrected(same.mean())) < 0.85 - 0.13
+    assert not missed
+
+
 def test_near_duplicates_null_and_repeated_ids(spark):
     t = "the same ten words are in all of these texts"
     df = docs_of(spark, [t, t, t, "other words that stand alone in here"], [None, 5, 5, None])
@@ -140,12 +192,12 @@ def test_exact_edges_agree_in_both_forms():
     base = np.unique(rnd.integers(0, 1 << 62, 80, dtype=np.uint64))
     sets = [np.unique(np.append(base[rnd.random(len(base)) > 0.06], rnd.integers(0, 1 << 62, 3, dtype=np.uint64))) for _ in range(60)]
     def roots(edges):
-        f = minhash._Forest(60)
+        f = confirm.Forest(60)
         for x, y in edges:
             f.join(x, y)
         return [f.root(i) for i in range(60)]
     pairs = [(x, y) for x in range(60) for y in range(x) if 100 * len(np.intersect1d(sets[x], sets[y])) >= 85 * len(np.union1d(sets[x], sets[y]))]
-    assert roots(minhash.exact_edges(sets, 85)) == roots(pairs)
+    assert roots(confirm.exact_edges(sets, 85)) == roots(pairs)
     assert len(pairs) > 20
 
 
@@ -566,9 +618,9 @@ def test_repeated_units(spark, corpus, level):
 
 
 def test_hot_units_are_broadcast(spark, corpus, monkeypatch):
-    monkeypatch.setattr(lines, "HOT_LEAST", 1)
+    monkeypatch.setattr(work, "HOT_LEAST", 1)
     texts = [*corpus, *[f"the same line in all of them\nown {i}" for i in range(300)]]
-    monkeypatch.setattr(lines, "HOT_SHARE", 100)
+    monkeypatch.setattr(work, "HOT_SHARE", 100)
     got = by_id(lines.repeated_units(docs_of(spark, texts)))
     assert {i: (r.n_units, r.n_removed, r.removed) for i, r in got.items()} == brute_units(range(len(texts)), texts)
 
