@@ -21,7 +21,7 @@ from .work import arrow_map, by_groups, joined_by_count, small, staged
 
 #: Documents, and items of their sets, in a block.
 BLOCK, BLOCK_ITEMS = 1024, 2_000_000
-EDGES = "a long, b long"
+EDGES, LABELS = "a long, b long", "node long, label long"
 
 
 class Forest:
@@ -96,41 +96,53 @@ def with_blocks(members: DataFrame) -> DataFrame:
 
 
 def links(members: DataFrame, sets_of, percent: int) -> DataFrame:
-    """(node, label) for documents that link: label is the smallest document reached.
+    """(node, label) for documents that link to a smaller one: label is the smallest document reached.
 
     ``members`` is a staged (doc_id, cluster, size, blocks); ``sets_of`` gives (cluster, blocks, doc_id, size, shingles) for some
-    of its rows, with sorted 64-bit items as bytes.
+    of its rows, with sorted 64-bit items as bytes. Every group tells its own pieces by their smallest documents, and
+    each round maps the pieces of the one before, so no graph is walked but that of links found by rare items.
     """
 
-    def confirm(group: pa.Table) -> pa.Table | None:
-        ids = group["doc_id"].to_numpy()
-        found = exact_edges(_sets(group["shingles"]), percent)
-        return pa.table({"a": ids[[x for x, _ in found]], "b": ids[[y for _, y in found]]}) if found else None
+    def pieces(group: pa.Table) -> pa.Table | None:
+        group = group.sort_by("doc_id")
+        ids, forest = group["doc_id"].to_numpy(), Forest(group.num_rows)
+        for x, y in exact_edges(_sets(group["shingles"]), percent):
+            forest.join(x, y)
+        label = ids[[forest.root(i) for i in range(len(ids))]]
+        moved = label != ids
+        return pa.table({"node": ids[moved], "label": label[moved]}) if moved.any() else None
 
-    fits = components(by_groups(sets_of(members.where("blocks = 1")), ["cluster"], confirm, EDGES))
+    fits = by_groups(sets_of(members.where("blocks = 1")), ["cluster"], pieces, LABELS)
     large = members.where("blocks > 1")
     if large.isEmpty():
         return fits
     sets = staged(sets_of(large), "sets")
-    now, found, before, turn = large, None, None, 0
+    now, labels, before, turn = large, large.select("doc_id", "cluster", F.col("doc_id").alias("label"), "size"), None, 0
     while True:
         block = F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.col("blocks")).cast("int").alias("block")
         chosen = now.select("doc_id", "blocks", block)
-        edges = by_groups(sets.drop("blocks").join(small(chosen), "doc_id"), ["cluster", "block"], confirm, EDGES)
-        found = staged(edges if found is None else found.unionByName(edges), "links")
-        labels = staged(large.select("doc_id", "cluster", "size").join(components(found).select(F.col("node").alias("doc_id"), "label"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id")), "labels")
-        pieces = labels.where("doc_id = label")
-        open_ = pieces.groupBy("cluster").count().where("count > 1").select("cluster")
-        now = staged(with_blocks(pieces.join(open_, "cluster", "left_semi").select("doc_id", "cluster", "size")), "pieces")
+        found = by_groups(sets.drop("blocks").join(small(chosen), "doc_id"), ["cluster", "block"], pieces, LABELS)
+        labels = staged(_relabelled(labels, staged(found, "found")), "labels")
+        heads = labels.where("doc_id = label").select("doc_id", "cluster", "size")
+        open_ = heads.groupBy("cluster").count().where("count > 1").select("cluster")
+        now = staged(with_blocks(heads.join(open_, "cluster", "left_semi")), "pieces")
         left, turn = now.count(), turn + 1
         if not left or left == before:
             break
         before = left
     if left:
-        apart = labels.join(now.select("cluster").distinct(), "cluster", "left_semi")
-        found = staged(found.unionByName(_across(sets, staged(apart, "apart"), percent)), "links")
-        labels = large.select("doc_id").join(components(found).select(F.col("node").alias("doc_id"), "label"), "doc_id")
-    return fits.unionByName(labels.select(F.col("doc_id").alias("node"), "label"))
+        apart = staged(labels.join(now.select("cluster").distinct(), "cluster", "left_semi"), "apart")
+        linked = _across(sets, apart, percent)
+        ends = [apart.select(F.col("doc_id").alias(e), F.col("label").alias(f"label_{e}")) for e in "ab"]
+        between = linked.join(ends[0], "a").join(ends[1], "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+        labels = _relabelled(labels, staged(components(between), "across"))
+    return fits.unionByName(labels.where("doc_id <> label").select(F.col("doc_id").alias("node"), "label"))
+
+
+def _relabelled(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc_id, cluster, label, size) with the labels that (node, label) maps replaced; ``found`` is staged."""
+    new = small(found.select(F.col("node").alias("label"), F.col("label").alias("to")))
+    return labels.join(new, "label", "left").select("doc_id", "cluster", F.coalesce("to", "label").alias("label"), "size")
 
 
 def _across(sets: DataFrame, apart: DataFrame, percent: int) -> DataFrame:
