@@ -127,7 +127,7 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cluster", "blocks", "doc_id", "size")), pa.array(found, pa.binary())], ["cluster", "blocks", "doc_id", "size", "shingles"])
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = 5, margin: float = 0.13) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, width: int = 5, margin: float = 0.13) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (doc_id = component_id).
 
     Documents link when their sets of ``width``-word shingles have 100 * intersection >= ``percent`` * union. ``margin``

@@ -21,7 +21,7 @@ def op1_edit_aware_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
