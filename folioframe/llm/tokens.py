@@ -47,6 +47,10 @@ class Counter:
                 self.seen[piece] = n
         return n
 
+    def total(self, text: str) -> int:
+        """The tokens of a whole text, without a memory of its pre-tokens."""
+        return len(self.encoding.encode_ordinary(text))
+
 
 def counter(ranks: bytes) -> Counter:
     key = hash(ranks)
@@ -157,7 +161,7 @@ def unpacked(data: bytes) -> tuple[list[int], list[int]]:
     return tuple(np.frombuffer(data, np.uint8 if data[0] else np.uint32, offset=1).reshape(2, -1).tolist())
 
 
-def _ranks(path: str) -> bytes:
+def ranks(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
 
@@ -167,7 +171,7 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
 
     The vocabulary (under 2 MB, whatever the input) is read on the driver and broadcast. Null texts count as empty.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(_ranks(vocabulary))
+    sent = docs.sparkSession.sparkContext.broadcast(ranks(vocabulary))
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *(keep or []))
     fields = [f.simpleString().replace(":", " ", 1) for f in chosen.schema.fields[2:]]
 
@@ -192,7 +196,7 @@ def recount(indexed: DataFrame, edits_col: str = "edits", vocabulary: str = VOCA
     null is empty and offsets are code points. A null or empty list changes nothing. n_encoded counts the pre-tokens
     encoded again; everything else keeps its sums.
     """
-    sent = indexed.sparkSession.sparkContext.broadcast(_ranks(vocabulary))
+    sent = indexed.sparkSession.sparkContext.broadcast(ranks(vocabulary))
     own = indexed.select("doc_id", "text", "n_tokens", "tree", F.col(edits_col).cast(EDITS).alias("edits"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -102,9 +102,10 @@ def brute_near(ids, texts, percent=85):
     return {i: (len(s), root(i), root(i) == i) for i, s in zip(ids, sets, strict=True)}
 
 
-def test_near_duplicates(spark, corpus):
-    got = by_id(minhash.near_duplicates(docs_of(spark, corpus)))
-    assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == brute_near(list(range(len(corpus))), corpus)
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_duplicates(spark, corpus, percent):
+    got = by_id(minhash.near_duplicates(docs_of(spark, corpus), percent=percent))
+    assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == brute_near(list(range(len(corpus))), corpus, percent)
 
 
 def test_near_duplicates_of_a_chain(spark, monkeypatch):
@@ -112,7 +113,7 @@ def test_near_duplicates_of_a_chain(spark, monkeypatch):
     monkeypatch.setattr(confirm, "BLOCK", 8)
     base = [f"w{i}" for i in range(200)]
     texts = [" ".join(base[:i] + [f"x{k}" for k in range(i)] + base[i:]) for i in range(0, 60, 1)]
-    got = by_id(minhash.near_duplicates(docs_of(spark, texts)))
+    got = by_id(minhash.near_duplicates(docs_of(spark, texts), percent=85))
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == brute_near(list(range(60)), texts)
 
 
@@ -132,7 +133,7 @@ def test_near_duplicates_in_small_blocks(spark, corpus, monkeypatch, block, item
     for n in (3, 4, 5, 4):  # groups about as near to each other as the threshold asks
         bases.append(edit(bases[-1], n))
     texts = [*corpus[:40], *[" ".join(edit(b, rnd.choice([0, 0, 1, 1, 2]))) for b in bases for _ in range(25)]]
-    got = by_id(minhash.near_duplicates(docs_of(spark, texts)))
+    got = by_id(minhash.near_duplicates(docs_of(spark, texts), percent=85))
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == brute_near(list(range(len(texts))), texts)
     assert across
 
@@ -146,7 +147,7 @@ def test_near_copies_cost_their_number(spark, monkeypatch):
     rnd = random.Random(3)
     base = [f"w{i}" for i in range(150)]
     texts = [" ".join(x if i != k else f"e{n}" for i, x in enumerate(base)) for n, k in enumerate(rnd.randrange(150) for _ in range(2_000))]
-    got = by_id(minhash.near_duplicates(docs_of(spark, texts)))
+    got = by_id(minhash.near_duplicates(docs_of(spark, texts), percent=85))
     assert {r.component_id for r in got.values()} == {0}
     assert sum(rows) < 1.2 * len(texts)
 
@@ -226,7 +227,7 @@ def test_components(spark, seed):
 
 @pytest.fixture(scope="module")
 def count():
-    return tokens.Counter(tokens._ranks(tokens.VOCABULARY))
+    return tokens.Counter(tokens.ranks(tokens.VOCABULARY))
 
 
 PIECES = ["a", "b'", "'s", "'ll", " ", "  ", "\n", "1", "é", "!", "'l", "x", "re", "'re", ".", "漢", " ", "𝒳", "word"]
@@ -291,7 +292,36 @@ def test_pack(lengths):
         assert total <= sum(packing.sequence_cost(min(c for c in caps if c >= u)) for u in used) + 1e-9
 
 
-def test_packed(spark, corpus):
+@given(st.lists(st.integers(0, 40), max_size=30))
+@settings(max_examples=80, deadline=None)
+def test_best_fit_is_that_of_a_quadratic_search(lengths):
+    caps, cost = (8, 16, 40), packing.sequence_cost
+    where, offset, used = packing.best_fit(np.array(lengths, np.int64), None, caps)
+    bins, todo, touched = [], sorted(range(len(lengths)), key=lambda i: -lengths[i]), 0
+
+    def rate(c, n, rest):
+        left = c - n
+        for m in rest:  # longest first
+            left -= m if m <= left else 0
+        return cost(min(d for d in caps if d >= c - left)) / max(1, c - left)
+
+    while todo:
+        i = todo.pop(0)
+        n, touched = lengths[i], touched + 1
+        fits = [b for b in bins if b["space"] >= n]
+        if fits:
+            b = min(fits, key=lambda b: (b["space"], -b["touched"]))
+        else:
+            rest = [lengths[k] for k in todo]
+            c = min((c for c in caps if c >= n), key=lambda c: (rate(c, n, rest), c))
+            b = {"space": c, "used": 0, "no": len(bins)}
+            bins.append(b)
+        assert (where[i], offset[i]) == (b["no"], b["used"])
+        b["space"], b["used"], b["touched"] = b["space"] - n, b["used"] + n, touched
+    assert used == [b["used"] for b in bins]
+
+
+def test_packed(spark, corpus, count):
     df = docs_of(spark, [*corpus, "w " * 70, "v " * 63], [*range(len(corpus)), None, 0])
     got = packing.packed(df, capacities=(16, 32, 64), shard_rows=40).collect()
     words = {}
@@ -299,7 +329,7 @@ def test_packed(spark, corpus):
         words[r.doc_id] = words.get(r.doc_id, 0) + r.length
     want = {}
     for r in df.collect():
-        want[r.doc_id] = want.get(r.doc_id, 0) + len(WORD.findall(r.text or ""))
+        want[r.doc_id] = want.get(r.doc_id, 0) + count.total(r.text or "")
     assert words == want
     bins = {}
     for r in got:
@@ -696,7 +726,7 @@ def test_pipeline(spark, sf_dir):
             told = [i for i in before if i in labels]
             assert sum((i in after) == bool(labels[i]) for i in told) / len(told) > 0.95
         elif name == "near_dedup":
-            near = brute_near(list(before), [r.text for r in before.values()])
+            near = brute_near(list(before), [r.text for r in before.values()], percent=80)
             assert set(after) == {i for i, (_, _, kept) in near.items() if kept}
         elif name == "decontamination":
             dirty = brute_contamination([r.text for r in before.values()], bench)
