@@ -15,7 +15,7 @@ from .work import arrow_map
 
 #: Kinds in the order that breaks ties between spans with one start.
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "url", "ipv6", "iban", "account")
+KINDS = (*BASE, "url", "ipv6", "iban", "account", "secret")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGIT = frozenset("0123456789")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -26,15 +26,22 @@ _URL = re.compile(r"[^\s\x00-\x20<>\"'`{}|\\^]+")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _V6 = re.compile(r"(?<![0-9A-Za-z:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![0-9A-Za-z:])")
 _AFTER_CUE = re.compile(r"(?:\s?(?:no|nr|number|num|id)\b)?[.\s]{0,2}[:#=]?\s{0,2}([0-9][0-9-]{4,32}[0-9])(?![0-9])", re.I)
-#: Cues that name an account or an identifier in the text after them.
+#: Cues, in small letters, that name an account or an identifier in the text after them.
 CUES = ("account", "acct", "a/c", "ssn", "passport", "konto", "compte", "cuenta", "tax id", "routing")
+#: Cues of secrets: keys have 16 characters or more and a digit, passwords six or more; both follow a sign of assignment.
+KEYS = ("token", "api_key", "api-key", "api key", "apikey", "secret", "access_key", "access-key", "access key", "private_key")
+PASSWORDS = ("password", "passwd", "pwd")
+_ASSIGNED = re.compile(r"""["'`]?\s{0,3}(?:=>|:=|[:=])\s{0,3}(?:(["'`])([^\s"'`]{4,512})\1|([^\s"'`<>,;(){}\[\]]{4,512}))""")
+_BEARER = re.compile(r"\s{1,3}([A-Za-z0-9_\-+/=.~]{20,512})")
+_KEY = re.compile(r"(?=[^0-9]*[0-9])[A-Za-z0-9_\-+/=.~]{16,512}")
+_SMALL = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SCHEMES = ("http://", "https://", "ftp://")
 
 _machine: ahocorasick.Automaton | None = None
 
 
 def machine() -> ahocorasick.Automaton:
-    """Every anchor with the parser that it calls; cues in lower case, with an initial and in capitals."""
+    """Every anchor with the parser that it calls, in small letters; texts are scanned in small letters too."""
     global _machine
     if _machine is None:
         found = ahocorasick.Automaton()
@@ -42,22 +49,23 @@ def machine() -> ahocorasick.Automaton:
             found.add_word(d, ("digit", 1))
         found.add_word("@", ("email", 1))
         found.add_word("+", ("phone", 1))
-        for d in "0123456789abcdefABCDEF":
+        for d in "0123456789abcdef":
             found.add_word(":" + d, ("ipv6", 2))
         found.add_word("::", ("ipv6", 2))
-        for cue in CUES:
-            for form in {cue, cue.capitalize(), cue.upper()}:
-                found.add_word(form, ("account", len(form)))
-        for cue in ("IBAN", "iban", "Iban"):
-            found.add_word(cue, ("iban", len(cue)))
-        for scheme in SCHEMES:
-            for form in {scheme, scheme.capitalize(), scheme.upper()}:
-                found.add_word(form, ("url", len(form)))
+        for kind, cues in (("account", CUES), ("key", KEYS), ("password", PASSWORDS), ("bearer", ("bearer",)), ("iban", ("iban",)), ("url", SCHEMES)):
+            for cue in cues:
+                found.add_word(cue, (kind, len(cue)))
         found.make_automaton()
         _machine = found
     return _machine
 
 
+def small(text: str) -> str:
+    """The text in small letters, character by character, so that offsets stay."""
+    low = text.lower()
+    return low if len(low) == len(text) else text.translate(_SMALL)
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, d in enumerate(reversed(digits)):
@@ -88,9 +96,9 @@ def find(text: str) -> list[tuple[int, int, str]]:
     of its last match, valid or not.
     """
     out: list[tuple[int, int, str]] = []
-    past = dict.fromkeys(("email", "ip", "card", "phone", "url", "ipv6", "iban", "account"), 0)
+    past = dict.fromkeys(KINDS, 0)
     n = len(text)
-    for last, (cue, length) in machine().iter(text):
+    for last, (cue, length) in machine().iter(small(text)):
         at = last - length + 1
         if cue == "digit":
             if at >= past["card"] and (m := _CHAIN.match(text, at)):
@@ -142,6 +150,16 @@ def find(text: str) -> list[tuple[int, int, str]]:
             if m and m.start(1) >= past["account"]:
                 out.append((m.start(1), m.end(1), "account"))
                 past["account"] = m.end(1)
+        elif cue in ("key", "password", "bearer") and last >= past["secret"] and (at == 0 or not text[at - 1].isalnum()):
+            m = (_BEARER if cue == "bearer" else _ASSIGNED).match(text, last + 1)
+            if m:
+                k = 1 if cue == "bearer" else 2 if m[2] is not None else 3
+                a, b = m.span(k)
+                while k == 3 and b > a and text[b - 1] in ".!?:":
+                    b -= 1
+                if _KEY.fullmatch(text, a, b) if cue != "password" else b - a >= 6:
+                    out.append((a, b, "secret"))
+                    past["secret"] = b
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
