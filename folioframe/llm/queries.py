@@ -16,8 +16,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_edit_aware_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    edited = docs.withColumn("edits", tokens.sample_edits(F.col("text"), F.col("doc_id")))
-    return tokens.recount(tokens.index(edited, keep=["edits"]))
+    return tokens.counted(docs.withColumn("edits", tokens.sample_edits(F.col("text"), F.col("doc_id"))))
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ordering import free_name
 from .work import arrow_map
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -24,6 +25,7 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: A pre-token that ends at b was decided by characters before b + LOOK.
 LOOK = 2
 LEAF = 64
+MEASURES = ["doc_id", "n_before", "n_tokens", "n_chars", "n_pieces", "n_encoded"]
 EDITS = "array<struct<start:int,end:int,text:string>>"
 _split = regex.compile(PATTERN)
 _counters: dict[int, "Counter"] = {}
@@ -167,12 +169,16 @@ def ranks(path: str) -> bytes:
 
 
 def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Per row: doc_id, text, n_tokens, tree (the leaves: characters and tokens of each pre-token), and the columns of ``keep``.
+    """Per row: doc_id, text, n_tokens, tree (the leaves: characters and tokens of each pre-token), and the columns of ``keep``,
+    with underscores before a name that one of these four has.
 
     The vocabulary (under 2 MB, whatever the input) is read on the driver and broadcast. Null texts count as empty.
     """
     sent = docs.sparkSession.sparkContext.broadcast(ranks(vocabulary))
-    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *(keep or []))
+    names = ["doc_id", "text", "n_tokens", "tree"]
+    for k in keep or []:
+        names.append(free_name(names, k))
+    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *[F.col(k).alias(n) for k, n in zip(keep or [], names[4:], strict=True)])
     fields = [f.simpleString().replace(":", " ", 1) for f in chosen.schema.fields[2:]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,12 +189,39 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
                 chars, tokens = leaves(x.as_py() or "", count)
                 totals.append(sum(tokens))
                 trees.append(packed(chars, tokens))
-            rest = batch.schema.names[2:]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(totals, pa.int64()), pa.array(trees, pa.binary()), *(batch.column(k) for k in rest)], ["doc_id", "text", "n_tokens", "tree", *rest])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(totals, pa.int64()), pa.array(trees, pa.binary()), *batch.columns[2:]], names)
 
     return arrow_map(chosen, run, ", ".join(["doc_id long", "text string", "n_tokens long", "tree binary", *fields]))
 
 
+def _edited(tree: Tree, edits: list[dict] | None, count: Counter) -> Tree:
+    for e in edits or []:
+        tree.edit(e["start"] or 0, e["end"] or 0, e["text"] or "", count)
+    return tree
+
+
+def _measures(t: Tree) -> tuple[int, int, int, int]:
+    return t.total, len(t.text), sum(len(c) for c, _ in t.blocks), t.encoded
+
+
+def counted(docs: DataFrame, edits_col: str = "edits", id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
+    """What ``recount`` gives for the index of ``docs``, in one pass: trees are built, edited and left behind in the worker."""
+    sent = docs.sparkSession.sparkContext.broadcast(ranks(vocabulary))
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(edits_col).cast(EDITS).alias("edits"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = counter(sent.value)
+        for batch in batches:
+            rows = []
+            for text, edits in zip(batch.column("text"), batch.column("edits"), strict=True):
+                tree = Tree(text.as_py() or "", *leaves(text.as_py() or "", count))
+                rows.append((tree.total, *_measures(_edited(tree, edits.as_py(), count))))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns)], MEASURES)
+
+    return arrow_map(own, run, ", ".join(f"{n} long" for n in MEASURES))
+
+
 def recount(indexed: DataFrame, edits_col: str = "edits", vocabulary: str = VOCABULARY, keep_tree: bool = False) -> DataFrame:
     """Per row of an index with a column of edits: doc_id, n_before, n_tokens, n_chars, n_pieces, n_encoded, and on demand text and tree.
 
@@ -204,16 +237,14 @@ def recount(indexed: DataFrame, edits_col: str = "edits", vocabulary: str = VOCA
         for batch in batches:
             rows: list[tuple] = []
             for text, tree, edits in zip(batch.column("text"), batch.column("tree"), batch.column("edits"), strict=True):
-                t = Tree(text.as_py() or "", *unpacked(tree.as_py()))
-                for e in edits.as_py() or []:
-                    t.edit(e["start"] or 0, e["end"] or 0, e["text"] or "", count)
-                rows.append((t.total, len(t.text), sum(len(c) for c, _ in t.blocks), t.encoded) + ((t.text, packed(sum((c for c, _ in t.blocks), []), sum((n for _, n in t.blocks), []))) if keep_tree else ()))
+                t = _edited(Tree(text.as_py() or "", *unpacked(tree.as_py())), edits.as_py(), count)
+                rows.append(_measures(t) + ((t.text, packed(sum((c for c, _ in t.blocks), []), sum((n for _, n in t.blocks), []))) if keep_tree else ()))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * (6 if keep_tree else 4)
             kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()] * keep_tree
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names)
 
-    names = ["doc_id", "n_before", "n_tokens", "n_chars", "n_pieces", "n_encoded"] + ["text", "tree"] * keep_tree
-    return arrow_map(own, run, "doc_id long, n_before long, n_tokens long, n_chars long, n_pieces long, n_encoded long" + ", text string, tree binary" * keep_tree)
+    names = MEASURES + ["text", "tree"] * keep_tree
+    return arrow_map(own, run, ", ".join(f"{n} long" for n in MEASURES) + ", text string, tree binary" * keep_tree)
 
 
 def sample_edits(text: Column, key: Column) -> Column:

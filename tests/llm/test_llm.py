@@ -267,6 +267,11 @@ def test_token_counts(spark, corpus, count):
     plain = tokens.index(docs_of(spark, [None, "a b"])).withColumn("edits", F.lit(None))
     assert [(r.n_before, r.n_tokens) for r in tokens.recount(plain).orderBy("doc_id").collect()] == [(0, 0), (2, 2)]
     assert tokens.recount(tokens.index(df.limit(0), keep=["edits"])).count() == 0
+    one_pass = by_id(tokens.counted(df))
+    assert {i: tuple(r) for i, r in one_pass.items()} == {i: tuple(r)[:6] for i, r in got.items()}
+    clashing = tokens.index(df.withColumn("tree", F.lit("x")), keep=["edits", "tree", "text"])
+    assert clashing.columns == ["doc_id", "text", "n_tokens", "tree", "edits", "_tree", "_text"] and clashing.first()["_tree"] == "x"
+    assert tokens.counted(df.limit(0)).count() == 0
 
 
 # --- 3: packing --------------------------------------------------------------------------------------------------------
@@ -430,6 +435,27 @@ def test_added_spans():
     assert found == [("url", "https://a.example/x?y=1"), ("iban", "DE89 3704 0044 0532 0130 00"), ("account", "12-345678"), ("ipv6", "fe80::1")]
 
 
+@pytest.mark.parametrize("cue", [*pii.CUES, "Account", "ACCT", "Tax ID", "TAX ID", "Passport No.", "Konto Nr", "Account number", "SSN no."])
+def test_account_cues(cue):
+    t = f"é İ so {cue}: 12-3456789, 12-3456789"
+    assert [(t[a:b], k) for a, b, k in pii.find(t) if k not in pii.BASE] == [("12-3456789", "account")]
+
+
+@pytest.mark.parametrize("shape", ['{} = "{}"', "{}: '{}'", "{}={}", '"{}": "{}",', "{} := {}", "X_{}={} and"])
+def test_secrets(shape):
+    key = "24be64a7c1d2e3f4a5b6c7d8e9f0a1b2c3d4e5f6"
+    for cue in (*pii.KEYS, "Token", "API_KEY", "Secret"):
+        t = f"öö {shape.format(cue, key)}"
+        assert [(t[a:b], k) for a, b, k in pii.find(t) if k not in pii.BASE] == [(key, "secret")]
+        t = shape.format(cue, "of-the-words-that-have-no-digit")
+        assert not pii.find(t)
+    for cue in (*pii.PASSWORDS, "Password"):
+        t = shape.format(cue, "hunter.2!x")
+        assert [(t[a:b], k) for a, b, k in pii.find(t)] == [("hunter.2!x", "secret")]
+    assert pii.find("Authorization: Bearer " + key) == [(22, 62, "secret")]
+    assert not [s for t in ("the token of 1999 was", "passwords: none", "a secret: no", "token ring = big") for s in pii.find(t)]
+
+
 def test_personal_data(spark):
     t = "𝒳 mail a.b@c.example, card 4111 1111 1111 1111, call +1 (555) 010-9999 at 10.0.0.255 not 10.0.0.256"
     df = docs_of(spark, [t, *ODD])
