@@ -29,8 +29,11 @@ LENGTH, GRAM, CORE = 50, 8, 29
 SHARD_BYTES, BUCKET_BYTES, GROUP_BYTES = 12 << 20, 6 << 20, 8 << 20
 #: Edges of a shard's copies are compared in so many parts, by core.
 PARTS = 4
-#: Bytes of a hash that tells whether the surroundings of equal cores are equal: at 100 TB, under one wrong in ten runs.
-NEAR = 5
+#: Bytes of a hash that tells whether the surroundings of equal cores are equal: at 100 TB, some 1e12 groups of equal cores
+#: would be wrong with a chance of 2e-5 in all.
+NEAR = 7
+#: Bits of a gram's place; the rest of a key is its hash, so the order of grams is the same in slices of all sizes.
+_PLACE = 32
 _SPREAD = LENGTH - GRAM + 1  # grams of a window
 _BACK = CORE - GRAM  # bytes of a left core before its gram
 LAST = (1 << 63) - 1  # the rank of a null id
@@ -47,7 +50,7 @@ def halves(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         h = g.copy()
         h[:-step] |= g[step:] << U64(shift)
         g = h
-    mask = U64((1 << int(n).bit_length()) - 1)
+    mask = U64((1 << _PLACE) - 1)
     least = (mix(g) & ~mask) | np.arange(n, dtype=np.uint64)
     width = 1
     while 2 * width <= _SPREAD:
@@ -264,8 +267,8 @@ def _compared(group: pa.Table, buckets: int) -> pa.Table | None:
     lowest = np.full(len(chosen), LAST)
     np.minimum.at(lowest, text, rank)
     count = size[chosen]
-    index = RunIndex(data[_spread(first[chosen], count)], count, LENGTH)
-    of, offset, least = index.stream(lowest)
+    texts = data[_spread(first[chosen], count)]
+    of, offset, _, least = RunIndex(texts, count, LENGTH, lowest).stream(texts, count)
     order = np.lexsort((offset, of))
     windows = count - LENGTH + 1
     place = np.cumsum(windows) - windows

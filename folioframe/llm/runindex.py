@@ -1,7 +1,11 @@
 """A run-compressed index of many short texts: Burrows-Wheeler transform in runs, positions sampled at run ends.
 
 Texts stand one after the other, each with an end mark that sorts before all bytes; marks are ordered as their texts are,
-and no comparison goes past one. All steps are numpy passes over all texts at once.
+and no match goes past one. Any texts are streamed through it backwards for matching statistics: where the byte before a
+row is not the one asked for, the search goes on at the nearest run of that byte above or below, whichever shares more
+with the match so far. What two places share is told by comparing bytes at the positions sampled at run ends, after
+Boucher, Gagie et al. (PHONI, 2021). The order of suffixes is dropped once the runs are made. All steps are numpy passes
+over all texts at once.
 """
 
 from __future__ import annotations
@@ -12,21 +16,22 @@ _FIRST = 7  # symbols of nine bits in a key
 
 
 class RunIndex:
-    """``data`` holds the texts' bytes end to end, ``sizes`` their lengths; ``depth`` is how many bytes make an interval."""
+    """``data`` holds the texts' bytes end to end, ``sizes`` their lengths, ``value`` a number of each; strings of
+    ``depth`` bytes are looked for."""
 
-    def __init__(self, data: np.ndarray, sizes: np.ndarray, depth: int):
+    def __init__(self, data: np.ndarray, sizes: np.ndarray, depth: int, value: np.ndarray):
         if depth < _FIRST:
             raise ValueError(f"depth must be {_FIRST} or more")
-        self.sizes = sizes.astype(np.int64)
+        sizes = sizes.astype(np.int64)
         m, longest = len(sizes), int(sizes.max(initial=0)) + 1
-        owner = np.repeat(np.arange(m), self.sizes + 1)
-        starts = np.cumsum(self.sizes + 1) - self.sizes - 1
-        n = len(owner)
+        self.owner = np.repeat(np.arange(m, dtype=np.int32), sizes + 1)
+        self.starts = np.cumsum(sizes + 1) - sizes - 1
+        n = len(self.owner)
         symbols = np.zeros(n, np.int64)
         inside = np.ones(n, bool)
-        inside[starts + self.sizes] = False
+        inside[self.starts + sizes] = False
         symbols[inside] = data.astype(np.int64) + 1
-        left = (starts + self.sizes)[owner] - np.arange(n)  # bytes up to the end mark
+        left = (self.starts + sizes)[self.owner] - np.arange(n)  # bytes up to the end mark
 
         def ahead(x: np.ndarray, k: int, none: int) -> np.ndarray:
             out = np.full(n, none, np.int64)
@@ -46,27 +51,32 @@ class RunIndex:
                 break
             order, rank = self._ranked(rank * (n + 1) + ahead(rank, width, -1) + 1)
             width *= 2
-        self.starts, self.owner, self.depth = starts, owner, depth
+        self.depth, self.left = depth, left.astype(np.int32)
         before = np.zeros(n, np.int64)
         before[1:] = symbols[:-1]
-        before[starts] = 0
+        before[self.starts] = 0
         last = before[order]
-        heads = np.flatnonzero(np.append(True, last[1:] != last[:-1])) if n else np.zeros(0, np.int64)
-        lengths = np.diff(np.append(heads, n))
-        letters = last[heads]
-        by_letter = np.argsort(letters, kind="stable")
-        target = np.zeros(len(heads), np.int64)
-        target[by_letter] = np.cumsum(lengths[by_letter]) - lengths[by_letter]
-        self.heads, self.letters, self.target = heads, letters, target
-        self.tails = heads + lengths - 1
-        self.samples = order[self.tails]
-        self.texts = owner[order[last == 0]]  # of the rows that start a text
-        # Suffixes that share their first ``depth`` bytes are an interval of rows.
+        self.heads = np.flatnonzero(np.append(True, last[1:] != last[:-1])) if n else np.zeros(0, np.int64)
+        lengths = np.diff(np.append(self.heads, n))
+        self.letters = last[self.heads]
+        by_letter = np.argsort(self.letters, kind="stable")
+        self.target = np.zeros(len(self.heads), np.int64)
+        self.target[by_letter] = np.cumsum(lengths[by_letter]) - lengths[by_letter]
+        self.tails = self.heads + lengths - 1
+        self.at_head, self.at_tail = order[self.heads], order[self.tails]  # sampled positions
+        self.by_letter = self.letters[by_letter] * (len(self.heads) + 1) + by_letter
+        # Suffixes that share their first ``depth`` bytes are an interval of rows, and only its least value is kept.
         fits = left[order] >= depth
-        one, two = half[1][order], half[0][order]
+        one, two = (half[1][order], half[0][order]) if half else (order, order)  # no half: no text is that long
         new = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]) | ~fits[1:] | ~fits[:-1]) if n else np.zeros(0, bool)
         self.intervals = np.flatnonzero(new)
-        self._order = order
+        self.least = np.minimum.reduceat(value[self.owner[order]], self.intervals) if n else value[:0]
+        # Eight bytes from each place on, for comparing; marks are zeros, and comparing ends before them.
+        g = np.zeros(n + 8, np.uint64)
+        g[:n] = np.maximum(symbols - 1, 0)
+        for step in (1, 2, 4):
+            g[:-step] |= g[step:] << np.uint64(8 * step)
+        self.eight = np.append(g[:n], np.zeros(depth + 8, np.uint64))
 
     @staticmethod
     def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,39 +85,66 @@ class RunIndex:
         rank[order] = np.cumsum(np.append(False, key[order][1:] != key[order][:-1])) if len(key) else []
         return order, rank
 
-    def least(self, value: np.ndarray) -> np.ndarray:
-        """For each interval the least value of the texts in it."""
-        return np.minimum.reduceat(value[self.owner[self._order]], self.intervals) if len(self.intervals) else value[:0]
-
-    def step(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The byte before each row's suffix, 0 for none, plus one, and the row of the suffix that starts with it."""
-        run = np.searchsorted(self.heads, rows, "right") - 1
-        return self.letters[run], self.target[run] + rows - self.heads[run]
+    def shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """How many bytes the indexed texts have in common from places a and b on, ``depth`` at most."""
+        most = np.minimum(np.minimum(self.left[a], self.left[b]), self.depth).astype(np.int64)
+        out = most.copy()
+        todo = np.arange(len(a))
+        for offset in range(0, self.depth, 8):
+            differ = self.eight[a[todo] + offset] ^ self.eight[b[todo] + offset]
+            off = differ != 0
+            low = differ[off] & (~differ[off] + np.uint64(1))
+            at = (np.frexp(low.astype(np.float64))[1] - 1) // 8
+            out[todo[off]] = np.minimum(most[todo[off]], offset + at)
+            todo = todo[~off]
+            todo = todo[most[todo] > offset + 8]
+            if not len(todo):
+                break
+        return out
 
-    def locate(self, row: int) -> tuple[int, int]:
-        """(text, offset) of a row's suffix, by steps back to a text's start or to a sampled run end."""
-        steps = 0
-        while True:
-            run = int(np.searchsorted(self.heads, row, "right")) - 1
-            if row == self.tails[run]:
-                at = int(self.samples[run]) + steps
-                return int(self.owner[at]), at - int(self.starts[self.owner[at]])
-            row = int(self.target[run] + row - self.heads[run])
-            if self.letters[run] == 0:
-                return int(self.texts[row]), steps
-            steps += 1
+    def stream(self, data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(text, offset, place, least) of each string of ``depth`` bytes of some texts that an indexed text has too: a place
+        where it is, and the least value of the texts that have it.
 
-    def stream(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, offset, least) of each string of ``depth`` bytes: all texts are matched from their ends, a byte a step in
-        lockstep; once ``depth`` bytes match, the row's interval tells the least value of a text with that string."""
-        least = self.least(value)
-        rows, texts = np.arange(len(self.sizes)), np.arange(len(self.sizes))
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for matched in range(1, int(self.sizes.max(initial=0)) + 1):
-            alive = self.sizes[texts] >= matched
-            texts = texts[alive]
-            _, rows = self.step(rows[alive])
-            if matched >= self.depth:
-                at = np.searchsorted(self.intervals, rows, "right") - 1
-                found.append((texts, self.sizes[texts] - matched, least[at]))
-        return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+        Texts are matched from their ends, a byte a step in lockstep.
+        """
+        sizes = sizes.astype(np.int64)
+        ends = np.cumsum(sizes)
+        none = np.zeros(0, np.int64)
+        if not len(self.heads) or not len(sizes):
+            return none, none, none, self.least[:0]
+        text = np.arange(len(sizes))
+        run = np.full(len(sizes), len(self.heads) - 1)
+        row, place, matched = self.tails[run], self.at_tail[run], np.zeros(len(sizes), np.int64)
+        found = []
+        runs = len(self.heads)
+        for step in range(1, int(sizes.max(initial=0)) + 1):
+            alive = sizes[text] >= step
+            text, row, place, matched = text[alive], row[alive], place[alive], matched[alive]
+            letter = data[ends[text] - step].astype(np.int64) + 1
+            run = np.searchsorted(self.heads, row, "right") - 1
+            off = np.flatnonzero(self.letters[run] != letter)
+            if len(off):
+                c, r = letter[off], run[off]
+                i = np.searchsorted(self.by_letter, c * (runs + 1) + r)
+                down, up = np.minimum(i, runs - 1), np.maximum(i - 1, 0)
+                has_down, has_up = self.by_letter[down] // (runs + 1) == c, self.by_letter[up] // (runs + 1) == c
+                down, up = self.by_letter[down] % (runs + 1), self.by_letter[up] % (runs + 1)
+                below = np.where(has_down, self.shared(place[off], self.at_head[down]), -1)
+                above = np.where(has_up, self.shared(place[off], self.at_tail[up]), -1)
+                higher = above > below
+                run[off] = np.where(higher, up, down)
+                row[off] = np.where(higher, self.tails[up], self.heads[down])
+                place[off] = np.where(higher, self.at_tail[up], self.at_head[down])
+                best = np.maximum(above, below)
+                matched[off] = np.minimum(matched[off], best)
+                lost = off[best < 0]  # a byte that no indexed text has
+                run[lost], row[lost], place[lost], matched[lost] = runs - 1, self.tails[-1], self.at_tail[-1], -1
+            row = np.where(matched >= 0, self.target[run] + row - self.heads[run], row)
+            place = np.where(matched >= 0, place - 1, place)
+            matched = np.minimum(matched + 1, self.depth)
+            full = matched == self.depth
+            if full.any():
+                at = np.searchsorted(self.intervals, row[full], "right") - 1
+                found.append((text[full], sizes[text[full]] - step, place[full], self.least[at]))
+        return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else (none, none, none, self.least[:0])

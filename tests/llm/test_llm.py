@@ -492,11 +492,23 @@ def brute_repeats(ids, texts):
     return sorted(out)
 
 
+def test_minimisers_do_not_depend_on_the_slice():
+    """A window in a short slice and in a long one has the same core, though its grams are found by part of their hash."""
+    rnd = random.Random(5)
+    window = bytes(rnd.choice(b"abc ") for _ in range(200))
+    long = np.frombuffer(bytes(rnd.choice(b"xyz ") for _ in range(70_000)) + window, np.uint8)
+    short = np.frombuffer(window, np.uint8)
+    a, b = repeats.halves(short, np.array([0, len(short)])), repeats.halves(long, np.array([0, len(long)]))
+    inside = b[0] >= 70_000
+    assert set(a[2].tolist()) >= set(b[2][inside].tolist()) and inside.sum() > 3
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_long_repeats(spark, corpus, monkeypatch, small):
     if small:  # many shards and buckets
         for name in ("SHARD_BYTES", "BUCKET_BYTES", "GROUP_BYTES"):
             monkeypatch.setattr(repeats, name, 4000)
+    corpus = [*corpus, " ".join(f"v{i * i % 977}" for i in range(25_000)), "head " + " ".join(f"v{i * i % 977}" for i in range(40))]
     base = corpus[0] or "z"
     extra = [base[:k] + "Q" + base[k:] for k in range(0, min(len(base), 300), 37)] + ["ab" * 200, "x" + "ab" * 100, "y" * 49, "y" * 50, "y" * 51]
     texts = [*corpus, *extra]
