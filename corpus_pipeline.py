@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioframe.llm import decontaminate, minhash, packing, pii, quality
-from folioframe.llm.work import staged
+from folioframe.llm.work import mark, staged, sweep
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,8 +53,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again by the next."""
+    """All stages over ``documents``, each written to the shared folder and read again by the next.
+
+    What a stage wrote on the way, and what its predecessor kept, goes as soon as its own rows are written.
+    """
     docs = _table(spark, sf_dir, "documents")
+    since = mark()
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        sweep(spark, since, keep=docs)
     return STAGES[-1][1](spark, docs, sf_dir)

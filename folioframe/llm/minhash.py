@@ -167,7 +167,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     clusters = components(by_groups(members, ["band"], walk, "a long, b long").unionByName(hot))
     sized = clusters.select(F.col("node").alias("doc_id"), F.col("label").alias("cluster")).join(reps.select(F.col("rep").alias("doc_id"), F.col("n_shingles").alias("size")), "doc_id")
     inside = staged(with_blocks(sized), "inside")
-    discard(reps)
+    for done in (reps, shared, bands):
+        discard(done)
     named = own.where("doc_id is not null")
     sets_of = lambda rows: arrow_map(named.join(small(rows), "doc_id").select("cluster", "blocks", "doc_id", "size", "text"), lambda it: _sets(it, width), "cluster long, blocks int, doc_id long, size long, shingles binary")
     labels = links(inside, sets_of, percent)

@@ -67,6 +67,14 @@ def features(column: pa.Array) -> np.ndarray:
     return np.column_stack([share[k] for k in FEATURES]) if len(n) else np.zeros((0, len(FEATURES)))
 
 
+def risk_parts(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """prior * E_p[loss(g)], the bracket E_u[loss(-g)] - prior * E_p[loss(-g)], and the gradient of each, for the logistic loss."""
+    sp, su = 1 / (1 + np.exp(-p @ w)), 1 / (1 + np.exp(-u @ w))
+    loss = lambda s: -np.log(np.maximum(1e-12, s)).mean()
+    bracket = loss(1 - su) - prior * loss(1 - sp)
+    return prior * loss(sp), bracket, prior * (p.T @ (sp - 1)) / len(p), u.T @ su / len(u) - prior * (p.T @ sp) / len(p)
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = 600, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias on raw features that minimise the non-negative unbiased risk with the logistic loss.
 
@@ -81,11 +89,8 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int
     w = np.zeros(p.shape[1])
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, rounds + 1):
-        sp, su = 1 / (1 + np.exp(-p @ w)), 1 / (1 + np.exp(-u @ w))
-        up = p.T @ (sp - 1) / len(p)  # of loss(g) on positives
-        down = u.T @ su / len(u) - prior * (p.T @ sp) / len(p)  # of the bracket
-        bracket = -np.log(np.maximum(1e-12, 1 - su)).mean() + prior * np.log(np.maximum(1e-12, 1 - sp)).mean()
-        g = (prior * up + down if bracket >= 0 else -down) + decay * np.append(w[:-1], 0)
+        _, bracket, up, down = risk_parts(w, p, u, prior)
+        g = (up + down if bracket >= 0 else -down) + decay * np.append(w[:-1], 0)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return np.vstack([w[:-1], centre, scale]), float(w[-1])

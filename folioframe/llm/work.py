@@ -43,10 +43,18 @@ def discard(df: DataFrame) -> None:
         _delete(df.sparkSession, path)
 
 
-def sweep(spark: SparkSession) -> None:
-    """Delete all tables staged so far. Results that still read them must have been written before."""
-    while _written:
-        _delete(spark, _written.pop())
+def mark() -> int:
+    """A point to sweep back to."""
+    return len(_written)
+
+
+def sweep(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Delete all tables staged since a mark, but for ``keep``. Results that still read them must have been written before."""
+    kept = getattr(keep, "_folioframe_path", None)
+    gone = [p for p in _written[since:] if p != kept]
+    _written[since:] = [kept] if kept in _written[since:] else []
+    for path in gone:
+        _delete(spark, path)
 
 
 def small(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:

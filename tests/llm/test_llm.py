@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -376,6 +377,44 @@ def test_beta_prior():
 # --- 5: classifier -----------------------------------------------------------------------------------------------------
 
 
+def test_risk_and_its_gradient():
+    """The parts of the risk against a plain sum over rows, and their gradients against small differences."""
+    rnd = np.random.default_rng(4)
+    p, u, w, prior = rnd.normal(size=(7, 4)), rnd.normal(size=(9, 4)), rnd.normal(size=4), 0.4
+    plain = lambda w: (
+        prior * sum(math.log(1 + math.exp(-float(x @ w))) for x in p) / len(p),
+        sum(math.log(1 + math.exp(float(x @ w))) for x in u) / len(u) - prior * sum(math.log(1 + math.exp(float(x @ w))) for x in p) / len(p),
+    )
+    got = quality.risk_parts(w, p, u, prior)
+    for k in (0, 1):
+        assert abs(got[k] - plain(w)[k]) < 1e-9
+        numeric = [(plain(w + e)[k] - plain(w - e)[k]) / 2e-6 for e in np.eye(4) * 1e-6]
+        assert np.allclose(got[2 + k], numeric, atol=1e-6)
+
+
+@pytest.mark.parametrize("prior", [0.3, 0.9])
+def test_fit_minimises_the_non_negative_risk(prior):
+    """No other weights on a grid around them, and none of many at random, have a clearly smaller risk. With a prior far too
+    large the bracket would fall far below 0, and is held near it."""
+    rnd = np.random.default_rng(5)
+    positive = rnd.normal(1.0, 1.0, size=(300, 1))
+    unlabelled = np.vstack([rnd.normal(1.0, 1.0, size=(150, 1)), rnd.normal(-1.0, 1.0, size=(350, 1))])
+    (w, centre, scale), bias = quality.fit(positive, unlabelled, prior)
+    squash = lambda x: np.column_stack([np.clip((x - centre) / scale, -6, 6), np.ones(len(x))])
+    p, u = squash(positive), squash(unlabelled)
+
+    def risk(v):
+        up, bracket, _, _ = quality.risk_parts(np.array(v), p, u, prior)
+        return up + max(0.0, bracket)
+
+    if prior > 0.5:
+        assert quality.risk_parts(np.array([w[0], bias]), p, u, prior)[1] > -0.05
+        return
+    own = risk([w[0], bias])
+    grid = [(w[0] + a, bias + b) for a in np.linspace(-3, 3, 25) for b in np.linspace(-3, 3, 25)]
+    assert own <= min(map(risk, [*grid, *rnd.normal(0, 3, size=(500, 2))])) + 0.02
+
+
 def test_classifier(spark):
     rnd = random.Random(3)
     word = lambda: "".join(rnd.choice("aeiourstln") for _ in range(rnd.randrange(2, 8)))
@@ -776,4 +815,9 @@ def test_pipeline(spark, sf_dir):
             assert set(after) == set(before)
         if name != "packing":
             assert docs.columns == columns
+    from folioframe.shared import shared_dir
+
+    before = set(os.listdir(shared_dir(spark)))
     assert {r.doc_id for r in corpus_pipeline.run(spark, sf_dir).collect()} == set(after)
+    left = {n.rsplit("-", 1)[0] for n in set(os.listdir(shared_dir(spark))) - before}
+    assert left == {"stage-pii", "pieces"}  # what the result still reads
