@@ -1,8 +1,12 @@
 """Queries take all of their input."""
 
 import hashlib
+import random
+import re
 from itertools import combinations
 
+import pytest
+
 from folioframe.functions import similarity
 from folioframe.operators import resolve
 from folioframe.plans import queries
@@ -36,19 +40,11 @@ def test_letters_are_searched_whole(spark, sf_dir, tmp_path, monkeypatch):
     assert seen["correspondence"].count() == 4
 
 
-def test_fuzzy_takes_the_names_of_the_table(spark):
-    names = ["William Harrington Smith", "Wm. Harrington Smithe", "Willam Harrington Smith", "Harrington William Smith", "é" * 12 + " Smyth", "é" * 11 + "e Smyth", "Ann Lee Smith"]
-    names += [f"Customer#{n:09d}" for n in (1, 2, 10, 12, 21, 111111111, 111111112)] + ["Customer Customer Bellingham", "Customer Custommer Bellingham"]
-    rows = [(i, n, "person", None) for i, n in enumerate(names)] + [(90, "Northern Land Bank", "organization", None), (91, "Northern Land Banks", "organization", None)]
-    entities = spark.createDataFrame(rows, "id long, name string, type string, context string")
-    links = [(i, d) for i in (0, 1, 3, 7, 8, 9, 10, 90, 91) for d in (1, 2)] + [(11, 2)]
-    mentions = spark.createDataFrame(links, "entity_id long, document_id long")
-    docs = spark.createDataFrame([(1, "a.pdf"), (2, "b.pdf")], "id long, file_name string")
-    norms = entities.select("id", "type", resolve.normalised(queries.F.col("name"), queries.F.col("type")).alias("norm"))
-    known = norms.withColumn("block", resolve.block_key(queries.F.col("norm"), queries.F.col("type"))).collect()
+def brute_pairs(entities, links, threshold=None):
+    """Scores of all pairs of (id, type, norm, block) rows that pass the constraints of their types."""
     want = {}
-    for a, b in combinations(sorted(known, key=lambda r: r.id), 2):
-        if (a.type, a.block) != (b.type, b.block) or a.norm == b.norm:
+    for a, b in combinations(sorted(entities, key=lambda r: r.id), 2):
+        if (a.type, a.block) != (b.type, b.block) or a.block is None or a.norm == b.norm:
             continue
         ratio = similarity.indel_percent(a.norm, b.norm) / 100
         tokens = similarity.indel_percent(similarity.sorted_tokens(a.norm), similarity.sorted_tokens(b.norm)) / 100
@@ -57,14 +53,57 @@ def test_fuzzy_takes_the_names_of_the_table(spark):
         phonetic = 0.0 if a.type != "person" or last[0] != last[1] else 0.5 if both and first[0] != first[1] else 1.0
         shared = len({d for i, d in links if i == a.id} & {d for i, d in links if i == b.id})
         score = 0.4 * ratio + 0.3 * tokens + 0.2 * phonetic + 0.1 * min(shared / 2, 1)
-        if score >= resolve.THRESHOLDS[a.type] and (a.type != "person" or last[0] == last[1] or ratio >= 0.92):
+        numbers = [re.findall(r"\d+", r.norm) for r in (a, b)]
+        fits = {"person": last[0] == last[1] or ratio >= 0.92, "land_parcel": set(numbers[0]) == set(numbers[1]), "legislation": numbers[0] == numbers[1]}.get(a.type, True)
+        if fits and score >= (threshold or resolve.THRESHOLDS.get(a.type, 0.9)):
             want[a.id, b.id] = round(score, 6)
+    return want
+
+
+def keyed(entities):
+    norms = entities.where("length(name) >= 5").select("id", "type", resolve.normalised(queries.F.col("name"), queries.F.col("type")).alias("norm"))
+    return norms.withColumn("block", resolve.block_key(queries.F.col("norm"), queries.F.col("type"))).collect()
+
+
+def test_fuzzy_takes_the_names_of_the_table(spark):
+    names = ["William Harrington Smith", "Wm. Harrington Smithe", "Willam Harrington Smith", "Harrington William Smith", "é" * 12 + " Smyth", "é" * 11 + "e Smyth", "Ann Lee Smith"]
+    names += [f"Customer#{n:09d}" for n in (1, 2, 10, 12, 21, 111111111, 111111112)] + ["Customer Customer Bellingham", "Customer Custommer Bellingham"]
+    rows = [(i, n, "person", None) for i, n in enumerate(names)] + [(90, "Northern Land Bank", "organization", None), (91, "Northern Land Banks", "organization", None)]
+    entities = spark.createDataFrame(rows, "id long, name string, type string, context string")
+    links = [(i, d) for i in (0, 1, 3, 7, 8, 9, 10, 90, 91) for d in (1, 2)] + [(11, 2)]
+    mentions = spark.createDataFrame(links, "entity_id long, document_id long")
+    docs = spark.createDataFrame([(1, "a.pdf"), (2, "b.pdf")], "id long, file_name string")
+    want = brute_pairs(keyed(entities), links)
     c = {"entities": entities, "mentions": mentions, "documents": docs}
     got = {(r.id_a, r.id_b): r.score for r in queries.fuzzy_candidates(spark, c).collect()}
     assert got == want and {(0, 1), (7, 8)} <= set(got)
     assert {(r.id_a, r.id_b) for r in queries.fuzzy_review(spark, c).collect()} == set(want)
 
 
+@pytest.mark.parametrize("threshold", [None, 0.82, 0.9, 0.5])
+def test_fuzzy_pairs_are_those_of_all_pairs(spark, threshold):
+    """Every type with its constraints, names with random edits, few and many common documents."""
+    rnd = random.Random(11)
+    bases = ["alexandrina wilhelmina montgomery", "john smith", "customer#000012345", "maria del carmen fernandez y lopez de la vega", "o brien", "aaaaaaaaaa aaaaaaaaaa"]
+    rows = []
+    for k in range(110):
+        name = list(rnd.choice(bases))
+        for _ in range(rnd.choice([0, 1, 1, 2, 3])):
+            at = rnd.randrange(len(name))
+            name[at : at + rnd.choice([0, 1, 1])] = rnd.choice(["", "a", "n", "7"])
+        rows.append((k, "".join(name), "person", None))
+    land = ["Allotment No. 12", "allotment # 12", "Allotment 12 north", "Allotment 21", "Sec. 4 Twp. 9", "section 4 township 9", "section 9 township 4"]
+    law = ["H.R. 1234", "HR 1234 an act", "h. r. 1234", "H.R. 1243", "S. 77", "S 77 of 1920", "The S. 77"]
+    rows += [(200 + i, n, "land_parcel", None) for i, n in enumerate(land)] + [(300 + i, n, "legislation", None) for i, n in enumerate(law)]
+    rows += [(400 + i, n, "organization", None) for i, n in enumerate(["Northern Land Bank", "Northern Land Banks", "The Northern Bank of Land", "Southern Land Bank"])]
+    entities = spark.createDataFrame(rows, "id long, name string, type string, context string")
+    links = sorted({(i, rnd.randrange(8)) for i, *_ in rows for _ in range(rnd.choice([0, 1, 1, 2]))})
+    mentions = spark.createDataFrame(links, "entity_id long, document_id long")
+    got = {(r.id_a, r.id_b): round(r.score, 6) for r in resolve.fuzzy_candidates(entities, mentions, threshold=threshold).collect()}
+    assert got == brute_pairs(keyed(entities), links, threshold)
+    assert len(got) > 10
+
+
 def test_all_rows_are_offered(spark, sf_dir):
     c = Corpus.from_star(spark, sf_dir)
     docs = c["documents"].select("id", "file_name").collect()
