@@ -42,15 +42,16 @@ class RunIndex:
         key = np.zeros(n, np.int64)
         for k in range(_FIRST):
             key = key << 9 | ahead(symbols, k, 0)
-        order, rank = self._ranked(key)
+        rank = self._ranked(key)
         half, width = None, _FIRST
         while True:
             if half is None and 2 * width >= depth:
                 half = ahead(rank, depth - width, -1), rank
             if width >= longest:
                 break
-            order, rank = self._ranked(rank * (n + 1) + ahead(rank, width, -1) + 1)
+            rank = self._ranked(rank * (n + 1) + ahead(rank, width, -1) + 1)
             width *= 2
+        order = np.argsort(rank * n + np.arange(n))  # equal texts stay in their order
         self.depth, self.left = depth, left.astype(np.int32)
         before = np.zeros(n, np.int64)
         before[1:] = symbols[:-1]
@@ -79,11 +80,11 @@ class RunIndex:
         self.eight = np.append(g[:n], np.zeros(depth + 8, np.uint64))
 
     @staticmethod
-    def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(key, kind="stable")
+    def _ranked(key: np.ndarray) -> np.ndarray:
+        order = np.argsort(key)
         rank = np.empty(len(key), np.int64)
         rank[order] = np.cumsum(np.append(False, key[order][1:] != key[order][:-1])) if len(key) else []
-        return order, rank
+        return rank
 
     def shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """How many bytes the indexed texts have in common from places a and b on, ``depth`` at most."""
