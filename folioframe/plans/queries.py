@@ -220,6 +220,16 @@ def fts_match(spark, c):
     return found.select("id", hit.alias("hit"), F.round(retrieval.rank(F.col("tokens"), "tion"), 6).alias("rank"))
 
 
+@query(f"""{ctes('texts')}, h AS (SELECT id, unnest({_TOKENS}) AS token, unnest(range(len({_TOKENS}))) AS pos FROM c_texts),
+x AS (SELECT *, lag(token) OVER w AS token_before, lag(pos) OVER w AS pos_before, min(token) OVER (PARTITION BY id) <> max(token) OVER (PARTITION BY id) AS have_both FROM h WHERE token IN ('tion', 'reth') WINDOW w AS (PARTITION BY id ORDER BY pos)),
+r AS (SELECT id, sum(CASE WHEN NOT have_both THEN 0.1 WHEN token_before <> token THEN 0.1 / (pos - pos_before) ELSE 0 END) AS r FROM x GROUP BY id)
+SELECT c_texts.id, round(CAST(coalesce(r / (r + 1), 0) AS DOUBLE), 6) AS rank FROM c_texts LEFT JOIN r ON r.id = c_texts.id""")
+def fts_cover_density(spark, c):
+    """Ranks by two words: every stretch from one of them to the next other one counts a tenth of its length's inverse."""
+    found = retrieval.with_tokens(c["texts"])
+    return found.select("id", F.round(retrieval.rank(F.col("tokens"), "tion reth"), 6).alias("rank"))
+
+
 @query()
 def fts_match_stemmed(spark, c):
     found = retrieval.with_tokens(c["texts"], stemmed=True)
@@ -360,6 +370,42 @@ def mention_upsert(spark, c):
     return load.new_mentions(c["entities"], incoming, c["mentions"].where("document_id % 4 = 0")).select("entity_id", "document_id", F.lit(True).alias("is_new"))
 
 
+#: Two items an entity: the second has a context that the first holds for every third, none for every fifth.
+_OFFERED = """SELECT id * 2 + k AS seq, CASE WHEN id % 2 = 0 THEN name ELSE concat('New ', CAST(id % 50 AS STRING)) END AS name, type,
+  CASE WHEN k = 0 THEN concat('ctx ', CAST(id % 7 AS STRING)) WHEN id % 5 = 0 THEN NULL WHEN id % 3 = 0 THEN 'ctx' ELSE concat('more ', CAST(id % 4 AS STRING)) END AS context,
+  CASE WHEN k = 1 AND id % 4 = 0 THEN CAST(id % 640 AS STRING) END AS acres, CASE WHEN k = 0 AND id % 6 = 0 THEN 'trust' END AS land_type FROM {entities}, {twice}"""
+_OLD = "SELECT *, CASE WHEN id % 8 = 0 THEN '40' END AS acres, CAST(NULL AS STRING) AS land_type FROM {entities} WHERE id % 3 <> 1"
+
+
+def _upsert_sql(context: str, acres: str, land: str) -> str:
+    offered = _OFFERED.format(entities="c_entities", twice="(SELECT unnest([0, 1]) AS k)")
+    return f"""{ctes('entities')}, i AS ({offered}), old AS ({_OLD.format(entities='c_entities')}),
+per AS (SELECT name, type, min(seq) AS seq, list(context ORDER BY seq) AS ctxs, list(acres ORDER BY seq) AS a, list(land_type ORDER BY seq) AS l FROM i GROUP BY name, type),
+x AS (SELECT id, coalesce(old.name, per.name) AS name, coalesce(old.type, per.type) AS type, {context} AS context, {acres} AS acres, {land} AS land_type, seq FROM old FULL JOIN per ON old.name = per.name AND old.type = per.type)
+SELECT CASE WHEN id IS NULL THEN (SELECT max(id) FROM old) + row_number() OVER (PARTITION BY id IS NULL ORDER BY seq, name, type) ELSE id END AS id, name, type, context, acres, land_type FROM x"""
+
+
+_FOLD = """list_reduce(list_prepend(old.context, coalesce(ctxs, [])), lambda acc, c: CASE WHEN coalesce(c, '') = '' THEN acc WHEN coalesce(acc, '') = '' THEN c
+  WHEN acc LIKE '%' || left(c, 50) || '%' THEN acc ELSE acc || '; ' || c END)"""
+_LATEST = "coalesce(list_filter({0}, lambda v: v IS NOT NULL)[-1], old.{1})"
+
+
+@query(_upsert_sql(_FOLD, _LATEST.format("a", "acres"), _LATEST.format("l", "land_type")))
+def entity_upsert_merge(spark, c):
+    return _upserted(spark, c, "merge")
+
+
+@query(_upsert_sql("CASE WHEN ctxs IS NOT NULL THEN ctxs[-1] ELSE old.context END", "coalesce(old.acres, a[1])", "coalesce(old.land_type, l[1])"))
+def entity_upsert_last(spark, c):
+    return _upserted(spark, c, "last")
+
+
+def _upserted(spark, c, mode):
+    old = spark.sql(_OLD, entities=c["entities"])
+    offered = spark.sql(_OFFERED, entities=c["entities"], twice=spark.range(2).select(F.col("id").alias("k")))
+    return load.upserted_entities(old, offered, mode)
+
+
 _FACT_ROWS = "SELECT document_id, CASE WHEN pos % 7 = 0 THEN '' ELSE allottee END AS allottee, allotment_number, patent_date"
 
 
@@ -373,10 +419,20 @@ def fact_rows_loader(spark, c):
     return _patent_rows(spark, c, "loader")
 
 
-def _patent_rows(spark, c, flow):
+@query(f"""SELECT document_id, allottee, allotment_number, patent_date, CAST(NULL AS VARCHAR) AS patent_number FROM ({_FACT_ROWS} FROM ({_ITEMS['fee_patents'][0].format(lineitem='lineitem')})) WHERE allottee <> ''""")
+def fact_rows_upload(spark, c):
+    return _patent_rows(spark, c, "upload", "patent_number")
+
+
+@query(f"SELECT document_id, CASE WHEN bill_number = '' THEN 'unknown' ELSE bill_number END AS bill_number, action_type, action_date FROM ({_ITEMS['legislative_actions'][0].format(lineitem='lineitem')})")
+def fact_rows_bills(spark, c):
+    return load.fact_rows(_lines(spark, c.sf_dir, _ITEMS["legislative_actions"][0]), "legislative_actions", "loader").select("document_id", "bill_number", "action_type", "action_date")
+
+
+def _patent_rows(spark, c, flow, *more):
     rows = _lines(spark, c.sf_dir, _ITEMS["fee_patents"][0])
     blank = rows.withColumn("allottee", F.when(F.col("pos") % 7 == 0, F.lit("")).otherwise(F.col("allottee")))
-    return load.fact_rows(blank, "fee_patents", flow).select("document_id", "allottee", "allotment_number", "patent_date")
+    return load.fact_rows(blank.withColumn("patent_number", F.lit("7")), "fee_patents", flow).select("document_id", "allottee", "allotment_number", "patent_date", *more)
 
 
 _GONE = "SELECT id FROM c_documents WHERE id % 10 = 3"
@@ -530,7 +586,7 @@ def discovery_evidence(spark, c):
 
 @query()
 def hybrid_context(spark, c):
-    return discovery.hybrid(c, "tion", 3).select(F.length("context").alias("n_chars"))
+    return discovery.hybrid(c, "tion", 3).select(F.md5("context").alias("digest"), F.length("context").alias("n_chars"))
 
 
 _ANSWER = "concat('See [Doc ', CAST(o_orderkey AS STRING), '] and [Doc ', CAST(o_custkey AS STRING), ', 3, 12-', CAST(13 + o_orderkey % 3 AS STRING), '], [Doc 5, the title], [Doc 7,8-9], $1,200.50 for 40 acres on May 4, 1909 under S. ', CAST(o_orderkey % 90 AS STRING), ' (order_', CAST(o_orderkey % 40 AS STRING), '.pdf, 1909). What the documents prove')"
@@ -549,12 +605,12 @@ def file_name_citations(spark, c):
 
 @query()
 def linked_citations(spark, c):
-    return citations.linked(_answers(spark, c), c["documents"], "https://archive.example").select("id", F.length("text").alias("n_chars"))
+    return citations.linked(_answers(spark, c), c["documents"], "https://archive.example").select("id", F.md5("text").alias("digest"))
 
 
 @query()
 def linked_file_name_citations(spark, c):
-    return citations.linked_file_names(_answers(spark, c), c["documents"], "https://archive.example").select("id", F.length("text").alias("n_chars"))
+    return citations.linked_file_names(_answers(spark, c), c["documents"], "https://archive.example").select("id", F.md5("text").alias("digest"))
 
 
 def _answers(spark, c):
@@ -572,10 +628,10 @@ def evidence_metrics(spark, c):
 
 @query(f"""{ctes('texts', 'mentions', 'financial_transactions', 'relationships')}, n AS (
   SELECT t.id, length(t.full_text) AS len, (SELECT count(*) FROM c_mentions m WHERE m.document_id = t.id) + (SELECT count(*) FROM c_financial_transactions f WHERE f.document_id = t.id) + (SELECT count(*) FROM c_relationships r WHERE r.document_id = t.id) AS n_items FROM c_texts t)
-SELECT id, CAST(n_items AS INT) AS n_items, CAST(least(len, 40000) AS INT) AS n_prompt FROM n WHERE len > 1000 AND n_items >= 5""")
+SELECT n.id, CAST(n_items AS INT) AS n_items, md5(left(full_text, 40000)) AS prompt FROM n JOIN c_texts ON c_texts.id = n.id WHERE len > 1000 AND n_items >= 5""")
 def training_pairs(spark, c):
     g = export.gathered(c["texts"], c["entities"], c["mentions"], {k: c[k] for k in ("financial_transactions", "relationships")})
-    return export.training_pairs(g, F.col("full_text"), min_text=1000).select("id", "n_items", F.length("prompt").alias("n_prompt"))
+    return export.training_pairs(g, F.col("full_text"), min_text=1000).select("id", "n_items", F.md5("prompt").alias("prompt"))
 
 
 @query(f"{ctes('texts')}, s AS (SELECT length(full_text) AS v FROM c_texts) SELECT count(*) AS n, min(v) AS least, max(v) AS most, avg(v) AS mean, list_sort(list(v))[count(*) // 2 + 1] AS median FROM s")
@@ -593,10 +649,12 @@ def split_sizes(spark, c):
     return export.split(c["documents"].select("id")).groupBy("part").agg(F.count("*").alias("n"))
 
 
-@query(f"{ctes('texts')} SELECT concat('doc-', CAST(id AS STRING)) AS custom_id, id, CAST(length(full_text) + 9 AS INT) AS n_prompt FROM c_texts WHERE length(trim(full_text)) >= 100 AND length(full_text) <= 572800")
+@query(f"""{ctes('texts')} SELECT concat('doc-', CAST(id AS STRING)) AS custom_id, id,
+  md5('Sum up:' || repeat(chr(10), 2) || CASE WHEN length(full_text) > 572800 THEN left(full_text, 572800) || repeat(chr(10), 2) || '[... text truncated ...]' ELSE full_text END) AS prompt
+FROM c_texts WHERE length(regexp_replace(full_text, '^\\s+|\\s+$', '', 'g')) >= 100""")
 def summary_requests(spark, c):
     docs = c["texts"].withColumn("summary", F.lit(None).cast("string"))
-    return export.summary_requests(docs, "Sum up:").select("custom_id", "id", F.length("prompt").alias("n_prompt"))
+    return export.summary_requests(docs, "Sum up:").select("custom_id", "id", F.md5("prompt").alias("prompt"))
 
 
 @query()
