@@ -98,6 +98,7 @@ def load_context(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Rows of CSV files with a head line; quoted fields may hold line breaks. An empty field is null, quoted or not."""
     return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"')
 
 
