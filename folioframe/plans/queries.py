@@ -189,18 +189,23 @@ def term_hits(spark, c):
     return c["texts"].select("id", *[text.occurrences(F.col("full_text"), t).alias(f"n_{t.lower()}") for t in _TERMS], F.array_join(text.centuries(F.col("full_text")), ",").alias("centuries"))
 
 
-@query(f"""{ctes('texts')}, parts AS (
+def _passages_sql(terms: list[str], chars: int, most: int, joiner: str) -> str:
+    """CTEs over c_texts that end in ``best`` (id, place, score, passage)."""
+    found = lambda t: f"instr(lower(block), '{t}')"
+    start = lambda t: f"greatest(0, {found(t)} - 1 - {chars})"
+    cuts = " ".join(f"WHEN {found(t)} > 0 THEN '...' || substring(block, {start(t)} + 1, least(length(block), {found(t)} - 1 + {chars}) - {start(t)}) || '...'" for t in terms)
+    score = " + ".join(f"(length(lower(para)) - length(replace(lower(para), '{t}', ''))) / {len(t)}" for t in terms)
+    return f"""parts AS (
   SELECT id, list_filter(list_transform(string_split(regexp_replace(full_text, '[ \\t]+', ' ', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> '') AS p FROM c_texts),
 each AS (SELECT id, p, i, p[i] AS para FROM (SELECT id, p, unnest(range(1, len(p) + 1)) AS i FROM parts)),
-scored AS (SELECT id, i, para, (length(lower(para)) - length(replace(lower(para), 'ation', ''))) / 5 + (length(lower(para)) - length(replace(lower(para), 'the', ''))) / 3 AS score,
-  array_to_string(p[greatest(1, i - 1):least(len(p), i + 1)], chr(10)) AS block FROM each),
-cut AS (SELECT id, i, score, length(para) AS n, CASE WHEN length(block) > 400 THEN CASE
-    WHEN instr(lower(block), 'ation') > 0 THEN '...' || substring(block, greatest(0, instr(lower(block), 'ation') - 1 - 200) + 1, least(length(block), instr(lower(block), 'ation') - 1 + 200) - greatest(0, instr(lower(block), 'ation') - 1 - 200)) || '...'
-    WHEN instr(lower(block), 'the') > 0 THEN '...' || substring(block, greatest(0, instr(lower(block), 'the') - 1 - 200) + 1, least(length(block), instr(lower(block), 'the') - 1 + 200) - greatest(0, instr(lower(block), 'the') - 1 - 200)) || '...'
-    ELSE block END ELSE block END AS passage FROM scored WHERE score > 0 AND length(para) > 30),
-top AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, n DESC, i) AS r FROM cut QUALIFY r <= 10),
-uniq AS (SELECT * FROM top QUALIFY row_number() OVER (PARTITION BY id, trim(lower(left(passage, 100))) ORDER BY r) = 1)
-SELECT id, CAST(place - 1 AS INT) AS place, CAST(score AS BIGINT) AS score, passage FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY r) AS place FROM uniq) WHERE place <= 5""")
+scored AS (SELECT id, i, para, {score} AS score, array_to_string(p[greatest(1, i - 1):least(len(p), i + 1)], {joiner}) AS block FROM each),
+cut AS (SELECT id, i, score, length(para) AS n, CASE WHEN length(block) > {2 * chars} THEN CASE {cuts} ELSE block END ELSE block END AS passage FROM scored WHERE score > 0 AND length(para) > 30),
+top AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, n DESC, i) AS r FROM cut QUALIFY r <= {2 * most}),
+uniq AS (SELECT * FROM top QUALIFY row_number() OVER (PARTITION BY id, trim(lower(left(passage, 100))) ORDER BY r) = 1),
+best AS (SELECT id, CAST(place - 1 AS INT) AS place, CAST(score AS BIGINT) AS score, passage FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY r) AS place FROM uniq) WHERE place <= {most})"""
+
+
+@query(f"{ctes('texts')}, {_passages_sql(['ation', 'the'], 200, 5, 'chr(10)')} SELECT * FROM best")
 def passages_topk(spark, c):
     best = retrieval.passages(F.col("full_text"), ["ation", "the"], 200, 5, PARAGRAPH, "\n")
     return c["texts"].select("id", F.posexplode(best).alias("place", "p")).select("id", "place", F.col("p.score").alias("score"), F.col("p.text").alias("passage"))
@@ -220,9 +225,12 @@ def fts_match(spark, c):
     return found.select("id", hit.alias("hit"), F.round(retrieval.rank(F.col("tokens"), "tion"), 6).alias("rank"))
 
 
-@query(f"""{ctes('texts')}, h AS (SELECT id, unnest({_TOKENS}) AS token, unnest(range(len({_TOKENS}))) AS pos FROM c_texts),
+_DENSITY = f"""h AS (SELECT id, unnest({_TOKENS}) AS token, unnest(range(len({_TOKENS}))) AS pos FROM c_texts),
 x AS (SELECT *, lag(token) OVER w AS token_before, lag(pos) OVER w AS pos_before, min(token) OVER (PARTITION BY id) <> max(token) OVER (PARTITION BY id) AS have_both FROM h WHERE token IN ('tion', 'reth') WINDOW w AS (PARTITION BY id ORDER BY pos)),
-r AS (SELECT id, sum(CASE WHEN NOT have_both THEN 0.1 WHEN token_before <> token THEN 0.1 / (pos - pos_before) ELSE 0 END) AS r FROM x GROUP BY id)
+r AS (SELECT id, have_both, sum(CASE WHEN NOT have_both THEN 0.1 WHEN token_before <> token THEN 0.1 / (pos - pos_before) ELSE 0 END) AS r FROM x GROUP BY id, have_both)"""
+
+
+@query(f"""{ctes('texts')}, {_DENSITY}
 SELECT c_texts.id, round(CAST(coalesce(r / (r + 1), 0) AS DOUBLE), 6) AS rank FROM c_texts LEFT JOIN r ON r.id = c_texts.id""")
 def fts_cover_density(spark, c):
     """Ranks by two words: every stretch from one of them to the next other one counts a tenth of its length's inverse."""
@@ -278,10 +286,21 @@ def rank_documents(spark, c):
     return retrieval.rank_documents(c["texts"], c["mentions"], c["financial_transactions"], c["relationships"], "the tion").withColumn("score", F.round("score", 4))
 
 
-@query()
+@query(f"""{ctes('texts', 'mentions')}, {_passages_sql(['tion', 'reth'], 600, 3, 'chr(10) || chr(10)')}, {_DENSITY},
+found AS (SELECT t.id, file_name, round(CAST(r / (r + 1) AS DOUBLE), 6) AS rank, coalesce(m.n, 0) AS entity_count FROM c_texts t JOIN r ON r.id = t.id AND r.have_both {_N_ENTITIES} ORDER BY rank DESC, entity_count DESC, t.id LIMIT 15)
+SELECT found.id, file_name, rank, entity_count, CAST(count(*) AS INT) AS n_passages, md5(string_agg(passage, chr(0) ORDER BY place)) AS passages FROM found JOIN best ON best.id = found.id GROUP BY ALL""")
 def search_full_text_passages(spark, c):
     found = retrieval.search_passages(c["texts"], c["mentions"], "tion reth", separator=PARAGRAPH)
-    return found.select("id", "file_name", "rank", "entity_count", F.size("passages").alias("n_passages"))
+    told = F.md5(F.array_join(F.transform("passages", lambda p: p["text"]), "\0").cast("binary"))
+    return found.select("id", "file_name", "rank", "entity_count", F.size("passages").alias("n_passages"), told.alias("passages"))
+
+
+@query(f"""{ctes('texts', 'mentions')}, {_passages_sql(['tio', 'zzqx'], 600, 3, 'chr(10) || chr(10)')},
+found AS (SELECT t.id, file_name, coalesce(m.n, 0) AS entity_count FROM c_texts t {_N_ENTITIES} WHERE full_text ILIKE '%tio%' OR full_text ILIKE '%zzqx%' ORDER BY entity_count DESC, t.id LIMIT 15)
+SELECT id, file_name, CAST(0 AS DOUBLE) AS rank, entity_count FROM found WHERE id IN (SELECT id FROM best)""")
+def search_passages_by_part(spark, c):
+    """No text has both words, so any text that holds a part of one is found: rank 0, by entities."""
+    return retrieval.search_passages(c["texts"], c["mentions"], "tio zzqx", separator=PARAGRAPH).select("id", "file_name", "rank", "entity_count")
 
 
 # --- replies and merging -----------------------------------------------------------------------------------------------
@@ -584,7 +603,30 @@ def discovery_evidence(spark, c):
     return discovery.evidence_counts(discovery.discover(c, "bolt 000000012"))
 
 
-@query()
+def _listed_sql(table: str, line: str, order: str, most: int) -> str:
+    rows = f"SELECT * FROM c_{table}" if table != "entities" else "SELECT m.document_id, e.* FROM c_mentions m JOIN c_entities e ON e.id = m.entity_id"
+    return f"""l_{table} AS (SELECT document_id, string_agg(line, chr(10) ORDER BY n) AS lines FROM (SELECT document_id, {line} AS line, row_number() OVER (PARTITION BY document_id ORDER BY {order}) AS n FROM ({rows}) WHERE document_id IN (SELECT id FROM chosen)) WHERE n <= {most} GROUP BY document_id)"""
+
+
+_nz = lambda c: f"coalesce({c}, '')"
+_LISTS = {
+    "entities": ("ENTITIES", f"'  - [' || {_nz('type')} || '] ' || {_nz('name')}", "type NULLS FIRST, name NULLS FIRST, context NULLS FIRST", 30),
+    "events": ("EVENTS", f"'  - ' || {_nz('date')} || ' ' || {_nz('type')} || ': ' || {_nz('description')}", "date NULLS FIRST, type NULLS FIRST, location NULLS FIRST, description NULLS FIRST", 15),
+    "financial_transactions": ("TRANSACTIONS", f"'  - ' || {_nz('date')} || ' ' || {_nz('payer')} || ' → ' || {_nz('payee')} || ' ' || {_nz('amount')}", "date NULLS FIRST, amount NULLS FIRST, type NULLS FIRST, payer NULLS FIRST, payee NULLS FIRST, for_what NULLS FIRST", 15),
+    "relationships": ("RELATIONSHIPS", f"'  - ' || {_nz('subject')} || ' ' || {_nz('type')} || ' ' || {_nz('object')}", "subject NULLS FIRST, type NULLS FIRST, object NULLS FIRST, context NULLS FIRST", 15),
+}
+_MOST = int(130_000 // 3 * 3.2)
+
+
+@query(f"""{ctes('texts', 'entities', 'mentions', 'events', 'financial_transactions', 'relationships')}, chosen AS (SELECT id FROM ({ORACLE_SQL['rank_documents']}) ORDER BY score DESC, id LIMIT 3),
+{', '.join(_listed_sql(t, line, order, most) for t, (_, line, order, most) in _LISTS.items())},
+each AS (SELECT t.id, 'DOCUMENT: ' || coalesce(nullif(display_title, ''), file_name) || chr(10) || 'Collection: ' || coalesce(collection, 'n/a') || chr(10) || 'Pages (about): ' || CAST(CAST(greatest(1, floor(length(full_text) / 3000)) AS BIGINT) AS VARCHAR) || chr(10) || chr(10)
+  || CASE WHEN length(full_text) > {_MOST} THEN left(full_text, {_MOST}) || chr(10) || chr(10) || '[... document truncated ...]' ELSE full_text END
+  || {' || '.join(f"coalesce(chr(10) || '{title}:' || chr(10) || l_{t}.lines, '')" for t, (title, *_) in _LISTS.items())} AS context
+  FROM c_texts t JOIN chosen ON chosen.id = t.id {' '.join(f'LEFT JOIN l_{t} ON l_{t}.document_id = t.id' for t in _LISTS)} WHERE full_text <> ''),
+joined AS (SELECT string_agg(context, chr(10) || chr(10) ORDER BY id) AS context FROM each),
+capped AS (SELECT CASE WHEN length(context) > 544000 THEN left(context, 544000) || chr(10) || chr(10) || '[... context truncated ...]' ELSE context END AS context FROM joined)
+SELECT md5(context) AS digest, CAST(length(context) AS INT) AS n_chars FROM capped""")
 def hybrid_context(spark, c):
     return discovery.hybrid(c, "tion", 3).select(F.md5("context").alias("digest"), F.length("context").alias("n_chars"))
 
@@ -603,12 +645,29 @@ def file_name_citations(spark, c):
     return citations.file_name_citations(_answers(spark, c), c["documents"])
 
 
-@query()
+_SITE = "https://archive.example/documents/"
+
+
+def _linked_sql() -> str:
+    """The answers' six citations as links, and the list of what is cited: titled ones first, as they are rewritten first."""
+    year = r"regexp_extract(file_name, '\b(1[89]\d\d(?:\s*[-–]\s*\d{2,4})?)\b', 1)"
+    links = [f"coalesce(max(link) FILTER (WHERE i = {i}), '[Doc ' || CAST(max(n) FILTER (WHERE i = {i}) AS VARCHAR) || ']')" for i in range(6)]
+    tail = "' for 40 acres on May 4, 1909 under S. ' || CAST(o_orderkey % 90 AS VARCHAR) || ' (order_' || CAST(o_orderkey % 40 AS VARCHAR) || '.pdf, 1909). What the documents prove'"
+    body = f"'See ' || {links[2]} || ' and ' || {links[0]} || ', ' || {links[1]} || ', ' || {links[3]} || ', ' || {links[4]} || ', ' || {links[5]} || ', $1,200.50' || {tail}"
+    return f"""{ctes('documents')}, d AS (SELECT id, coalesce(nullif(display_title, ''), file_name) AS name, '{_SITE}' || CAST(id AS VARCHAR) AS url, coalesce(collection, '') AS place, CASE WHEN {year} <> '' THEN ', c. ' || {year} ELSE '' END AS year FROM c_documents),
+u AS (SELECT o_orderkey, unnest([o_custkey, 5, o_orderkey, 7, 8, 9]) AS n, unnest(range(6)) AS i FROM orders),
+x AS (SELECT u.*, '[Doc ' || CAST(n AS VARCHAR) || ', ' || name || '](' || url || ')' AS link, row_number() OVER (PARTITION BY o_orderkey, n ORDER BY i) = 1 AS is_first,
+  '- **[Doc ' || CAST(n AS VARCHAR) || '](' || url || ')** — ' || name || CASE WHEN place <> '' THEN ' (*' || place || '*' || year || ')' ELSE '' END || chr(10) AS source FROM u LEFT JOIN d ON d.id = n)
+SELECT o_orderkey AS id, md5({body} || coalesce(chr(10) || chr(10) || '---' || chr(10) || chr(10) || '### Sources Cited' || chr(10) || chr(10) || string_agg(source, '' ORDER BY i) FILTER (WHERE is_first), '')) AS digest FROM x GROUP BY o_orderkey"""
+
+
+@query(_linked_sql())
 def linked_citations(spark, c):
     return citations.linked(_answers(spark, c), c["documents"], "https://archive.example").select("id", F.md5("text").alias("digest"))
 
 
-@query()
+@query(f"""SELECT o_orderkey AS id, md5(CASE WHEN o_orderkey % 40 % 17 <> 0 THEN replace(t, '(' || f || ', 1909)', '([' || f || ']({_SITE}' || CAST(o_orderkey % 40 AS VARCHAR) || '), 1909)') ELSE t END) AS digest
+FROM (SELECT o_orderkey, {_ANSWER} AS t, concat('order_', CAST(o_orderkey % 40 AS VARCHAR), '.pdf') AS f FROM orders)""")
 def linked_file_name_citations(spark, c):
     return citations.linked_file_names(_answers(spark, c), c["documents"], "https://archive.example").select("id", F.md5("text").alias("digest"))
 

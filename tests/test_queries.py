@@ -6,7 +6,7 @@ from compare import oracle, rows
 from folioframe.registry import ORACLE_SQL, QUERIES
 
 #: Results that may be empty or depend on chance, and need a run only.
-RUN_ONLY = {"fuzzy_candidates", "fuzzy_review", "search_full_text_passages"}
+RUN_ONLY = {"fuzzy_candidates", "fuzzy_review"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
