@@ -12,7 +12,7 @@ from ..operators import context, export, load, merge, resolve
 from ..shared import shared_dir, written
 from ..sources import catalog, files
 from ..sources.corpus_view import ctes
-from . import ingest
+from . import ingest, prompts
 from .queries import _ITEMS, _MENTIONED, _lines, query
 
 
@@ -285,3 +285,32 @@ def evidence_bills(spark, c):
 def dollars_escaped(spark, c):
     said = F.concat(F.lit("cost $"), "o_custkey", F.when(F.col("o_orderkey") % 3 == 0, " or $$5").otherwise(""))
     return _read(spark, c, "orders").select(F.col("o_orderkey").alias("id"), text.escape_dollars(said).alias("t"))
+
+
+_RATED = "SELECT id, name, type, context, id % 5 AS relevance_score, id % 9 AS doc_count, concat('f', CAST(id % 4 AS STRING), '.pdf') AS file FROM {0}"
+
+
+@query(f"""{ctes('entities')}, r AS (SELECT *, row_number() OVER (PARTITION BY type ORDER BY relevance_score DESC, name, id) AS place FROM ({_RATED.format('c_entities')}))
+SELECT CAST(row_number() OVER (ORDER BY type, place) AS INT) AS n, '  [' || upper(type) || '] ' || name || ' (in ' || CAST(doc_count AS VARCHAR) || ' docs): ' || left(coalesce(context, ''), 200) || chr(10) || '      Sources: '
+  || CASE id % 5 WHEN 0 THEN 'unknown' WHEN 1 THEN file ELSE file || ', b, c' END AS line FROM r WHERE place <= 25""")
+def evidence_entities(spark, c):
+    rated = spark.sql(_RATED.format("{entities}"), entities=c["entities"])
+    k, names = F.col("id") % 5, F.array("file", F.lit("b"), F.lit("c"), F.lit("d"))
+    return context.entity_lines(rated.withColumn("source_files", F.slice(names, 1, F.when(k == 0, 0).when(k == 1, 1).otherwise(4))))
+
+
+_ASKED = "Who sold?"
+
+
+def _prompt_sql(mode: str) -> str:
+    task = prompts.TASKS[mode].replace("'", "''")
+    return f"'{task}' || chr(10) || chr(10) || 'QUESTION: {_ASKED}' || chr(10) || chr(10) || 'EVIDENCE:' || chr(10) || summary"
+
+
+@query(f"""{ctes('documents')}, s AS (SELECT id, summary FROM c_documents WHERE summary IS NOT NULL)
+SELECT id, {', '.join(f'md5({_prompt_sql(m)}) AS {m}' for m in prompts.TASKS)}, md5('{prompts.TASKS['corpus']}' || chr(10) || chr(10) || 'EVIDENCE:' || chr(10) || summary || chr(10) || chr(10) || 'CONVERSATION:' || chr(10)
+  || 'USER: Who?' || chr(10) || chr(10) || 'ASSISTANT: Ann.' || chr(10) || chr(10) || 'QUESTION: {_ASKED}') AS follow_up FROM s""")
+def analysis_prompts(spark, c):
+    said = [{"role": "user", "content": "Who?"}, {"role": "assistant", "content": "Ann."}]
+    told = {m: prompts.analysis_prompt(m, _ASKED, F.col("summary")) for m in prompts.TASKS} | {"follow_up": prompts.follow_up(_ASKED, said, F.col("summary"))}
+    return c["documents"].where("summary is not null").select("id", *[F.md5(p.cast("binary")).alias(m) for m, p in told.items()])

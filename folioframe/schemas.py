@@ -67,3 +67,16 @@ def group_struct(group: str) -> T.StructType:
 
 def extraction_struct(groups: list[str] | None = None) -> T.StructType:
     return T.StructType([T.StructField(g, T.ArrayType(group_struct(g))) for g in groups or GROUPS])
+
+
+def json_schema(groups: list[str] | None = None) -> dict:
+    """The JSON Schema of an extraction, for models that take one: every group a required array, every field of an item a required string."""
+
+    def of(kind: T.DataType) -> dict:
+        if isinstance(kind, T.ArrayType):
+            return {"type": "array", "items": of(kind.elementType)}
+        if isinstance(kind, T.StructType):
+            return {"type": "object", "properties": {f.name: of(f.dataType) for f in kind.fields}, "required": kind.fieldNames(), "additionalProperties": False}
+        return {"type": "string"}
+
+    return of(extraction_struct(groups))

@@ -352,3 +352,34 @@ def test_comparison(spark):
     assert answers.count() == 4 and answers.where("model = 'b-1'").first().word_count == 3
     text = comparison.report("Runs", ["two prompts"], runs.select("model", "question", "reply"), ["question", "model"])
     assert text.splitlines()[4:8] == ["| model | question | reply |", "|---|---|---|", '| a-1 | q1 | {"events":[{"type":"x"}]} |', "| b-1 | q1 | no \\| json |"]
+
+
+def test_json_schema():
+    from folioframe.schemas import json_schema
+
+    found = json_schema(["entities", "events"])
+    assert found["required"] == ["entities", "events"] and found["type"] == "object"
+    item = found["properties"]["events"]["items"]
+    assert item["properties"]["entities_involved"] == {"type": "array", "items": {"type": "string"}} and item["properties"]["date"] == {"type": "string"}
+    assert set(item["required"]) == set(item["properties"]) and item["additionalProperties"] is False
+
+
+def test_jdbc_reads_ranges_of_a_key(spark):
+    url = "jdbc:derby:memory:folio;create=true"
+    spark.range(100).selectExpr("id AS ID", "concat('n', id) AS NAME").write.jdbc(url, "NAMES")
+    whole = catalog.jdbc(spark, url, "NAMES")
+    parts = catalog.jdbc(spark, url, "NAMES", "ID", (0, 100), 4)
+    assert parts.rdd.getNumPartitions() == 4
+    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole.collect())) == sorted((i, f"n{i}") for i in range(100))
+
+
+def test_discovery_context_has_its_sections_in_order(spark):
+    label = {"file_name": "a.pdf", "display_title": ""}
+    ents = spark.createDataFrame([(1, "Ann", "person", "clerk", 2, 3, ["a.pdf"])], "id long, name string, type string, context string, relevance_score int, doc_count int, source_files array<string>")
+    events = spark.createDataFrame([(i, "sale", f"19{i:02d}", "lot", "x" * 300) for i in range(50)], "id long, type string, date string, location string, description string").withColumns({k: F.lit(v) for k, v in label.items()})
+    net = spark.createDataFrame([("Ann", i, f"P{i:02d}", "person", 20 - i) for i in range(20)], "searched string, entity_id long, name string, type string, shared_docs int")
+    taxes = spark.createDataFrame([(1, "t")], "id long, taxpayer string")
+    got = context.discovery_context({"network": net, "taxes": taxes, "events": events, "entities": ents})
+    heads = [line for line in got.split("\n") if line.endswith(" total):")]
+    assert heads == ["EXTRACTED ENTITIES (1 total):", "EVENTS (50 total):", "ENTITY NETWORKS (15 total):"]
+    assert got.count("sale: ") == 40 and "x" * 200 in got and "x" * 201 not in got and "P14" in got and "P15" not in got
