@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, hostrules, lines, minhash, packing, pii, quality, repeats, tokens
+from . import chat, decontaminate, hostrules, lines, lyndon, minhash, packing, pii, quality, repeats, simhash, tokens, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,18 @@ def op10_chat_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat(_table(spark, sf_dir, "conversations"))
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lyndon.runs(_table(spark, sf_dir, "documents"), repeat_rule=True).drop("runs")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.compressed(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_aware_token_counts": op1_edit_aware_token_counts,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -66,8 +78,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_chat_snapshot_collapse": op10_chat_snapshot_collapse,
+    "op11_simhash_near_dedup": op11_simhash_near_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_vector_codes": op13_vector_codes,
 }
 
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """Lloyd's rounds one after the other: distances through dot products, which doubles hold exactly here."""
+    near = lambda r: f"""
+a{r} AS MATERIALIZED (
+  SELECT row, p, min({{'d': d, 'e': e}}) AS m FROM (
+    SELECT row, parts.p, e, list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c) AS d FROM parts JOIN b{r} ON parts.p = b{r}.p)
+  GROUP BY row, p)"""
+    move = lambda r: f"""
+b{r + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(s.c, b.c) AS c FROM b{r} b LEFT JOIN (
+    SELECT p, e, list(s ORDER BY i) AS c FROM (
+      SELECT parts.p, m.e AS e, i, floor(sum(x[i]) / count(*)) AS s FROM parts JOIN a{r} ON parts.row = a{r}.row AND parts.p = a{r}.p, (SELECT unnest(range(1, (SELECT max(len(x)) FROM parts) + 1)) AS i)
+      GROUP BY parts.p, m.e, i) GROUP BY p, e) s ON b.p = s.p AND b.e = s.e)"""
+    steps = ",".join(near(r) + "," + move(r) for r in range(rounds))
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT row, p, q[p * len(q) // 4 + 1 : (p + 1) * len(q) // 4] AS x FROM kept, range(4) r(p)),
+b0 AS MATERIALIZED (SELECT p, row - 1 AS e, x AS c FROM parts WHERE row <= 256),{steps},{near(rounds)},
+coded AS (
+  SELECT row, string_agg(lpad(lower(to_hex(m.e)), 2, '0'), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a{rounds} GROUP BY row),
+digest AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda v: CAST(CAST(v AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM kept JOIN coded USING (row), digest"""
+
+
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
@@ -150,4 +193,5 @@ keys AS (SELECT l, min(conv_id) AS conv_id, count(*) AS n_copies FROM chats GROU
 inner_prefixes AS (SELECT DISTINCT l[1:i] AS p FROM (SELECT l, unnest(range(1, len(l))) AS i FROM keys))
 SELECT k.conv_id, CAST(len(k.l) AS BIGINT) AS n_turns, k.n_copies, c.rendered AS text
 FROM keys k JOIN chats c ON c.conv_id = k.conv_id WHERE NOT EXISTS (SELECT 1 FROM inner_prefixes WHERE p = k.l)""",
+    "op13_vector_codes": _lloyd_sql(4),
 }
