@@ -40,16 +40,19 @@ def cascaded(tables: dict[str, DataFrame], document_ids: DataFrame) -> dict[str,
 
 def updated_documents(documents: DataFrame, updates: DataFrame, keep: tuple[str, ...] = ("id", "summary", "summary_date", "display_title")) -> DataFrame:
     """Documents overwritten by updates of the same id; ``keep`` columns stay, and all of a document without update."""
-    new = updates.select(F.col("id"), F.lit(True).alias("__new"), *[F.col(c).alias(f"__{c}") for c in updates.columns if c not in keep])
-    joined = documents.join(new, "id", "left")
-    return joined.select(*[F.when(F.col("__new"), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if f"__{c}" in new.columns else F.col(c) for c in documents.columns])
+    fields = [c for c in documents.columns if c in updates.columns and c not in keep]
+    new = updates.select("id", F.struct(F.lit(True).alias("there"), *[F.col(c).alias(f"f{i}") for i, c in enumerate(fields)]).alias(free_name(documents.columns, "new")))
+    change = F.col(new.columns[1])
+    value = {c: change[f"f{i}"] for i, c in enumerate(fields)}
+    return documents.join(new, "id", "left").select(*[F.when(change.isNotNull(), value[c]).otherwise(F.col(c)).alias(c) if c in value else F.col(c) for c in documents.columns])
 
 
 def set_by_id(documents: DataFrame, values: DataFrame, columns: list[str]) -> DataFrame:
     """Documents with some columns set where ``values`` (id, columns…) has a value."""
-    new = values.select("id", *[F.col(c).alias(f"__{c}") for c in columns])
-    joined = documents.join(new, "id", "left")
-    return joined.select(*[F.coalesce(f"__{c}", c).alias(c) if c in columns else F.col(c) for c in documents.columns])
+    new = values.select("id", F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(columns)]).alias(free_name(documents.columns, "new")))
+    change = F.col(new.columns[1])
+    value = {c: change[f"f{i}"] for i, c in enumerate(columns)}
+    return documents.join(new, "id", "left").select(*[F.coalesce(value[c], F.col(c)).alias(c) if c in value else F.col(c) for c in documents.columns])
 
 
 def fold_contexts(contexts: Column, base: Column) -> Column:

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokens_by_four
 from ..operators.export import answer_scores, extraction_scores
-from .ingest import Extractor, called
+from ..shared import written
+from .ledger import Extractor, asked
 
 
-def run_matrix(prompts: DataFrame, models: list[str], choose: Callable[[str], Callable[[], Extractor]], **retry) -> DataFrame:
-    """The prompts' rows for each model, with ``model``, ``reply`` and ``error``. Each model has its own client a task."""
-    parts = [called(prompts.withColumn("model", F.lit(m)), choose(m), **retry) for m in models]
+def run_matrix(prompts: DataFrame, models: list[str], choose: Callable[[str], Callable[[], Extractor]], **how) -> DataFrame:
+    """The prompts' rows for each model, with ``model``, ``state``, ``reply``, ``error`` and ``attempts``. Each model has its
+    own client a task; the replies are written, so that all scores of them read the same ones."""
+    parts = [written(asked(prompts.withColumn("model", F.lit(m)), choose(m), **how), "compared") for m in models]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

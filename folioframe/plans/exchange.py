@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +12,10 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import context, export, load, merge, resolve
 from ..shared import shared_dir, written
+from ..schemas import TABLES
 from ..sources import catalog, files
 from ..sources.corpus_view import ctes
-from . import ingest, prompts
+from . import ingest, ledger, prompts
 from .queries import _ITEMS, _MENTIONED, _lines, query
 
 
@@ -203,6 +206,62 @@ def summaries_applied(spark, c):
     return export.apply_summaries(c["documents"].withColumn("summary_date", F.lit(None).cast("timestamp")), results).select("id", "summary")
 
 
+# --- model calls ---------------------------------------------------------------------------------------------------------
+
+
+def _reader():
+    """A stand-in for a model: it names a chunk's first word of four letters or more and its first of seven or more, and
+    tells its length; one chunk in seven makes it fail, one in eleven of the rest gets no JSON."""
+
+    def ask(prompt: str) -> str:
+        said = prompt.split("Return JSON only.\n", 1)[1][1:]
+        n = len(said)
+        if n % 7 == 0:
+            raise ValueError(f"{n} characters")
+        if n % 11 == 0:
+            return "no json"
+        words = [m[0] for p in ("[a-z]{4,}", "[a-z]{7,}") if (m := re.search(p, said))]
+        return json.dumps({"entities": [{"name": w, "type": "word", "context": f"of {n}"} for w in words], "events": [{"type": "chunk", "description": f"{n} characters"}]})
+
+    return ask
+
+
+_ASKED_CHUNKS = f"""{ctes('texts')}, d AS (SELECT row_number() OVER (ORDER BY concat(collection, '/', file_name)) AS document_id, concat(collection, '/', file_name) AS source, full_text FROM c_texts),
+k AS (SELECT *, unnest(range(CAST(greatest(1, ceil((length(full_text) - 500) / 3500.0)) AS INT))) AS chunk FROM d WHERE length(full_text) > 0),
+t AS (SELECT document_id, source, chunk, substring(full_text, chunk * 3500 + 1, 4000) AS said FROM k),
+r AS (SELECT *, length(said) AS n FROM t)"""
+
+
+def _ingested(spark: SparkSession, c, path: str) -> dict[str, DataFrame]:
+    incoming = spark.sql(_INCOMING.format("{texts}"), texts=c["texts"]).drop("k")
+    none = {n: spark.createDataFrame([], s) for n, s in TABLES.items()}
+    return ingest.ingest(incoming, none, lambda: _reader(), size=4000, overlap=500, ledger=path, model="reader")
+
+
+@query(f"""{_ASKED_CHUNKS}, good AS (SELECT * FROM r WHERE n % 7 <> 0 AND n % 11 <> 0),
+e AS (SELECT DISTINCT document_id, chunk, name, concat('of ', CAST(n AS VARCHAR)) AS context FROM (SELECT *, unnest([regexp_extract(said, '[a-z]{{4,}}'), regexp_extract(said, '[a-z]{{7,}}')]) AS name FROM good) WHERE name <> ''),
+m AS (SELECT document_id, name, string_agg(context, '; ' ORDER BY chunk) AS told FROM (SELECT document_id, name, context, min(chunk) AS chunk FROM e GROUP BY ALL) GROUP BY ALL)
+SELECT 'document' AS kind, document_id, source AS name, '' AS told FROM d UNION ALL SELECT 'entity', -1, name, 'word' FROM (SELECT DISTINCT name FROM e)
+UNION ALL SELECT 'mention', document_id, name, told FROM m UNION ALL SELECT DISTINCT 'event', document_id, 'chunk', concat(CAST(n AS VARCHAR), ' characters') FROM good""")
+def ingest_tables(spark, c):
+    """All texts come into empty tables, by way of a stand-in for the model."""
+    out = _ingested(spark, c, _place(spark, "ledger"))
+    names = out["entities"].select(F.col("id").alias("entity_id"), "name")
+    rows = out["documents"].select(F.lit("document").alias("kind"), F.col("id").alias("document_id"), F.col("file_path").alias("name"), F.lit("").alias("told"))
+    rows = rows.unionByName(out["entities"].select(F.lit("entity").alias("kind"), F.lit(-1).cast("long").alias("document_id"), "name", F.col("type").alias("told")))
+    rows = rows.unionByName(out["mentions"].join(names, "entity_id").select(F.lit("mention").alias("kind"), "document_id", "name", F.col("context").alias("told")))
+    return rows.unionByName(out["events"].select(F.lit("event").alias("kind"), "document_id", F.col("type").alias("name"), F.col("description").alias("told")))
+
+
+@query(f"""{_ASKED_CHUNKS} SELECT source, chunk, CASE WHEN n % 7 = 0 THEN 'refused' ELSE 'answered' END AS state, CAST(1 AS INT) AS attempts, CASE WHEN n % 7 = 0 THEN concat(CAST(n AS VARCHAR), ' characters') ELSE '' END AS error FROM r""")
+def reply_ledger(spark, c):
+    """What the ledger holds after two runs over the same files: one call a chunk."""
+    path = _place(spark, "ledger")
+    for _ in range(2):
+        _ingested(spark, c, path)
+    return ledger.read(spark, path).select("source", F.col("chunk").cast("long").alias("chunk"), "state", "attempts", "error")
+
+
 # --- merging -----------------------------------------------------------------------------------------------------------
 
 

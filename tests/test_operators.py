@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from folioframe.functions import json_text
 from folioframe.operators import chunking, citations, context, documents, export, load, merge, resolve, retrieval, search
-from folioframe.plans import ingest
+from folioframe.plans import ingest, ledger
 from folioframe.schemas import TABLES, extraction_struct
 from folioframe.sources import catalog, files
 
@@ -272,6 +273,122 @@ def test_ingest(spark):
     assert ingest.ingest(incoming, tables, stub_model(), dry_run=True)["documents"].count() == 3
 
 
+def counting_model(folder):
+    """A model that notes each call as a file, and fails as the prompt says."""
+
+    def make():
+        import os
+        import uuid
+
+        from folioframe.plans.ledger import RateLimited, Unavailable
+
+        def ask(prompt):
+            with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+                f.write(prompt[-40:])
+            for word, error in (("LIMIT", RateLimited("slow", 0.0)), ("AWAY", Unavailable("away")), ("BAD", ValueError("bad"))):
+                if word in prompt[-40:] and not os.path.exists(os.path.join(folder, "..", "well")):
+                    raise error
+            return '{"entities":[{"name":"Ann","type":"person"}],"events":[{"type":"sale","description":"d"}],"fee_patents":[{"allottee":"A"}]}'
+
+        return ask
+
+    return make
+
+
+@pytest.mark.parametrize("version", ["v3", "v4"])
+def test_one_call_a_chunk(spark, tmp_path, version):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    incoming = spark.createDataFrame([("C/a.pdf", "a.pdf", "x" * 25), ("C/b.pdf", "b.pdf", "y" * 8), ("C/c.pdf", "c.pdf", "")], "file_path string, file_name string, full_text string")
+    tables = {t: table(spark, t) for t in TABLES}
+    how = {"size": 10, "overlap": 2, "ledger": str(tmp_path / "ledger"), "model": "m"}
+    out = ingest.ingest(incoming, tables, counting_model(str(calls)), version, **how)
+    for t in out.values():
+        t.count()
+    assert len(list(calls.iterdir())) == 4  # three chunks of the first text, one of the second
+    assert out["events"].count() == 2 and out["mentions"].count() == 2 and out["fee_patents"].count() == 2
+    more = incoming.unionByName(spark.createDataFrame([("A/new.pdf", "new.pdf", "z")], incoming.schema))  # ids move; known chunks are still known
+    again = ingest.ingest(more, tables, counting_model(str(calls)), version, **how)
+    assert again["mentions"].count() == 3 and len(list(calls.iterdir())) == 5
+    ingest.ingest(incoming, tables, counting_model(str(calls)), version, **(how | {"model": "other"}))
+    assert len(list(calls.iterdir())) == 9
+
+
+def test_calls_that_fail(spark, tmp_path):
+    calls, path = tmp_path / "calls", str(tmp_path / "ledger")
+    calls.mkdir()
+    said = ["LIMIT", "AWAY", "BAD", "fine", "fine", None]
+    prompts = spark.createDataFrame([(str(i), 0, t, i) for i, t in enumerate(said)], "source string, chunk int, prompt string, state_of int")
+    ask = lambda **how: {r.source: r for r in ledger.with_replies(prompts, counting_model(str(calls)), path, retries=2, pause=0.0, **how).collect()}
+    got = ask()
+    assert [(got[str(i)].state, got[str(i)].attempts) for i in range(6)] == [("limited", 3), ("unasked", 1), ("refused", 1), ("answered", 1), ("answered", 1), ("answered", 1)]
+    assert len(list(calls.iterdir())) == 8 and got["2"].error == "bad" and got["2"].state_of == 2
+    ask()  # limits and absent models are asked again, what was refused is not
+    assert len(list(calls.iterdir())) == 12
+    (tmp_path / "well").write_text("")
+    got = ask()
+    assert {s: r.state for s, r in got.items()} == {"0": "answered", "1": "answered", "2": "refused", "3": "answered", "4": "answered", "5": "answered"}
+    assert ask(again=True)["2"].state == "answered" and len(list(calls.iterdir())) == 15
+    assert {r.state: (r.n, r.attempts) for r in ledger.state_counts(spark, path).collect()} == {"answered": (6, 6)}
+    ledger.compact(spark, path)
+    ask(again=True)
+    assert len(list(calls.iterdir())) == 15 and spark.read.parquet(path).count() == 6
+
+
+def test_a_dead_model_is_given_up(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    prompts = spark.createDataFrame([(str(i), 0, "AWAY") for i in range(30)], "source string, chunk int, prompt string")
+    got = ledger.with_replies(prompts, counting_model(str(calls)), str(tmp_path / "ledger"), give_up=3, pause=0.0)
+    assert len(list(calls.iterdir())) == 3 and got.where("state = 'unasked'").count() == 30
+    assert ledger.with_replies(prompts.limit(0), counting_model(str(calls)), str(tmp_path / "none")).count() == 0
+
+
+def test_a_killed_run_is_resumed(spark, tmp_path):
+    """Tasks that ended keep their replies though the job fails; the next run asks for the rest alone."""
+    calls, path = tmp_path / "calls", str(tmp_path / "ledger")
+    calls.mkdir()
+    prompts = spark.createDataFrame([(str(i), 0, f"p{i}") for i in range(40)], "source string, chunk int, prompt string")
+
+    def breaking(folder):
+        model = counting_model(folder)
+
+        def make():
+            import os
+
+            ask = model()
+
+            def one(prompt):
+                if len(os.listdir(folder)) >= 20 and not os.path.exists(os.path.join(folder, "..", "well")):
+                    os._exit(1)
+                return ask(prompt)
+
+            return one
+
+        return make
+
+    with pytest.raises(Exception, match="."):
+        ledger.with_replies(prompts, breaking(str(calls)), path, task_calls=4)
+    kept = ledger.read(spark, path).count()
+    (tmp_path / "well").write_text("")
+    before = len(list(calls.iterdir()))
+    assert 0 < kept < 40
+    assert ledger.with_replies(prompts, breaking(str(calls)), path, task_calls=4).where("state = 'answered'").count() == 40
+    assert len(list(calls.iterdir())) - before == 40 - kept
+
+
+def test_clashing_names(spark):
+    docs = table(spark, "documents", {"id": 1, "file_name": "a", "display_title": "t"}, {"id": 2, "file_name": "b"}).withColumn("new", F.lit(5)).withColumn("__title", F.lit("u"))
+    new = spark.createDataFrame([(1, "c", 9, None)], "id long, file_name string, new int, collection string")
+    got = {r.id: r for r in load.updated_documents(docs, new).collect()}
+    assert (got[1].file_name, got[1].new, got[1].display_title, got[2].file_name, got[2].new) == ("c", 9, "t", "b", 5)
+    set_ = {r.id: r for r in load.set_by_id(docs, spark.createDataFrame([(2, "x")], "id long, display_title string"), ["display_title"]).collect()}
+    assert (set_[1].display_title, set_[2].display_title, set_[2]["__title"]) == ("t", "x", "u")
+    said = spark.createDataFrame([('{"events":[{"type":"x"}]}', "mine", 3)], "reply string, __json string, settled int")
+    row = json_text.parsed(said).first()
+    assert (row["__json"], row.settled, row.valid_json, row.result.events[0].type) == ("mine", 3, True, "x")
+
+
 def test_router():
     choose = ingest.router({"a": list, "a-big": dict})
     assert choose("a-big-1") is dict and choose("a-1") is list
