@@ -31,9 +31,12 @@ CUES = ("account", "acct", "a/c", "ssn", "passport", "konto", "compte", "cuenta"
 #: Cues of secrets: keys have 16 characters or more and a digit, passwords six or more; both follow a sign of assignment.
 KEYS = ("token", "api_key", "api-key", "api key", "apikey", "secret", "access_key", "access-key", "access key", "private_key")
 PASSWORDS = ("password", "passwd", "pwd")
-_ASSIGNED = re.compile(r"""["'`]?\s{0,3}(?:=>|:=|[:=])\s{0,3}(?:(["'`])([^\s"'`]{4,512})\1|([^\s"'`<>,;(){}\[\]]{4,512}))""")
-_BEARER = re.compile(r"\s{1,3}([A-Za-z0-9_\-+/=.~]{20,512})")
-_KEY = re.compile(r"(?=[^0-9]*[0-9])[A-Za-z0-9_\-+/=.~]{16,512}")
+_SIGN = re.compile(r"""["'`]?\s{0,3}(?:=>|:=|[:=])\s{0,3}""")
+_QUOTED = re.compile(r"""(["'`])([^\s"'`]{4,})\1""")
+_BARE = re.compile(r"""[^\s"'`<>,;(){}\[\]]+""")
+_BEARER = re.compile(r"\s{1,3}([A-Za-z0-9_\-+/=.~]{20,})")
+_KEY = re.compile(r"(?=[^0-9]*[0-9])[A-Za-z0-9_\-+/=.~]{16,}")
+_LAST_DIGIT, _LAST_OTHER = re.compile(r"(?s).*[0-9]"), re.compile(r"(?s).*[^A-Za-z0-9_\-+/=.~]")
 _SMALL = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SCHEMES = ("http://", "https://", "ftp://")
 
@@ -84,6 +87,44 @@ def iban(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
 
 
+class _Bare:
+    """The last unquoted value that was looked at. Cues inside it see its end, last digit and last character that no key
+    has, so a long run of cues is read once."""
+
+    def __init__(self, text: str) -> None:
+        self.text, self.end = text, -1
+
+    def at(self, start: int, key: bool) -> int:
+        """The end of a value that starts here, less what closes a sentence; -1 if it is none: a key has 16 characters of
+        its own alphabet or more and a digit, a password six of any."""
+        if start >= self.end:
+            m = _BARE.match(self.text, start)
+            if not m:
+                return -1
+            self.end = m.end()
+            self.stop = start + len(m[0].rstrip(".!?:"))
+            digit, other = _LAST_DIGIT.match(self.text, start, self.stop), _LAST_OTHER.match(self.text, start, self.stop)
+            self.digit, self.other = digit.end() - 1 if digit else -1, other.end() - 1 if other else -1
+        fits = self.stop - start >= 16 and self.digit >= start > self.other if key else self.stop - start >= 6
+        return self.stop if fits else -1
+
+
+def _secret(text: str, cue: str, at: int, bare: _Bare) -> tuple[int, int] | None:
+    """The value after a cue of a secret that ends before ``at``, however long it is."""
+    if cue == "bearer":
+        m = _BEARER.match(text, at)
+        return m.span(1) if m and _KEY.fullmatch(text, *m.span(1)) else None
+    sign = _SIGN.match(text, at)
+    if not sign:
+        return None
+    start = sign.end()
+    if q := _QUOTED.match(text, start):
+        good = _KEY.fullmatch(text, *q.span(2)) if cue == "key" else len(q[2]) >= 6
+        return q.span(2) if good else None
+    end = bare.at(start, cue == "key")
+    return (start, end) if end >= 0 else None
+
+
 def _v6(text: str) -> bool:
     parts = text.split(":")
     return (text.count("::") == 1 and len(parts) <= 8) or (len(parts) == 8 and all(parts))
@@ -97,7 +138,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
     """
     out: list[tuple[int, int, str]] = []
     past = dict.fromkeys(KINDS, 0)
-    n = len(text)
+    n, bare = len(text), _Bare(text)
     for last, (cue, length) in machine().iter(small(text)):
         at = last - length + 1
         if cue == "digit":
@@ -151,15 +192,9 @@ def find(text: str) -> list[tuple[int, int, str]]:
                 out.append((m.start(1), m.end(1), "account"))
                 past["account"] = m.end(1)
         elif cue in ("key", "password", "bearer") and last >= past["secret"] and (at == 0 or not text[at - 1].isalnum()):
-            m = (_BEARER if cue == "bearer" else _ASSIGNED).match(text, last + 1)
-            if m:
-                k = 1 if cue == "bearer" else 2 if m[2] is not None else 3
-                a, b = m.span(k)
-                while k == 3 and b > a and text[b - 1] in ".!?:":
-                    b -= 1
-                if _KEY.fullmatch(text, a, b) if cue != "password" else b - a >= 6:
-                    out.append((a, b, "secret"))
-                    past["secret"] = b
+            if span := _secret(text, cue, last + 1, bare):
+                out.append((*span, "secret"))
+                past["secret"] = span[1]
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

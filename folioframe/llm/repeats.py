@@ -132,6 +132,12 @@ def _long(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.uint32 if data[0] else np.int64, offset=1).astype(np.int64)
 
 
+def _own_ranks(owner: np.ndarray, ranks: np.ndarray) -> tuple[bytes, bytes]:
+    """Owners, in order, numbered among themselves, and their ranks."""
+    new = np.append(True, owner[1:] != owner[:-1])
+    return (np.cumsum(new) - 1).astype(np.uint16).tobytes(), _short(ranks[owner[new]])
+
+
 def _cores(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     for ranks, data, offsets in _groups(batches, GROUP_BYTES):
         shard, small, near, owner = [], [], [], []
@@ -145,7 +151,9 @@ def _cores(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Record
         if shard:
             out = _rows(np.concatenate(shard), [np.concatenate(small), np.concatenate(near), np.concatenate(owner)], ["cores", "near", "owner"], "shard")
             if out is not None:
-                yield out.append_column("ranks", pa.array([_short(ranks)] * out.num_rows, pa.binary()))
+                # Each row takes the ranks of its own cores along, so that what is shuffled does not grow with the shards.
+                own = [_own_ranks(np.frombuffer(x.as_py(), np.uint16), ranks) for x in out.column("owner")]
+                yield pa.RecordBatch.from_arrays([*(out.column(c) for c in ("shard", "cores", "near")), *(pa.array(c, pa.binary()) for c in zip(*own, strict=True))], ["shard", "cores", "near", "owner", "ranks"])
 
 
 def _shared(group: pa.Table, buckets: int) -> pa.Table | None:

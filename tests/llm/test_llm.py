@@ -5,6 +5,7 @@ import math
 import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -821,3 +822,33 @@ def test_pipeline(spark, sf_dir):
     assert {r.doc_id for r in corpus_pipeline.run(spark, sf_dir).collect()} == set(after)
     left = {n.rsplit("-", 1)[0] for n in set(os.listdir(shared_dir(spark))) - before}
     assert left == {"stage-pii", "pieces"}  # what the result still reads
+
+
+# --- long secrets, many shards ---------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("n", [600, 5_000, 40_000])
+def test_secrets_of_any_length(n):
+    body = ("Ab3_-" * n)[:n]
+    for text in (f"api_key = {body} end", f'token: "{body}" end', f"password='{body}' end", f"pwd={body}, end", f"Authorization: Bearer {body} end"):
+        spans = pii.find(text)
+        at = text.index(body)
+        assert (at, at + n, "secret") in spans
+        assert body[:20] not in pii.masked(text, spans) and body[-20:] not in pii.masked(text, spans)
+
+
+def test_many_cues_in_one_value():
+    """Cues inside a value that is none are judged by what follows them, and the value is read once."""
+    began = time.time()
+    assert not [s for s in pii.find("token=" * 200_000) if s[2] == "secret"]
+    assert time.time() - began < 10
+    text = "token=é-" * 1000 + "token=" + "x" * 30 + "7."
+    assert [(s[0], text[s[0] : s[1]]) for s in pii.find(text) if s[2] == "secret"] == [(len(text) - 32, "x" * 30 + "7")]
+
+
+def test_shuffled_cores_do_not_grow_with_shards():
+    rnd = random.Random(5)
+    texts = [" ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randrange(2, 9))) for _ in range(rnd.choice([100, 500, 900]))) for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(rnd.sample(range(10**9), len(texts)), pa.int64()), pa.array(texts, pa.string())], ["rank", "text"])
+    size = {n: sum(len(x.as_py()) for b in repeats._cores(iter([batch]), n) for c in ("cores", "near", "owner", "ranks") for x in b.column(c)) for n in (100, 10_000)}
+    assert size[10_000] < 1.2 * size[100]
