@@ -2,44 +2,30 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stem import SEARCH_STOP_WORDS, cover_density, stem, stems
+from ..functions.stem import cover_density
 from ..functions.text import any_ilike, bound, content_terms, query_terms, strip, term_hits
+from .fulltext import NO_HITS, every_alternative_wants, holds, n_wanted, occurrences, parse, query_stems, stem_hits, stem_table, tokens
+from .ordering import free_name
 
 #: Lower-case name parts of finding aids and reference lists, which ranking leaves out (fixed values).
 REFERENCE_NAMES = ["finding aid", "archives west", "haley papers", "mansfield papers"]
 
 
-def tokens(text: Column) -> Column:
-    """Lower-case runs of letters and digits."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"([\p{L}\p{N}]+)"), 1)
-
-
 def parse_query(query: str) -> list[list[tuple[bool, list[str]]]]:
     """A web-style query as alternatives of (wanted, words): bare words and "phrases" are joined by and, ``or`` separates, ``-`` negates."""
-    groups: list[list[tuple[bool, list[str]]]] = [[]]
-    for minus, phrase, word in re.findall(r'(-?)(?:"([^"]*)"|(\S+))', query):
-        if word.lower() == "or" and not minus:
-            groups.append([])
-            continue
-        words = [w for w in re.findall(r"[^\W_]+", (phrase or word).lower()) if w not in SEARCH_STOP_WORDS]
-        if words:
-            groups[-1].append((not minus, words))
-    return [g for g in groups if g]
-
-
-def match(token_column: Column, query: str, stemmed: bool = False) -> Column:
-    """Whether tokens satisfy the query; a query of stop words alone matches nothing."""
-    own = stem if stemmed else lambda w: w
+    return [[(wanted, [w for _, w in words]) for wanted, words in g] for g in parse(query)]
+
+
+def match(token_column: Column, query: str) -> Column:
+    """Whether tokens satisfy the query as they stand; a query of stop words alone matches nothing."""
     flat = F.concat(F.lit(" "), F.array_join(token_column, " "), F.lit(" "))
 
     def atom(wanted: bool, words: list[str]) -> Column:
-        words = [own(w) for w in words]
         hit = F.array_contains(token_column, words[0]) if len(words) == 1 else F.contains(flat, F.lit(f" {' '.join(words)} "))
         return hit if wanted else ~hit
 
@@ -47,35 +33,46 @@ def match(token_column: Column, query: str, stemmed: bool = False) -> Column:
     return reduce(lambda a, b: a | b, groups) if groups else F.lit(False)
 
 
-def rank(token_column: Column, query: str, stemmed: bool = False) -> Column:
-    """Cover density of the wanted words. One word needs no Python: its r is a tenth of its count."""
-    words = list(dict.fromkeys((stem(w) if stemmed else w) for g in parse_query(query) for wanted, ws in g if wanted for w in ws))
+def rank(token_column: Column, query: str) -> Column:
+    """Cover density of the wanted words, as they stand."""
+    words = list(dict.fromkeys(w for g in parse_query(query) for wanted, ws in g if wanted for w in ws))
     if len(words) <= 1:
         r = F.size(F.filter(token_column, lambda t: t.isin(words))) * F.lit(0.1)
         return r / (r + 1)
-    return cover_density(token_column, F.array(*map(F.lit, words)))
+    known = F.array(*map(F.lit, words))
+    placed = F.transform(token_column, lambda t, i: F.struct(i.alias("pos"), (F.array_position(known, t) - 1).cast("int").alias("term")))
+    return cover_density(F.filter(placed, lambda h: h["term"] >= 0), len(words))
 
 
-def with_tokens(texts: DataFrame, stemmed: bool = False) -> DataFrame:
-    """Texts with their tokens, or stems (level 2, which runs Arrow batches through Python)."""
-    own = tokens(F.col("full_text"))
-    return texts.withColumn("tokens", stems(own) if stemmed else own)
+def with_tokens(texts: DataFrame) -> DataFrame:
+    """Texts with their tokens."""
+    return texts.withColumn("tokens", tokens(F.col("full_text")))
 
 
-def matched(texts: DataFrame, query: str, stemmed: bool = False, or_else: Column | None = None) -> DataFrame:
-    """Texts that match, with their tokens: a generator yields a text's tokens if they match, so they are made once.
+def matched(texts: DataFrame, query: str, stemmed: bool = False, or_else: Column | None = None, places: DataFrame | None = None, stems: DataFrame | None = None) -> DataFrame:
+    """Texts that match, or that ``or_else`` holds for, with their rank as ``fts``.
 
-    As a column and a filter, the filter would be pushed below the column and the text be cut into tokens twice.
+    Plain: a generator yields a text's tokens if they match, so they are made once; as a column and a filter, the filter
+    would be pushed below the column and the text be cut into tokens twice. Stemmed: the places of the query's stems come
+    from ``places`` (document_id, pos, token) and the table ``stems``, where they are stored, else from the texts.
     """
-    own = tokens(F.col("full_text"))
-    hit = lambda t: match(t, query, stemmed) if or_else is None else match(t, query, stemmed) | or_else
-    return texts.withColumn("tokens", F.explode(F.filter(F.array(stems(own) if stemmed else own), hit)))
+    if not stemmed:
+        own = free_name(texts.columns, "tokens")
+        hit = lambda t: match(t, query) if or_else is None else match(t, query) | or_else
+        found = texts.withColumn(own, F.explode(F.filter(F.array(tokens(F.col("full_text"))), hit)))
+        return found.withColumn("fts", rank(F.col(own), query)).drop(own)
+    groups, own = parse(query), free_name(texts.columns, "hits")
+    places = occurrences(texts) if places is None else places
+    hits = stem_hits(places, stem_table(places) if stems is None else stems, query_stems(groups)).select(F.col("document_id").alias("id"), F.col("hits").alias(own))
+    joined = texts.join(hits, "id", "inner" if or_else is None and every_alternative_wants(groups) else "left")
+    known, n = F.coalesce(own, F.array().cast(NO_HITS)), n_wanted(groups)
+    found = joined.where(holds(known, groups) if or_else is None else holds(known, groups) | or_else)
+    return found.withColumn("fts", cover_density(F.filter(known, lambda h: h["term"] < n), n) if n else F.lit(0.0)).drop(own)
 
 
 def token_index(texts: DataFrame) -> DataFrame:
     """(token, document_id, positions): an inverted index to write once, bucketed by token, for repeated queries."""
-    each = texts.select(F.col("id").alias("document_id"), F.posexplode(tokens(F.col("full_text"))).alias("pos", "token"))
-    return each.groupBy("token", "document_id").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
+    return occurrences(texts).groupBy("token", "document_id").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
 
 
 def index_match(index: DataFrame, words: list[str]) -> DataFrame:
@@ -144,7 +141,7 @@ def search_passages(texts: DataFrame, mentions: DataFrame, query: str, max_docs:
     for asked in dict.fromkeys((query, plain)):
         hits = matched(texts, asked, stemmed)
         if not hits.isEmpty():
-            ranked = hits.withColumn("rank", F.round(rank(F.col("tokens"), asked, stemmed), 6))
+            ranked = hits.withColumn("rank", F.round("fts", 6))
             break
     else:
         ranked = texts.where(any_ilike(["full_text"], terms)).withColumn("rank", F.lit(0.0))
@@ -155,7 +152,7 @@ def search_passages(texts: DataFrame, mentions: DataFrame, query: str, max_docs:
 def search_documents(texts: DataFrame, mentions: DataFrame, query: str, limit: int = 30, stemmed: bool = False) -> DataFrame:
     """(id, file_name, display_title, collection, rank, entity_count): full-text or file-name hits, by rank and entities."""
     hits = matched(texts, query, stemmed, any_ilike(["file_name"], query_terms(query)))
-    ranked = hits.withColumn("rank", F.round(F.coalesce(rank(F.col("tokens"), query, stemmed), F.lit(0.0)), 6)).drop("full_text", "tokens")
+    ranked = hits.withColumn("rank", F.round(F.coalesce("fts", F.lit(0.0)), 6)).drop("full_text", "fts")
     return counted(ranked, {"entity_count": mentions}).select("id", "file_name", "display_title", "collection", "rank", "entity_count").orderBy(F.desc("rank"), F.desc("entity_count"), "id").limit(limit)
 
 
@@ -182,7 +179,7 @@ def rank_documents(texts: DataFrame, mentions: DataFrame, transactions: DataFram
     name_hits = reduce(lambda a, b: a + b, [F.contains(F.lower("file_name"), F.lit(t.lower())).cast("int") for t in terms])
     slim = found.select(
         "id", "file_name", F.floor(length / F.lit(3.2)).alias("est_tokens"), term_hits(F.col("full_text"), terms).alias("term_hits"),
-        (name_hits / len(terms) * 15).alias("name_bonus"), rank(F.col("tokens"), query, stemmed).alias("fts"),
+        (name_hits / len(terms) * 15).alias("name_bonus"), "fts",
     )
     rich = counted(slim, {"entity_count": mentions, "transaction_count": transactions, "relationship_count": relationships}).withColumn("richness", F.col("entity_count") + 5 * F.col("transaction_count") + 3 * F.col("relationship_count"))
     per = F.greatest(F.lit(1.0), F.col("est_tokens") / 1000)

@@ -238,12 +238,6 @@ def fts_cover_density(spark, c):
     return found.select("id", F.round(retrieval.rank(F.col("tokens"), "tion reth"), 6).alias("rank"))
 
 
-@query()
-def fts_match_stemmed(spark, c):
-    found = retrieval.with_tokens(c["texts"], stemmed=True)
-    return found.select("id", retrieval.match(F.col("tokens"), "nations -running", True).alias("hit"), F.round(retrieval.rank(F.col("tokens"), "tion reth", True), 6).alias("rank"))
-
-
 @query(f"""{ctes('texts')}, t AS (SELECT id AS document_id, unnest({_TOKENS}) AS token FROM c_texts)
 SELECT document_id, count(*) AS hits FROM t WHERE token IN ('tion', 'reth') GROUP BY document_id HAVING count(DISTINCT token) = 2""")
 def inverted_index_match(spark, c):

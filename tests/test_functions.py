@@ -1,4 +1,5 @@
 import math
+import random
 import re
 
 import pytest
@@ -7,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from folioframe.functions import json_text, similarity, text
-from folioframe.functions.stem import stem
+from folioframe.functions.stem import stem, stemmed
 
 
 def one(spark, column, **values):
@@ -118,6 +119,26 @@ def test_stem(word, base):
     assert stem(word) == base
 
 
+#: Words with their stems, from the published description of the rules.
+STEMS = {
+    "consign": "consign", "consigned": "consign", "consignment": "consign", "consist": "consist", "consistency": "consist", "consolation": "consol", "consolatory": "consolatori", "consoling": "consol",
+    "knack": "knack", "knackeries": "knackeri", "knavish": "knavish", "kneaded": "knead", "knightly": "knight", "knocker": "knocker", "knotted": "knot", "luxuriated": "luxuri", "hoping": "hope", "hopping": "hop",
+    "generously": "generous", "gas": "gas", "gaps": "gap", "kiwis": "kiwi", "ties": "tie", "cries": "cri", "say": "say", "cry": "cri", "by": "by", "dying": "die", "only": "onli", "news": "news", "herrings": "herring",
+    "succeeding": "succeed", "communism": "communism", "sensational": "sensat", "vietnamization": "vietnam", "yielding": "yield", "employees": "employe", "été": "été", "1909s": "1909s", "x": "x", "analogies": "analog",
+}
+
+
+def test_stems_as_columns(spark):
+    rnd = random.Random(3)
+    parts = ["", "at", "bl", "iz", "tt", "ee", "y", "ay", "yy", "tion", "ational", "ness", "ful", "li", "ogi", "ing", "ed", "edly", "sses", "ies", "s", "e", "ll", "gener", "arsen", "é", "b", "o", "7"]
+    words = [*STEMS, *sorted({"".join(rnd.choice(parts) for _ in range(rnd.randrange(1, 6))) for _ in range(4000)} - {""} - set(STEMS))]
+    df = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "token string, stem int")
+    got = {r.token: r.stem for r in stemmed(df).collect()}
+    assert len(got) == len(words) and all(stem(w) == got[w] for w in words)
+    assert {w: got[w] for w in STEMS} == STEMS
+    assert spark.createDataFrame([(None,)], "token string").transform(stemmed).first().stem is None
+
+
 def test_evidence(spark):
     t = "On May 4, 1909, [Doc 3] and [Doc 3, 4]: $1,200.50 for 40 acres, H.R. 12, Allotment No. 7. Gaps in the record."
     got = spark.createDataFrame([(t,)], "t string").select(*[c.alias(k) for k, c in text.evidence(F.col("t")).items()]).first()

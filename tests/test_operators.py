@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from folioframe.functions import json_text
-from folioframe.operators import chunking, citations, context, documents, export, load, merge, resolve, retrieval, search
+from folioframe.operators import chunking, citations, context, documents, export, fulltext, load, merge, resolve, retrieval, search
 from folioframe.plans import ingest, ledger
 from folioframe.schemas import TABLES, extraction_struct
 from folioframe.sources import catalog, files
@@ -88,6 +90,35 @@ def test_cover_density(spark):
     assert got[0] == pytest.approx(r / (r + 1)) and got[1:] == [0, 0]
 
 
+@pytest.mark.parametrize("q,ids", [("sold lands", [1, 3]), ('"land sales"', [1]), ('"sale of the land"', [3]), ("land -sale", [2]), ("-land", [4, 5]), ("nothing or selling", [2]), ("the", []), ("", []), ("-land or sell", [2, 4, 5])])
+def test_stemmed_query(spark, q, ids):
+    texts = spark.createDataFrame([(1, "Land sales, sold"), (2, "The lands sell"), (3, "A sale of the LAND was sold"), (4, ""), (5, None)], "id long, full_text string").withColumn("hits", F.lit("own"))
+    places = fulltext.occurrences(texts)
+    for given in ({}, {"places": places, "stems": fulltext.stem_table(places)}):
+        got = retrieval.matched(texts, q, stemmed=True, **given)
+        assert sorted(r.id for r in got.collect()) == ids and got.columns == ["id", "full_text", "hits", "fts"]
+        assert all(r.fts >= 0 for r in got.collect())
+
+
+def test_native_cover_density_equals_all_stretches(spark):
+    """Against a plain walk over the words."""
+    rnd = random.Random(6)
+    said = [[rnd.choice("abcxyz") for _ in range(rnd.randrange(0, 30))] for _ in range(200)]
+
+    def brute(words):
+        at = [(i, t) for i, t in enumerate(words) if t in "abc"]
+        need, total, last, held = {t for _, t in at}, 0.0, {}, -1
+        for i, t in at:
+            last[t] = i
+            if len(last) == len(need) and min(last.values()) > held:
+                held = min(last.values())
+                total += 0.1 / (1 + (i - held) - (len(need) - 1))
+        return total / (total + 1)
+
+    df = spark.createDataFrame([(i, [x * 2 for x in w]) for i, w in enumerate(said)], "id int, t array<string>").select("id", retrieval.rank(F.col("t"), "aa bb cc").alias("r"))
+    assert {r.id: round(r.r, 9) for r in df.collect()} == {i: round(brute(w), 9) for i, w in enumerate(said)}
+
+
 def item(**kw):
     return {"chunk": 0, "pos": 0} | kw
 
