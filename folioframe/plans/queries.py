@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import json_text, text
@@ -554,6 +554,31 @@ def fuzzy_review(spark, c):
     return resolve.review(resolve.fuzzy_candidates(c["entities"], c["mentions"]), c["mentions"], c["documents"]).select("type", "id_a", "id_b", "score", "keep", "decision")
 
 
+def _accepted(old: Column, new: Column) -> list[Column]:
+    return [F.lit("person").alias("type"), new.alias("id_a"), F.concat(F.lit("n"), new).alias("name_a"), old.alias("id_b"), F.concat(F.lit("n"), old).alias("name_b"), F.lit(0.9).alias("score"), F.concat(F.lit("n"), new).alias("keep"), F.lit("accept").alias("decision")]
+
+
+@query("""WITH b AS (SELECT c_custkey AS k, c_custkey // 40 AS b FROM customer), m AS (SELECT b, min(k) AS lo, max(k) AS hi FROM b GROUP BY b)
+SELECT k AS old_id, CASE WHEN b % 2 = 0 THEN hi ELSE lo END AS new_id FROM b JOIN m USING (b) WHERE k <> CASE WHEN b % 2 = 0 THEN hi ELSE lo END""")
+def merge_chains_and_cycles(spark, c):
+    """Each customer goes into the next of its forty, a chain; in each second forty the last goes into the first, a cycle."""
+    k = F.col("k")
+    own = spark.read.parquet(f"{c.sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k"), F.floor(F.col("c_custkey") / 40).alias("b"))
+    ends = own.groupBy("b").agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
+    rows = own.join(ends, "b").where("k < hi or b % 2 = 1").withColumn("to", F.when(k < F.col("hi"), k + 1).otherwise(F.col("lo")))
+    return resolve.accepted_id_map(rows.select(*_accepted(k, F.col("to"))))
+
+
+@query(f"""{ctes('entities', 'mentions')}, p AS (SELECT id AS old_id, id - 3 AS new_id FROM c_entities WHERE type = 'person' AND id % 2 = 0),
+x AS (SELECT p.old_id, m.document_id, EXISTS (SELECT 1 FROM c_mentions n WHERE n.entity_id = p.new_id AND n.document_id = m.document_id) AS met FROM p JOIN c_mentions m ON m.entity_id = p.old_id)
+SELECT p.old_id, a.name AS old_name, p.new_id, b.name AS new_name, count(x.old_id) FILTER (WHERE NOT met) AS moved, count(x.old_id) FILTER (WHERE met) AS combined
+FROM p LEFT JOIN c_entities a ON a.id = p.old_id LEFT JOIN c_entities b ON b.id = p.new_id LEFT JOIN x ON x.old_id = p.old_id GROUP BY ALL""")
+def merge_dry_run(spark, c):
+    """What merging each second customer into the one before it would do."""
+    pairs = c["entities"].where("type = 'person' and id % 2 = 0").select(*_accepted(F.col("id"), F.col("id") - 3))
+    return resolve.merge_plan(pairs, c["entities"], c["mentions"])
+
+
 @query("""WITH r AS (SELECT c_custkey AS old_id, c_custkey - c_custkey % 10 AS new_id FROM customer WHERE c_custkey % 10 <> 0 AND c_custkey % 4 <> 3) SELECT old_id, CAST(CASE WHEN new_id % 100 <> 0 AND new_id % 4 <> 3 THEN new_id - new_id % 100 ELSE new_id END AS BIGINT) AS new_id FROM r
 UNION ALL SELECT c_custkey, c_custkey - c_custkey % 100 FROM customer WHERE c_custkey % 10 = 0 AND c_custkey % 100 <> 0 AND c_custkey % 4 <> 3""")
 def apply_review(spark, c):
@@ -666,6 +691,39 @@ def linked_file_name_citations(spark, c):
     return citations.linked_file_names(_answers(spark, c), c["documents"], "https://archive.example").select("id", F.md5("text").alias("digest"))
 
 
+_PAPER = "concat('Letter (', CAST(1890 + k % 30 AS STRING), '), part ', CAST(k AS STRING), '.pdf')"
+
+
+def _papers(spark, c):
+    """File names that hold parentheses and commas, one a customer; and answers that cite two of them, one without .pdf and starred."""
+    docs = spark.sql(f"SELECT k AS id, {_PAPER} AS file_name FROM (SELECT c_custkey AS k FROM {{customer}})", customer=spark.read.parquet(f"{c.sf_dir}/customer.parquet"))
+    said = F.expr("concat('As (', a, ', May (1909)) and (*', left(b, length(b) - 4), '*) say, not (', left(a, 12), ') nor (', left(a, 6), '), é')")
+    name = lambda k: F.expr(_PAPER.replace("k ", f"{k} ").replace("(k", f"({k}"))
+    orders = spark.read.parquet(f"{c.sf_dir}/orders.parquet").select("o_orderkey", name("o_custkey").alias("a"), name("(o_custkey + 1)").alias("b"))
+    return orders.select(F.col("o_orderkey").alias("id"), said.alias("text")), docs
+
+
+def _paper_sql(k: str) -> str:
+    return f"concat('Letter (', CAST(1890 + {k} % 30 AS VARCHAR), '), part ', CAST({k} AS VARCHAR), '.pdf')"
+
+
+_CITED = f"(SELECT o_orderkey, o_custkey AS k, {_paper_sql('o_custkey')} AS a, {_paper_sql('(o_custkey + 1)')} AS b, o_custkey + 1 <= (SELECT max(c_custkey) FROM customer) AS both_there FROM orders)"
+
+
+@query(f"SELECT o_orderkey AS answer_id, a AS name, k AS doc_id FROM {_CITED} UNION ALL SELECT o_orderkey, left(b, length(b) - 4), k + 1 FROM {_CITED} WHERE both_there")
+def citations_with_parentheses(spark, c):
+    return citations.file_name_citations(*_papers(spark, c))
+
+
+@query(f"""SELECT o_orderkey AS id, md5(concat('As (', CASE WHEN k % 3 <> 0 THEN '[' || a || '](x-item://' || md5(a) || ')' ELSE a END, ', May (1909)) and (*', CASE WHEN both_there AND (k + 1) % 3 <> 0 THEN '[' || left(b, length(b) - 4) || '](x-item://' || md5(b) || ')' ELSE left(b, length(b) - 4) END,
+  '*) say, not (', left(a, 12), ') nor (', left(a, 6), '), é')) AS digest FROM {_CITED}""")
+def linked_identifiers(spark, c):
+    """Cited names as links to identifiers, where two of three documents have one."""
+    answers, docs = _papers(spark, c)
+    uuids = docs.where("id % 3 <> 0").select("file_name", F.md5(F.col("file_name").cast("binary")).alias("uuid"))
+    return citations.linked_file_names(answers, docs, uuids=uuids).select("id", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
 def _answers(spark, c):
     return spark.sql(f"SELECT o_orderkey AS id, {_ANSWER} AS text FROM {{orders}}", orders=spark.read.parquet(f"{c.sf_dir}/orders.parquet"))
 

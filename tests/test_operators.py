@@ -531,3 +531,48 @@ def test_discovery_context_has_its_sections_in_order(spark):
     heads = [line for line in got.split("\n") if line.endswith(" total):")]
     assert heads == ["EXTRACTED ENTITIES (1 total):", "EVENTS (50 total):", "ENTITY NETWORKS (15 total):"]
     assert got.count("sale: ") == 40 and "x" * 200 in got and "x" * 201 not in got and "P14" in got and "P15" not in got
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("(Report (1909).pdf)", {("Report (1909).pdf", 1)}), ("(*Report (1909)*, 1 May)", {("Report (1909)", 1)}), ("(1909)", {("1909", 2)}), ("(A, b (c), d.pdf, x", set()),
+        ("(A, b (c), d.pdf, see (1909))", {("A, b (c), d.pdf", 3), ("1909", 2)}), ("((1909.pdf))", {("1909.pdf", 2)}), ("(report (1909).pdf)", {("1909", 2)}), ("()(,)(*)(**)", {("*", 4)}), (None, set()),
+    ],
+)
+def test_names_with_parentheses(spark, text, want):
+    docs = spark.createDataFrame([(1, "Report (1909).pdf"), (2, "1909.pdf"), (3, "A, b (c), d.pdf"), (4, "*"), (9, "1909.pdf")], "id long, file_name string")
+    ans = spark.createDataFrame([(1, text)], "id long, text string")
+    assert {(r.name, r.doc_id) for r in citations.file_name_citations(ans, docs).collect()} == want
+
+
+def test_links_to_identifiers(spark):
+    docs = spark.createDataFrame([(1, "R (é).pdf"), (2, "plain"), (3, "none.pdf")], "id long, file_name string")
+    uuids = spark.createDataFrame([("R (é).pdf", "U1"), ("plain", "U2"), ("plain.pdf", "U3")], "file_name string, uuid string")
+    ans = spark.createDataFrame([(1, "é (R (é)*, 1909) (plain) (none.pdf) (R (é).pdf)"), (2, None)], "id long, text string")
+    got = {r.id: r.text for r in citations.linked_file_names(ans, docs, uuids=uuids).collect()}
+    assert got == {1: "é ([R (é)](x-item://U1)*, 1909) ([plain](x-item://U3)) (none.pdf) ([R (é).pdf](x-item://U1))", 2: None}
+    assert {r.id: r.text for r in citations.linked_file_names(ans, docs).collect()} == {r.id: r.text for r in ans.collect()}
+
+
+def accepted(spark, pairs):
+    rows = [("person", b, f"n{b}", a, f"n{a}", 0.9, f"n{b}", "accept") for a, b in pairs]
+    return spark.createDataFrame(rows, "type string, id_a long, name_a string, id_b long, name_b string, score double, keep string, decision string")
+
+
+@pytest.mark.parametrize(
+    "pairs,want",
+    [
+        ([(1, 2), (2, 3), (3, 1)], {(2, 1), (3, 1)}), ([(1, 2), (2, 3)], {(1, 3), (2, 3)}), ([(1, 2), (1, 3)], {(1, 2), (3, 2)}), ([(1, 1)], set()), ([], set()), ([(5, 4), (4, 5), (5, 6)], {(4, 6), (5, 6)}),
+        ([(i, i + 1) for i in range(1000)], {(i, 1000) for i in range(1000)}), ([(i, (i + 1) % 1000) for i in range(1000)], {(i, 0) for i in range(1, 1000)}),
+    ],
+)
+def test_merges_keep_one_entity_each(spark, pairs, want):
+    assert {tuple(r) for r in resolve.accepted_id_map(accepted(spark, pairs)).collect()} == want
+
+
+def test_merge_plan(spark):
+    ents = table(spark, "entities", *[{"id": i, "name": f"n{i}", "type": "person"} for i in (1, 2, 3)])
+    ments = table(spark, "mentions", *[{"id": k, "entity_id": e, "document_id": d} for k, (e, d) in enumerate([(1, 1), (2, 1), (2, 2), (3, 2), (3, 3)])])
+    got = {tuple(r) for r in resolve.merge_plan(accepted(spark, [(2, 1), (3, 1)]), ents, ments).collect()}
+    assert got == {(2, "n2", 1, "n1", 1, 1), (3, "n3", 1, "n1", 1, 1)}
