@@ -13,7 +13,7 @@ from ..functions import text
 from ..operators import context, export, load, merge, resolve
 from ..shared import shared_dir, written
 from ..schemas import TABLES
-from ..sources import catalog, files
+from ..sources import catalog, files, manifest
 from ..sources.corpus_view import ctes
 from . import ingest, ledger, prompts
 from .queries import _ITEMS, _MENTIONED, _lines, query
@@ -206,6 +206,35 @@ def summaries_applied(spark, c):
     return export.apply_summaries(c["documents"].withColumn("summary_date", F.lit(None).cast("timestamp")), results).select("id", "summary")
 
 
+# --- versions ------------------------------------------------------------------------------------------------------------
+
+_VERSIONED = ["documents", "financial_transactions", "fee_patents", "mortgages"]
+_COUNTS = "SELECT {0} AS version, '{1}' AS name, count(*) AS n, CAST(coalesce(sum(id), 0) AS BIGINT) AS ids FROM {2}"
+
+
+def _counted_versions(store: manifest.Store, versions: list[int]) -> DataFrame:
+    parts = [t.agg(F.count("*").alias("n"), F.coalesce(F.sum("id"), F.lit(0)).cast("long").alias("ids")).select(F.lit(v).alias("version"), F.lit(n).alias("name"), "n", "ids") for v in versions for n, t in store.read(v).items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query(f"{ctes(*_VERSIONED)} " + " UNION ALL ".join(_COUNTS.format(v, t, f"c_{t}" + where) for v, what in ((1, {}), (2, {"documents": " WHERE id % 5 <> 0", **dict.fromkeys(_VERSIONED[1:], " WHERE document_id % 5 <> 0")}), (3, {"documents": " WHERE id % 5 <> 0", "fee_patents": " WHERE document_id % 5 <> 0 AND document_id % 3 <> 0", "mortgages": " WHERE document_id % 5 <> 0", "financial_transactions": " WHERE document_id % 5 <> 0 AND document_id % 3 <> 0"})) for t in _VERSIONED for where in (what.get(t, ""),)))
+def version_commits(spark, c):
+    """Three versions: all tables; then each fifth document and all that hangs on it gone in one commit; then the facts of each
+    third cleared, in a commit that was begun from the first version's documents and finds only other tables changed."""
+    store = manifest.Store(spark, _place(spark, "versions"))
+    store.commit({t: c[t] for t in _VERSIONED})
+    now = store.read()
+    store.commit(load.cascaded(now, now["documents"].where("id % 5 = 0").select("id")))
+    now = store.read()
+    again = now["documents"].where("id % 3 = 0").select("id")
+    cleared = load.cleared(now, again)
+    store.commit({t: cleared[t] for t in ("financial_transactions", "fee_patents")}, reads=("documents",))
+    return _counted_versions(store, store.versions())
+
+
 # --- model calls ---------------------------------------------------------------------------------------------------------
 
 

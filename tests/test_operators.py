@@ -7,7 +7,7 @@ from folioframe.functions import json_text
 from folioframe.operators import chunking, citations, context, documents, export, fulltext, load, merge, resolve, retrieval, search
 from folioframe.plans import ingest, ledger
 from folioframe.schemas import TABLES, extraction_struct
-from folioframe.sources import catalog, files
+from folioframe.sources import catalog, files, manifest
 
 
 def table(spark, name, *rows):
@@ -576,3 +576,50 @@ def test_merge_plan(spark):
     ments = table(spark, "mentions", *[{"id": k, "entity_id": e, "document_id": d} for k, (e, d) in enumerate([(1, 1), (2, 1), (2, 2), (3, 2), (3, 3)])])
     got = {tuple(r) for r in resolve.merge_plan(accepted(spark, [(2, 1), (3, 1)]), ents, ments).collect()}
     assert got == {(2, "n2", 1, "n1", 1, 1), (3, "n3", 1, "n1", 1, 1)}
+
+
+def test_versions_are_whole(spark, tmp_path):
+    store = manifest.Store(spark, str(tmp_path / "v"))
+    assert store.latest() == 0 and store.read() == {}
+    ids = lambda t: sorted(r.id for r in t.collect())
+    rows = lambda *x: spark.createDataFrame([(i,) for i in x], "id long")
+    assert store.commit({"a": rows(1), "b": rows(2)}) == 1
+    held = store.read()
+    assert store.commit({"a": held["a"].unionByName(rows(3)), "b": rows()}) == 2  # a table may be built from its own last version
+    assert (ids(held["a"]), ids(held["b"])) == ([1], [2])  # who reads the old version goes on reading it
+    assert {n: ids(t) for n, t in store.read().items()} == {"a": [1, 3], "b": []}
+    assert {n: ids(t) for n, t in store.read(1).items()} == {"a": [1], "b": [2]}
+
+
+def test_commits_that_meet(spark, tmp_path):
+    store, other = (manifest.Store(spark, str(tmp_path / "v")) for _ in range(2))
+    rows = lambda *x: spark.createDataFrame([(i,) for i in x], "id long")
+    store.commit({"a": rows(1), "b": rows(2), "c": rows()})
+    base = other.latest()
+    store.commit({"a": rows(9)})
+    with pytest.raises(manifest.Conflict, match="a"):
+        other.commit({"a": rows(5)}, base=base)
+    with pytest.raises(manifest.Conflict, match="a"):
+        other.commit({"b": rows(5)}, base=base, reads=("a",))
+    assert other.commit({"b": rows(5)}, base=base) == 3  # apart from the other commit: both stand
+    assert {n: [r.id for r in t.collect()] for n, t in store.read().items()} == {"a": [9], "b": [5], "c": []}
+    assert store.commit({"c": None}) == 4 and set(store.read()) == {"a", "b"}
+    taken = store._put
+    store._put = lambda v, held: taken(v, {"x": held["a"]}) and False  # the number is taken between the look and the rename
+    with pytest.raises(manifest.Conflict):
+        store.commit({"a": rows(7)})
+
+
+def test_a_killed_commit_leaves_the_old_version(spark, tmp_path):
+    store = manifest.Store(spark, str(tmp_path / "v"))
+    rows = lambda *x: spark.createDataFrame([(i,) for i in x], "id long")
+    store.commit({"a": rows(1), "b": rows(2)})
+    bad = rows(1).select(F.raise_error(F.lit("killed")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="killed"):
+        store.commit({"a": rows(8), "b": bad})
+    assert store.versions() == [1] and {n: [r.id for r in t.collect()] for n, t in store.read().items()} == {"a": [1], "b": [2]}
+    store.commit({"b": rows(3)})
+    store.commit({"b": rows(4)})
+    assert store.vacuum(keep=1) == 4 and store.versions() == [3]  # the killed commit's two folders, and b's first two
+    assert {n: [r.id for r in t.collect()] for n, t in store.read().items()} == {"a": [1], "b": [4]}
+    assert store.vacuum() == 0
