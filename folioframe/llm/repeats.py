@@ -28,7 +28,7 @@ from .work import arrow_map, by_groups, staged
 LENGTH, GRAM, CORE = 50, 8, 29
 SHARD_BYTES, BUCKET_BYTES, GROUP_BYTES = 12 << 20, 6 << 20, 8 << 20
 #: Edges of a shard's copies are compared in so many parts, by core.
-PARTS = 4
+PARTS = 8
 #: Bytes of a hash that tells whether the surroundings of equal cores are equal: at 100 TB, some 1e12 groups of equal cores
 #: would be wrong with a chance of 2e-5 in all.
 NEAR = 7
