@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import allowance, doc_date, label, tokens_by_chars, truncated
+from .documents import without_read
 from .ordering import numbered
 
 _or = lambda c, default="": F.coalesce(F.col(c), F.lit(default))
@@ -108,10 +109,54 @@ def deep_read_context(bundles: DataFrame, most_tokens: int = 160_000, entities:
     return bundles.select("id", F.concat(head, text, lists).alias("context"))
 
 
-def hybrid_context(bundles: DataFrame, n_documents: int, cap: int = 170_000) -> DataFrame:
-    """One row: the documents' contexts joined, each within its allowance, 30 entities and 15 of the rest a document, capped as a whole."""
+#: What other documents say beside those read whole: titles, how many lines, and their order (fixed values).
+ADDITIONAL = {
+    "entities": ("ADDITIONAL ENTITIES FROM OTHER DOCUMENTS", 40, (F.desc, "relevance_score"), (F.asc, "name"), (F.asc, "id")),
+    "financial_transactions": ("ADDITIONAL TRANSACTIONS FROM OTHER DOCUMENTS", 20, (F.asc_nulls_last, "date"), (F.asc, "id")),
+    "relationships": ("ADDITIONAL RELATIONSHIPS FROM OTHER DOCUMENTS", 20, (F.asc_nulls_last, "subject"), (F.asc_nulls_last, "type"), (F.asc, "id")),
+}
+
+
+def _additional_line(kind: str) -> Column:
+    if kind == "entities":
+        sources = F.array_join(F.slice("source_files", 1, 3), ", ")
+        return F.concat(F.lit("  - "), F.col("name"), F.lit(" ("), _or("type"), F.lit("): "), F.left(_or("context"), F.lit(120)), F.lit(" | Sources: "), sources)
+    if kind == "financial_transactions":
+        return F.concat(F.lit("  - ["), _or("date", "n/d"), F.lit("] "), _or("payer", "?"), F.lit(" → "), _or("payee", "?"), F.lit(": "), _or("amount", "?"), F.lit(" | "), label(F.col("display_title"), F.col("file_name")))
+    return F.concat(F.lit("  - "), _or("subject", "?"), F.lit(" —["), _or("type"), F.lit("]→ "), _or("object", "?"), F.lit(" | "), label(F.col("display_title"), F.col("file_name")))
+
+
+def additional_sections(evidence: dict[str, DataFrame], read: list[str]) -> list[DataFrame]:
+    """A row (n, text) a section of what a search found in documents that weren't read whole: entities that also come from
+    another document, facts of others, and the networks of persons. A section without lines has no row."""
+    parts: list[DataFrame] = []
+    for i, (kind, (title, most, *order)) in enumerate(ADDITIONAL.items()):
+        if kind not in evidence:
+            continue
+        rest = without_read(evidence[kind], read)
+        by = [way(c) for way, c in order]
+        first = rest.orderBy(*by).limit(most).select(F.row_number().over(Window.orderBy(*by)).alias("n"), _additional_line(kind).alias("line"))
+        per = first.agg(F.sort_array(F.collect_list(F.struct("n", "line"))).alias("x")).where(F.size("x") > 0)
+        total = rest.agg(F.count("*").alias("total"))
+        whole = per.withColumn("k", F.lit(1)).join(total.withColumn("k", F.lit(1)), "k")
+        parts.append(whole.select(F.lit(i + 1).alias("n"), F.concat(F.lit(f"{title} ("), "total", F.lit("):\n"), F.array_join(F.transform("x", lambda r: r["line"]), "\n")).alias("text")))
+    if "network" in evidence:
+        first = capped(evidence["network"], ["searched"], [F.desc("shared_docs"), F.col("name"), F.col("entity_id")], 10)
+        each = first.groupBy("searched").agg(F.sort_array(F.collect_list(F.struct("n", F.concat(F.lit("    - "), "name", F.lit(" ("), _or("type"), F.lit("): "), "shared_docs", F.lit(" shared docs")).alias("line")))).alias("x"))
+        lines = each.select("searched", F.concat(F.lit("\n  Network for "), "searched", F.lit(":\n"), F.array_join(F.transform("x", lambda r: r["line"]), "\n")).alias("line"))
+        per = lines.agg(F.sort_array(F.collect_list(F.struct("searched", "line"))).alias("x")).where(F.size("x") > 0)
+        parts.append(per.select(F.lit(len(ADDITIONAL) + 1).alias("n"), F.concat(F.lit("ENTITY NETWORKS:\n"), F.array_join(F.transform("x", lambda r: r["line"]), "\n")).alias("text")))
+    return parts
+
+
+def hybrid_context(bundles: DataFrame, n_documents: int, cap: int = 170_000, more: list[DataFrame] | None = None) -> DataFrame:
+    """One row: the documents' contexts joined, each within its allowance, 30 entities and 15 of the rest a document, then
+    the sections (n, text) of what other documents add; capped as a whole."""
     each = deep_read_context(bundles.where("full_text <> ''"), allowance(n_documents), 30, 15)
-    joined = each.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", "context"))), lambda x: x["context"]), "\n\n").alias("context"))
+    rows = each.select(F.lit(0).alias("n"), "id", F.col("context").alias("text"))
+    for section_rows in more or []:
+        rows = rows.unionByName(section_rows.select("n", F.lit(0).cast("long").alias("id"), "text"))
+    joined = rows.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", "id", "text"))), lambda x: x["text"]), "\n\n").alias("context"))
     return joined.select(truncated(F.col("context"), cap, "\n\n[... context truncated ...]").alias("context"))
 
 

@@ -74,12 +74,18 @@ def documents_by_names(documents: DataFrame, names: list[str]) -> DataFrame:
     return asked.join(found, "file_name").join(documents.drop("file_name"), "id").orderBy("pos")
 
 
-def without_read(entities: DataFrame, facts: DataFrame, read: list[str]) -> tuple[DataFrame, DataFrame]:
-    """What documents already read don't cover: entities with a source file outside them, and facts of other files."""
-    spark = entities.sparkSession
-    rest = entities.where(F.exists("source_files", lambda f: ~f.isin(read)))
-    seen = spark.createDataFrame([(n,) for n in read], "file_name string")
-    return rest, facts.join(F.broadcast(seen), "file_name", "left_anti")
+def bundles_by_names(documents: DataFrame, entities: DataFrame, mentions: DataFrame, facts: dict[str, DataFrame], names: list[str]) -> DataFrame:
+    """Bundles of documents, with ``pos``, in the order of a list of file names (see ``documents_by_names``); children are filtered by the ids first."""
+    found = documents_by_names(documents.select("id", "file_name"), names).select("pos", "id")
+    ids = sorted({r.id for r in found.collect()})  # as many as there are names
+    return found.join(bundles(documents, entities, mentions, facts, ids), "id").orderBy("pos")
 
 
-__all__ = ["bundles", "counted", "distinct_collections", "documents_by_names", "summaries", "table_counts", "texts_present", "type_counts", "without_read"]
+def without_read(rows: DataFrame, read: list[str]) -> DataFrame:
+    """What documents already read don't cover: entities with a source file outside them, or facts of other files."""
+    if "source_files" in rows.columns:
+        return rows.where(F.exists("source_files", lambda f: ~f.isin(read)))
+    return rows.where(F.col("file_name").isNull() | ~F.col("file_name").isin(read))
+
+
+__all__ = ["bundles", "bundles_by_names", "counted", "distinct_collections", "documents_by_names", "summaries", "table_counts", "texts_present", "type_counts", "without_read"]

@@ -36,10 +36,16 @@ def deep_read(corpus: Corpus, ids: list[int]) -> DataFrame:
 
 
 def hybrid(corpus: Corpus, query: str, k: int = 5) -> DataFrame:
-    """Contexts of the k documents that rank highest for reading in full."""
+    """The context of the k documents that rank highest for reading in full, and of what other documents add to them."""
     ranked = retrieval.rank_documents(corpus["texts"], corpus["mentions"], corpus["financial_transactions"], corpus["relationships"], query).limit(k)
-    ids = [r[0] for r in ranked.select("id").collect()]  # k ids
-    return context.hybrid_context(deep_read(corpus, ids), len(ids))
+    chosen = ranked.select("id", "file_name").collect()  # k rows
+    evidence = {"entities": search.search_entities(corpus["entities"], corpus["mentions"], corpus["documents"], query)}
+    for name in ("financial_transactions", "relationships"):
+        evidence[name] = search.search_facts(corpus[name], corpus["documents"], query, search.SEARCHES[name])
+    if names := search.network_candidates(evidence["entities"]):
+        evidence["network"] = search.entity_network(corpus["entities"], corpus["mentions"], names)
+    more = context.additional_sections(evidence, [r.file_name for r in chosen])
+    return context.hybrid_context(deep_read(corpus, [r.id for r in chosen]), len(chosen), more=more)
 
 
 def corpus_prompt(summarised: DataFrame, question: str) -> DataFrame:

@@ -610,6 +610,22 @@ def documents_by_names(spark, c):
     return documents.documents_by_names(c["documents"], _NAMES).select("pos", "id", "file_name", "collection")
 
 
+_BUNDLED = {
+    "entities": ("SELECT m.document_id, concat_ws('/', e.type, e.name, e.context) AS x, e.type AS k1, e.name AS k2, e.context AS k3 FROM c_mentions m JOIN c_entities e ON e.id = m.entity_id", "k1, k2, k3"),
+    "events": ("SELECT document_id, concat_ws('/', date, type, location, description) AS x, date, type, location, description FROM c_events", "date NULLS FIRST, type, location, description"),
+    "financial_transactions": ("SELECT document_id, concat_ws('/', date, amount, type, payer, payee, for_what) AS x, date, amount, type, payer, payee, for_what FROM c_financial_transactions", "date NULLS FIRST, amount, type, payer, payee, for_what"),
+    "relationships": ("SELECT document_id, concat_ws('/', subject, type, object, context) AS x, subject, type, object, context FROM c_relationships", "subject, type, object, context"),
+}
+
+
+@query(f"{ctes('documents', 'entities', 'mentions', 'events', 'financial_transactions', 'relationships')}, a AS (SELECT unnest(range({len(_NAMES)})) AS pos, unnest({_NAMES}) AS file_name) SELECT CAST(a.pos AS INT) AS pos, d.id, d.collection, " + ", ".join(f"coalesce((SELECT string_agg(x, ';' ORDER BY {order}) FROM ({rows}) WHERE document_id = d.id), '') AS {t}" for t, (rows, order) in _BUNDLED.items()) + " FROM a JOIN c_documents d ON d.file_name = a.file_name")
+def bundles_by_names(spark, c):
+    """Whole bundles, events too, in the order of asked names, one of which is asked for twice and one isn't there."""
+    b = documents.bundles_by_names(c["documents"], c["entities"], c["mentions"], {k: c[k] for k in documents.BUNDLE}, _NAMES)
+    told = lambda t: F.array_join(F.transform(t, lambda e: F.concat_ws("/", *[e[f] for f in (documents.BUNDLE.get(t) or ("type", "name", "context"))])), ";")
+    return b.select("pos", "id", "collection", *[told(t).alias(t) for t in _BUNDLED])
+
+
 @query(f"""{ctes('documents')} SELECT CAST(n AS INT) AS n, id, CASE WHEN changed THEN concat('=== ', g, ' ===', chr(10)) ELSE '' END || '[Doc ' || CAST(id AS VARCHAR) || '] ' || coalesce(nullif(display_title, ''), file_name) ||
   CASE WHEN regexp_extract(file_name, '\\b(1[89]\\d\\d)\\b', 1) <> '' THEN ' (c. ' || regexp_extract(file_name, '\\b(1[89]\\d\\d)\\b', 1) || ')' ELSE '' END || chr(10) || summary AS line
 FROM (SELECT *, coalesce(collection, 'Unknown') AS g, row_number() OVER w AS n, coalesce(lag(coalesce(collection, 'Unknown')) OVER w <> coalesce(collection, 'Unknown'), true) AS changed FROM c_documents WHERE summary IS NOT NULL WINDOW w AS (ORDER BY collection NULLS LAST, file_name, id))""")
@@ -637,13 +653,43 @@ _LISTS = {
 _MOST = int(130_000 // 3 * 3.2)
 
 
-@query(f"""{ctes('texts', 'entities', 'mentions', 'events', 'financial_transactions', 'relationships')}, chosen AS (SELECT id FROM ({ORACLE_SQL['rank_documents']}) ORDER BY score DESC, id LIMIT 3),
+def _additional_sql(terms: list[str], read: str) -> str:
+    """Sections (n, text) of what was found in other documents than those in ``read``; needs c_documents and the tables searched."""
+    name = "coalesce(nullif(d.display_title, ''), d.file_name)"
+    part = lambda n, title, most, rows: f"""SELECT {n} AS n, '{title} (' || CAST(max(total) AS VARCHAR) || '):' || chr(10) || string_agg(line, chr(10) ORDER BY place) AS text
+FROM (SELECT *, count(*) OVER () AS total, row_number() OVER (ORDER BY place) AS k FROM ({rows})) WHERE k <= {most} HAVING count(*) > 0"""
+    facts = lambda t, line, order: f"""SELECT row_number() OVER (ORDER BY {order}) AS place, {line} AS line, file_name FROM (
+  SELECT f.*, {name} AS label, d.file_name FROM c_{t} f JOIN c_documents d ON d.id = f.document_id WHERE {_ilike(['f.' + c for c in search.SEARCHES[t].searched], terms)} ORDER BY {order} LIMIT {search.SEARCHES[t].limit})"""
+    ranked = f"""SELECT e.id, e.name, e.type, e.context, list_sort(list_distinct(list(coalesce(d.display_title, d.file_name)) FILTER (WHERE d.id IS NOT NULL))) AS files,
+  (CASE WHEN {_ilike(['e.name'], terms)} THEN CASE WHEN e.type = 'person' THEN 1000 ELSE 500 END ELSE 0 END) + count(DISTINCT m.document_id) AS score
+  FROM c_entities e LEFT JOIN c_mentions m ON m.entity_id = e.id LEFT JOIN c_documents d ON d.id = m.document_id WHERE {_ilike(['e.name', 'e.context'], terms)} GROUP BY e.id, e.name, e.type, e.context ORDER BY score DESC, e.name, e.id LIMIT 200"""
+    entities = f"""SELECT row_number() OVER (ORDER BY score DESC, name, id) AS place, '  - ' || name || ' (' || coalesce(type, '') || '): ' || left(coalesce(context, ''), 120) || ' | Sources: ' || array_to_string(files[1:3], ', ') AS line
+  FROM ({ranked}) WHERE id IN (SELECT id FROM (SELECT id, unnest(files) AS f FROM ({ranked})) WHERE f NOT IN {read})"""
+    sold = facts("financial_transactions", "'  - [' || coalesce(date, 'n/d') || '] ' || coalesce(payer, '?') || ' → ' || coalesce(payee, '?') || ': ' || coalesce(amount, '?') || ' | ' || label", "date NULLS LAST, id")
+    tied = facts("relationships", "'  - ' || coalesce(subject, '?') || ' —[' || coalesce(type, '') || ']→ ' || coalesce(object, '?') || ' | ' || label", "subject NULLS LAST, type NULLS LAST, id")
+    rest = lambda rows: f"SELECT * FROM ({rows}) WHERE file_name NOT IN {read}"
+    return " UNION ALL ".join([part(1, "ADDITIONAL ENTITIES FROM OTHER DOCUMENTS", 40, entities), part(2, "ADDITIONAL TRANSACTIONS FROM OTHER DOCUMENTS", 20, rest(sold)), part(3, "ADDITIONAL RELATIONSHIPS FROM OTHER DOCUMENTS", 20, rest(tied))])
+
+
+_READ = ["order_1.pdf", "order_2.pdf", "order_32.pdf", "Order 5 of 1915"]
+
+
+@query(f"""{ctes('documents', 'entities', 'mentions', 'financial_transactions', 'relationships')}, s AS ({_additional_sql(['bolt', 'nation'], '(SELECT unnest(' + str(_READ) + '))')}) SELECT CAST(n AS INT) AS n, md5(text) AS digest, CAST(length(text) AS INT) AS n_chars FROM s""")
+def additional_evidence(spark, c):
+    """What a search finds in other documents than four that were read."""
+    asked = "bolt nation"
+    found = {"entities": search.search_entities(c["entities"], c["mentions"], c["documents"], asked)} | {t: search.search_facts(c[t], c["documents"], asked, search.SEARCHES[t]) for t in ("financial_transactions", "relationships")}
+    rows = context.additional_sections(found, _READ)
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).select("n", F.md5(F.col("text").cast("binary")).alias("digest"), F.length("text").alias("n_chars"))
+
+
+@query(f"""{ctes('documents', 'texts', 'entities', 'mentions', 'events', 'financial_transactions', 'relationships')}, chosen AS (SELECT id FROM ({ORACLE_SQL['rank_documents']}) ORDER BY score DESC, id LIMIT 3),
 {', '.join(_listed_sql(t, line, order, most) for t, (_, line, order, most) in _LISTS.items())},
 each AS (SELECT t.id, 'DOCUMENT: ' || coalesce(nullif(display_title, ''), file_name) || chr(10) || 'Collection: ' || coalesce(collection, 'n/a') || chr(10) || 'Pages (about): ' || CAST(CAST(greatest(1, floor(length(full_text) / 3000)) AS BIGINT) AS VARCHAR) || chr(10) || chr(10)
   || CASE WHEN length(full_text) > {_MOST} THEN left(full_text, {_MOST}) || chr(10) || chr(10) || '[... document truncated ...]' ELSE full_text END
   || {' || '.join(f"coalesce(chr(10) || '{title}:' || chr(10) || l_{t}.lines, '')" for t, (title, *_) in _LISTS.items())} AS context
   FROM c_texts t JOIN chosen ON chosen.id = t.id {' '.join(f'LEFT JOIN l_{t} ON l_{t}.document_id = t.id' for t in _LISTS)} WHERE full_text <> ''),
-joined AS (SELECT string_agg(context, chr(10) || chr(10) ORDER BY id) AS context FROM each),
+joined AS (SELECT string_agg(context, chr(10) || chr(10) ORDER BY n, id) AS context FROM (SELECT 0 AS n, id, context FROM each UNION ALL SELECT n, 0, text FROM ({_additional_sql(['tion'], '(SELECT file_name FROM c_texts WHERE id IN (SELECT id FROM chosen))')}))),
 capped AS (SELECT CASE WHEN length(context) > 544000 THEN left(context, 544000) || chr(10) || chr(10) || '[... context truncated ...]' ELSE context END AS context FROM joined)
 SELECT md5(context) AS digest, CAST(length(context) AS INT) AS n_chars FROM capped""")
 def hybrid_context(spark, c):
@@ -737,12 +783,24 @@ def evidence_metrics(spark, c):
 # --- export and sampling -----------------------------------------------------------------------------------------------
 
 
-@query(f"""{ctes('texts', 'mentions', 'financial_transactions', 'relationships')}, n AS (
+def _lists_json() -> str:
+    """The lists of a completion as JSON, each in the order of ids: keys in their order, no blanks."""
+    blank = lambda e: f"coalesce({e}, '')"
+    lists = {
+        "entities": ("c_mentions m JOIN c_entities e ON e.id = m.entity_id", "m.document_id", "e.id", {"name": "e.name", "type": "e.type", "context": blank("e.context")}),
+        "financial_transactions": ("c_financial_transactions f", "f.document_id", "f.id", {k: blank(f"f.{k}") for k in ("type", "amount", "payer", "payee", "date")} | {"description": "coalesce(f.for_what, f.context, '')"}),
+        "relationships": ("c_relationships r", "r.document_id", "r.id", {k: blank(f"r.{k}") for k in ("subject", "type", "object", "context")}),
+    }
+    said = lambda fields: " || ',' || ".join(f"""'"{k}":' || CAST(to_json({e}) AS VARCHAR)""" for k, e in fields.items())
+    return " || ',' || ".join(f"""'"{g}":[' || coalesce((SELECT string_agg('{{{{' || {said(fields)} || '}}}}', ',' ORDER BY {key}) FROM {rows} WHERE {doc} = n.id), '') || ']'""".replace("{{", "{").replace("}}", "}") for g, (rows, doc, key, fields) in lists.items())
+
+
+@query(f"""{ctes('texts', 'entities', 'mentions', 'financial_transactions', 'relationships')}, n AS (
   SELECT t.id, length(t.full_text) AS len, (SELECT count(*) FROM c_mentions m WHERE m.document_id = t.id) + (SELECT count(*) FROM c_financial_transactions f WHERE f.document_id = t.id) + (SELECT count(*) FROM c_relationships r WHERE r.document_id = t.id) AS n_items FROM c_texts t)
-SELECT n.id, CAST(n_items AS INT) AS n_items, md5(left(full_text, 40000)) AS prompt FROM n JOIN c_texts ON c_texts.id = n.id WHERE len > 1000 AND n_items >= 5""")
+SELECT n.id, CAST(n_items AS INT) AS n_items, md5(left(full_text, 40000)) AS prompt, md5('{{' || {_lists_json()} || '}}') AS completion FROM n JOIN c_texts ON c_texts.id = n.id WHERE len > 1000 AND n_items >= 5""")
 def training_pairs(spark, c):
     g = export.gathered(c["texts"], c["entities"], c["mentions"], {k: c[k] for k in ("financial_transactions", "relationships")})
-    return export.training_pairs(g, F.col("full_text"), min_text=1000).select("id", "n_items", F.md5("prompt").alias("prompt"))
+    return export.training_pairs(g, F.col("full_text"), min_text=1000).select("id", "n_items", F.md5("prompt").alias("prompt"), F.md5(F.col("completion").cast("binary")).alias("completion"))
 
 
 @query(f"{ctes('texts')}, s AS (SELECT length(full_text) AS v FROM c_texts) SELECT count(*) AS n, min(v) AS least, max(v) AS most, avg(v) AS mean, list_sort(list(v))[count(*) // 2 + 1] AS median FROM s")

@@ -254,8 +254,20 @@ def test_bundles_and_contexts(spark):
 def test_without_read(spark):
     ents = spark.createDataFrame([(1, ["a"]), (2, ["a", "b"]), (3, [])], "id long, source_files array<string>")
     facts = spark.createDataFrame([(1, "a"), (2, "c")], "id long, file_name string")
-    rest, other = documents.without_read(ents, facts, ["a"])
-    assert [r.id for r in rest.collect()] == [2] and [r.id for r in other.collect()] == [2]
+    assert [r.id for r in documents.without_read(ents, ["a"]).collect()] == [2]
+    assert [r.id for r in documents.without_read(facts.unionByName(spark.createDataFrame([(3, None)], facts.schema)), ["a"]).collect()] == [2, 3]
+
+
+def test_additional_sections(spark):
+    ents = spark.createDataFrame([(1, "Ann", "person", "c" * 200, ["a", "b", "d", "e"], 9), (2, "Bob", None, None, ["a"], 8)], "id long, name string, type string, context string, source_files array<string>, relevance_score long")
+    sold = spark.createDataFrame([(i, None, "p", None, "$1", "b.pdf" if i else "a", "") for i in range(25)], "id long, date string, payer string, payee string, amount string, file_name string, display_title string")
+    net = spark.createDataFrame([("Ann", i, f"n{i:02d}", "person", 20 - i) for i in range(12)] + [("Zoe", 1, "x", None, 1)], "searched string, entity_id long, name string, type string, shared_docs long")
+    parts = context.additional_sections({"entities": ents, "financial_transactions": sold, "network": net, "relationships": sold.limit(0).selectExpr("id", "file_name", "display_title", "payer as subject", "payer as type", "payer as object")}, ["a"])
+    got = {r.n: r.text for p in parts for r in p.collect()}
+    assert sorted(got) == [1, 2, 4]
+    assert got[1] == f"ADDITIONAL ENTITIES FROM OTHER DOCUMENTS (1):\n  - Ann (person): {'c' * 120} | Sources: a, b, d"
+    assert got[2].startswith("ADDITIONAL TRANSACTIONS FROM OTHER DOCUMENTS (24):\n  - [n/d] p → ?: $1 | b.pdf\n") and got[2].count("\n") == 20
+    assert got[4].startswith("ENTITY NETWORKS:\n\n  Network for Ann:\n    - n00 (person): 20 shared docs\n") and got[4].count("shared docs") == 11 and got[4].endswith("Network for Zoe:\n    - x (): 1 shared docs")
 
 
 def test_export(spark):
