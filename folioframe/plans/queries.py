@@ -544,14 +544,25 @@ def block_keys(spark, c):
     return e.withColumn("block", resolve.block_key(F.col("norm"), F.col("type")))
 
 
+_SPELLED = """SELECT 1000000000 + c_custkey * 2 AS id, concat(substring(md5(c_name), 1, 10), ' ', substring(md5(c_name), 11, 10), ' kingsley') AS name, 'person' AS type, CAST(NULL AS STRING) AS context FROM {customer} WHERE c_custkey % 5 = 0
+UNION ALL SELECT 1000000001 + c_custkey * 2, concat(substring(md5(c_name), 1, 10), ' ', substring(md5(c_name), 11, 4), substring(md5(c_name), 16, 5), ' kingsley'), 'person', NULL FROM {customer} WHERE c_custkey % 10 = 0"""
+
+
+def _spelled(spark, c):
+    """The entities, and persons of one surname, half of them with a misspelled double."""
+    if not getattr(c, "sf_dir", None):
+        return c["entities"]
+    return c["entities"].unionByName(spark.sql(_SPELLED, customer=spark.read.parquet(f"{c.sf_dir}/customer.parquet")))
+
+
 @query()
 def fuzzy_candidates(spark, c):
-    return resolve.fuzzy_candidates(c["entities"], c["mentions"]).withColumn("score", F.round("score", 6))
+    return resolve.fuzzy_candidates(_spelled(spark, c), c["mentions"]).withColumn("score", F.round("score", 6))
 
 
 @query()
 def fuzzy_review(spark, c):
-    return resolve.review(resolve.fuzzy_candidates(c["entities"], c["mentions"]), c["mentions"], c["documents"]).select("type", "id_a", "id_b", "score", "keep", "decision")
+    return resolve.review(resolve.fuzzy_candidates(_spelled(spark, c), c["mentions"]), c["mentions"], c["documents"]).select("type", "id_a", "id_b", "score", "keep", "decision")
 
 
 def _accepted(old: Column, new: Column) -> list[Column]:

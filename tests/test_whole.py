@@ -80,7 +80,7 @@ def test_fuzzy_takes_the_names_of_the_table(spark):
     assert {(r.id_a, r.id_b) for r in queries.fuzzy_review(spark, c).collect()} == set(want)
 
 
-@pytest.mark.parametrize("threshold", [None, 0.82, 0.9, 0.5])
+@pytest.mark.parametrize("threshold", [None, 0.82, 0.9, 0.74, 0.6, 0.5])
 def test_fuzzy_pairs_are_those_of_all_pairs(spark, threshold):
     """Every type with its constraints, names with random edits, few and many common documents."""
     rnd = random.Random(11)
@@ -113,3 +113,23 @@ def test_all_rows_are_offered(spark, sf_dir):
     assert queries.mention_upsert(spark, c).count() >= c["mentions"].where("document_id % 4 <> 0").count() > 0
     names = {(r.name, r.type) for r in queries.entity_find_or_create(spark, c).collect()}
     assert {(r.name, r.type) for r in c["entities"].where("id % 2 = 0").collect()} <= names
+
+
+@pytest.mark.parametrize("least", [0.5, 0.6, 0.75, 0.9, 0.95])
+def test_similar_pairs_lose_none(spark, least):
+    """All pairs of a group with the ratio are among those that meet, whatever repeats in the names."""
+    rnd = random.Random(int(least * 100))
+    bases = ["aaaaaaaaaaaa", "abababab", "customer#000000123", "the northern land and cattle company", "x", "lee", "é𝒳é𝒳é𝒳"]
+    rows = []
+    for k in range(160):
+        name = list(rnd.choice(bases))
+        for _ in range(rnd.choice([0, 1, 2, 4, 8])):
+            at = rnd.randrange(len(name) + 1)
+            name[at : at + rnd.choice([0, 1, 2])] = rnd.choice(["", "a", "b", "0"])
+        rows.append((k, "".join(name), k % 2))
+    names = spark.createDataFrame(rows, "id long, norm string, side int")
+    got = {tuple(r) for r in resolve.similar_pairs(names, least, ["side"]).collect()}
+    want = {(a[0], b[0]) for a, b in combinations(rows, 2) if a[2] == b[2] and a[1] != b[1] and similarity.indel_percent(a[1], b[1]) / 100 >= least and a[1] and b[1]}
+    assert not want - got, sorted((rows[a][1], rows[b][1]) for a, b in want - got)[:5]
+    assert len(want) > 5
+    assert all(a < b and a % 2 == b % 2 for a, b in got)
