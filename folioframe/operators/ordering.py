@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..shared import written
 
@@ -41,21 +42,24 @@ def numbered(rows: DataFrame, order: list[Column], name: str = "n", start: int =
     if not sizes:
         out = rows.withColumn(name, F.lit(None).cast("long")).limit(0)
         return out.withColumn(before_name, before) if before is not None else out
-    base, at = [], start
-    for p in sorted(sizes):
-        base += [F.lit(p), F.lit(at)]
-        at += sizes[p]
-    out = placed.withColumn(name, (F.row_number().over(inside) + F.create_map(*base)[F.col(part)]).cast("long"))
+    parts = sorted(sizes)
+    kind, last = T.NullType(), {}
     if before is not None:
-        first = free_name(out.columns, "first_in_part")
         ends = placed.select(part, before.alias(before_name), F.row_number().over(inside).alias("at"), F.count("*").over(Window.partitionBy(part)).alias("size")).where(F.col("at") == F.col("size"))
         last = {r[part]: r[before_name] for r in ends.collect()}
-        carry, parts = [], sorted(sizes)
-        for p, q in zip(parts[1:], parts, strict=False):
-            carry += [F.lit(p), F.lit(last[q])]
-        own = F.lag(before).over(inside)
         kind = placed.select(before.alias("x")).schema["x"].dataType
-        out = out.withColumn(first, F.row_number().over(inside) == 1)
-        carried = F.create_map(*carry)[F.col(part)].cast(kind) if carry else F.lit(None).cast(kind)
-        out = out.withColumn(before_name, F.when(F.col(first), carried).otherwise(own)).drop(first)
-    return out.drop(part)
+    # A row a partition, so one for some million rows: a small table beside the rows, not a literal in the plan.
+    taken = [*placed.columns, name, before_name]
+    base_name = free_name(taken, "range_base")
+    carried_name = free_name([*taken, base_name], "range_carried")
+    table, at = [], start
+    for i, p in enumerate(parts):
+        table.append((p, at, last.get(parts[i - 1]) if i else None))
+        at += sizes[p]
+    fields = [T.StructField(part, T.IntegerType()), T.StructField(base_name, T.LongType()), T.StructField(carried_name, kind if last else T.StringType())]
+    starts = F.broadcast(rows.sparkSession.createDataFrame(table, T.StructType(fields)))
+    own = {name: F.row_number().over(inside).cast("long")} | ({before_name: F.lag(before).over(inside)} if before is not None else {})
+    out = placed.withColumns(own).join(starts, part)
+    if before is not None:
+        out = out.withColumn(before_name, F.when(F.col(name) == 1, F.col(carried_name)).otherwise(F.col(before_name)))
+    return out.withColumn(name, F.col(name) + F.col(base_name)).select(*rows.columns, *[c for c in own if c not in rows.columns])
