@@ -402,3 +402,16 @@ def analysis_prompts(spark, c):
     said = [{"role": "user", "content": "Who?"}, {"role": "assistant", "content": "Ann."}]
     told = {m: prompts.analysis_prompt(m, _ASKED, F.col("summary")) for m in prompts.TASKS} | {"follow_up": prompts.follow_up(_ASKED, said, F.col("summary"))}
     return c["documents"].where("summary is not null").select("id", *[F.md5(p.cast("binary")).alias(m) for m, p in told.items()])
+
+
+def _prompt_head(version: str) -> str:
+    return f"""'Read the document below and return one JSON object. Each key holds an array of flat objects; every value is a string, or null if the document doesn''t say.' || chr(10) || chr(10) || 'Keys and fields:' || chr(10)
+  || '{prompts.outline(version)}' || chr(10) || chr(10) || 'Return JSON only.' || chr(10)"""
+
+
+@query(f"""{ctes('texts')} SELECT id, md5({_prompt_head('v4')} || chr(10) || 'Document: ' || coalesce(display_title, 'untitled') || chr(10) || chr(10) || coalesce(full_text, '')) AS v4, md5({_prompt_head('v2')} || chr(10) || coalesce(full_text, '')) AS v2 FROM c_texts""")
+def extraction_prompts(spark, c):
+    """Prompts of whole texts, with a title by the latest version, without one by the first."""
+    said = F.col("full_text")
+    told = {"v4": prompts.extraction_prompt(said, F.col("display_title"), "v4"), "v2": prompts.extraction_prompt(said, None, "v2")}
+    return c["texts"].select("id", *[F.md5(p.cast("binary")).alias(v) for v, p in told.items()])

@@ -161,9 +161,19 @@ _PAGES = "CAST(greatest(1, ceil(length(full_text) / 1000.0)) AS INT)"
 FROM (SELECT id, full_text, unnest(range(1, {_PAGES} + 1)) AS p FROM c_texts) GROUP BY id) SELECT id, md5(t) AS digest, CAST(length(t) AS INT) AS n_chars FROM m""")
 def page_marked_texts(spark, c):
     """As many pages as the text fills."""
+    return chunking.page_marked(_text_pages(c)).select("id", F.md5("full_text").alias("digest"), F.length("full_text").alias("n_chars"))
+
+
+@query(f"""{ctes('texts')}, m AS (SELECT id, left(string_agg('--- Page ' || CAST(p AS VARCHAR) || ' ---\n' || coalesce(substring(full_text, (p - 1) * 1000 + 1, 1000), '') || '\n', '' ORDER BY p), 2500) AS t
+FROM (SELECT id, full_text, unnest(range(1, {_PAGES} + 1)) AS p FROM c_texts) GROUP BY id) SELECT id, md5(t) AS digest, CAST(length(t) AS INT) AS n_chars FROM m""")
+def page_marked_capped(spark, c):
+    """The other style of markers, with a cap of characters: the feature that bounds what a first look costs."""
+    return chunking.page_marked(_text_pages(c), style="brief", cap=2500).select("id", F.md5("full_text").alias("digest"), F.length("full_text").alias("n_chars"))
+
+
+def _text_pages(c):
     cut = F.regexp_extract_all("full_text", F.lit("(?s).{1,1000}"), F.lit(0))
-    pages = c["texts"].select("id", F.posexplode(F.when(F.length("full_text") > 0, cut).otherwise(F.array(F.lit(""))))).select("id", (F.col("pos") + 1).alias("page"), F.col("col").alias("text"))
-    return chunking.page_marked(pages).select("id", F.md5("full_text").alias("digest"), F.length("full_text").alias("n_chars"))
+    return c["texts"].select("id", F.posexplode(F.when(F.length("full_text") > 0, cut).otherwise(F.array(F.lit(""))))).select("id", (F.col("pos") + 1).alias("page"), F.col("col").alias("text"))
 
 
 @query(f"""{ctes('texts')} SELECT id, coalesce(nullif(display_title, ''), file_name) AS label,
@@ -516,6 +526,12 @@ def dedup_groups(spark, c):
     return resolve.duplicate_groups(c["entities"], c["mentions"])
 
 
+@query(f"{_DUP} SELECT * FROM grouped WHERE type IN ('land_parcel', 'organization')")
+def dedup_groups_of_types(spark, c):
+    """Of some types only."""
+    return resolve.duplicate_groups(c["entities"], c["mentions"], types=["land_parcel", "organization"])
+
+
 @query(f"{_DUP} SELECT * FROM id_map")
 def dedup_id_map(spark, c):
     return resolve.exact_id_map(c["entities"], resolve.duplicate_groups(c["entities"], c["mentions"]))
