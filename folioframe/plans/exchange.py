@@ -213,11 +213,14 @@ _COUNTS = "SELECT {0} AS version, '{1}' AS name, count(*) AS n, CAST(coalesce(su
 
 
 def _counted_versions(store: manifest.Store, versions: list[int]) -> DataFrame:
-    parts = [t.agg(F.count("*").alias("n"), F.coalesce(F.sum("id"), F.lit(0)).cast("long").alias("ids")).select(F.lit(v).alias("version"), F.lit(n).alias("name"), "n", "ids") for v in versions for n, t in store.read(v).items()]
+    """Rows and the sum of ids of each table of each version. Sums are exact: a bigint as long as all fit in one, else decimals."""
+    parts = [t.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("id").cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias("ids")).select(F.lit(v).alias("version"), F.lit(n).alias("name"), "n", "ids") for v in versions for n, t in store.read(v).items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    out = written(out, "counts")
+    fits = out.where(F.col("ids").try_cast("bigint").isNull()).isEmpty()
+    return out.withColumn("ids", F.col("ids").cast("bigint")) if fits else out
 
 
 @query(f"{ctes(*_VERSIONED)} " + " UNION ALL ".join(_COUNTS.format(v, t, f"c_{t}" + where) for v, what in ((1, {}), (2, {"documents": " WHERE id % 5 <> 0", **dict.fromkeys(_VERSIONED[1:], " WHERE document_id % 5 <> 0")}), (3, {"documents": " WHERE id % 5 <> 0", "fee_patents": " WHERE document_id % 5 <> 0 AND document_id % 3 <> 0", "mortgages": " WHERE document_id % 5 <> 0", "financial_transactions": " WHERE document_id % 5 <> 0 AND document_id % 3 <> 0"})) for t in _VERSIONED for where in (what.get(t, ""),)))
