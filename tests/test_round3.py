@@ -18,3 +18,16 @@ def test_sums_of_ids_pass_a_bigint(spark, tmp_path):
     store.commit({"t": spark.range(3)})
     out = exchange._counted_versions(store, [2])
     assert out.schema["ids"].dataType.simpleString() == "bigint" and [tuple(r) for r in out.collect()] == [(2, "t", 3, 3)]
+
+
+def test_mentions_meet_entities_of_one_name_last(spark):
+    entities = spark.range(40).select("id", F.lit("bolt").alias("name"), F.lit("part").alias("type"))
+    said = [("bolt", "part", d, f"c{s}", s) for d in (1, 2, None) for s in (2, 1)] + [(None, "part", 1, "x", 0)]
+    incoming = spark.createDataFrame(said, "name string, type string, document_id long, context string, seq long")
+    there = spark.createDataFrame([(3, 1), (4, 1), (3, None)], "entity_id long, document_id long")
+    out = load.new_mentions(entities, incoming, there)
+    want = {(e, d, "c1") for e in range(40) for d in (1, 2, None)} - {(3, 1, "c1"), (4, 1, "c1")}
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == len(want) and set(got) == want
+    text = plan(out)
+    assert text.index("Join") < text.index("Exchange")  # nothing is shuffled after the entities were met
