@@ -73,19 +73,23 @@ def upserted_entities(entities: DataFrame, incoming: DataFrame, mode: str = "mer
     """
     named = incoming.where("coalesce(name, '') <> ''")
     item = F.struct("seq", "context", "acres", "land_type")
-    per = named.groupBy("name", "type").agg(F.sort_array(F.collect_list(item)).alias("x"), F.min("seq").alias("seq"))
-    both = entities.join(per, ["name", "type"], "full")
-    texts = F.transform(F.coalesce("x", F.array().cast("array<struct<seq:bigint,context:string,acres:string,land_type:string>>")), lambda i: i["context"])
-    latest = lambda f: F.element_at(F.filter(F.transform("x", lambda i: i[f]), lambda v: v.isNotNull()), -1)
-    safe = lambda f: F.when(F.size(F.filter(F.transform("x", lambda i: i[f]), lambda v: v.isNotNull())) > 0, latest(f))
-    known = F.col("id").isNotNull()
+    ends = {"head": (F.min, item), "tail": (F.max, item), "acred": (F.max, F.when(F.col("acres").isNotNull(), item)), "landed": (F.max, F.when(F.col("land_type").isNotNull(), item))}
+    # Many entities may have one name and take a copy of what comes for it: the ends, and in merging each context where it first comes.
+    by = ["name", "type", "context"] if mode == "merge" else ["name", "type"]
+    per = named.groupBy(*by).agg(*[how(x).alias(k) for k, (how, x) in ends.items()])
     if mode == "merge":
-        context = fold_contexts(texts, F.col("context"))
+        told = F.when(F.coalesce("context", F.lit("")) != "", F.struct("head.seq", "context"))
+        per = per.groupBy("name", "type").agg(*[how(k).alias(k) for k, (how, _) in ends.items()], F.sort_array(F.collect_list(told)).alias("told"))
+        per = per.withColumn("told", F.transform("told", lambda i: i["context"]))
+    both = entities.join(per.withColumn("seq", F.col("head.seq")), ["name", "type"], "full")
+    known, came = F.col("id").isNotNull(), F.col("head").isNotNull()
+    if mode == "merge":
+        context = fold_contexts(F.coalesce("told", F.array().cast("array<string>")), F.col("context"))
     elif mode == "first":
-        context = F.when(known, F.col("context")).otherwise(F.get(texts, F.lit(0)))
+        context = F.when(known, F.col("context")).otherwise(F.col("head.context"))
     else:
-        context = F.when(F.size(texts) > 0, F.element_at(texts, -1)).otherwise(F.col("context"))
-    acres, land = (F.coalesce(safe("acres"), "acres"), F.coalesce(safe("land_type"), "land_type")) if mode == "merge" else (F.coalesce("acres", F.get("x", F.lit(0))["acres"]), F.coalesce("land_type", F.get("x", F.lit(0))["land_type"]))
+        context = F.when(came, F.col("tail.context")).otherwise(F.col("context"))
+    acres, land = (F.coalesce("acred.acres", "acres"), F.coalesce("landed.land_type", "land_type")) if mode == "merge" else (F.coalesce("acres", "head.acres"), F.coalesce("land_type", "head.land_type"))
     out = both.select("id", "name", "type", context.alias("context"), acres.alias("acres"), land.alias("land_type"), "seq")
     top = entities.agg(F.max("id")).first()[0] or 0
     new = with_ids(out.where("id is null").drop("id"), ["seq", "name", "type"], top)

@@ -31,3 +31,14 @@ def test_mentions_meet_entities_of_one_name_last(spark):
     assert len(got) == len(want) and set(got) == want
     text = plan(out)
     assert text.index("Join") < text.index("Exchange")  # nothing is shuffled after the entities were met
+
+
+def test_upserts_carry_no_list_of_all_items(spark):
+    old = spark.createDataFrame([(i, "bolt", "part", "ctx" if i == 2 else None, None, None) for i in (1, 2)], "id long, name string, type string, context string, acres string, land_type string")
+    rows = [(s, n, "part", c, a, None) for n in ("bolt", "nut") for s, c, a in ((5, "b", None), (1, "a", "1"), (3, "b", "3"), (4, "", None), (2, "a", None))]
+    new = spark.createDataFrame(rows, "seq long, name string, type string, context string, acres string, land_type string")
+    got = {m: {(r.id, r.name): (r.context, r.acres) for r in load.upserted_entities(old, new, m).collect()} for m in ("merge", "first", "last")}
+    assert got["merge"] == {(1, "bolt"): ("a; b", "3"), (2, "bolt"): ("ctx; a; b", "3"), (3, "nut"): ("a; b", "3")}
+    assert got["first"] == {(1, "bolt"): (None, "1"), (2, "bolt"): ("ctx", "1"), (3, "nut"): ("a", "1")}
+    assert got["last"] == {(1, "bolt"): ("b", "1"), (2, "bolt"): ("b", "1"), (3, "nut"): ("b", "1")}
+    assert "collect_list" not in plan(load.upserted_entities(old, new, "last"))
