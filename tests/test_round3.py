@@ -4,7 +4,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from folioframe.operators import citations, load, resolve
+from folioframe.operators import citations, load, resolve, retrieval
 from folioframe.plans import exchange
 from folioframe.sources import manifest
 
@@ -65,3 +65,11 @@ def test_candidates_are_as_long_as_names():
     text = "see (Ab (1), c.pdf, 1909) and (*Ab (1), c*) or (Ab)"
     assert {n for *_, n in citations.cited_candidates(text, 12, frozenset((8, 12)))} <= {n for *_, n in citations.cited_candidates(text, 12)}
     assert [n for *_, n in citations.cited_candidates(text, 12, frozenset((8, 12)))] == [n for *_, n in citations.cited_candidates(text, 12) if len(n) in (8, 12)]
+
+
+def test_children_are_cut_to_the_documents_before_they_are_counted(spark):
+    texts = spark.createDataFrame([(1, "a.pdf", None, "one tion", None), (2, "b.pdf", None, "two", None)], "id long, file_name string, display_title string, full_text string, collection string")
+    mentions = spark.createDataFrame([(7, 1), (8, 1), (9, 5), (9, None)], "entity_id long, document_id long").distinct()
+    assert [(r.id, r.entity_count) for r in retrieval.list_documents(texts, mentions).collect()] == [(1, 2), (2, 0)]
+    assert [(r.id, r.entity_count) for r in retrieval.search_documents(texts, mentions, "tion").collect()] == [(1, 2)]
+    assert "LeftSemi" in plan(retrieval.search_documents(texts, mentions, "tion"))
