@@ -2,8 +2,13 @@
 
 import hashlib
 
+import duckdb
+
 from pyspark.sql import functions as F
 
+import __spark_entry__
+from compare import rows
+
 from folioframe.operators import citations, load, resolve, retrieval
 from folioframe.plans import exchange
 from folioframe.sources import manifest
@@ -73,3 +78,15 @@ def test_children_are_cut_to_the_documents_before_they_are_counted(spark):
     assert [(r.id, r.entity_count) for r in retrieval.list_documents(texts, mentions).collect()] == [(1, 2), (2, 0)]
     assert [(r.id, r.entity_count) for r in retrieval.search_documents(texts, mentions, "tion").collect()] == [(1, 2)]
     assert "LeftSemi" in plan(retrieval.search_documents(texts, mentions, "tion"))
+
+
+def test_an_opening_that_ends_at_a_line_break(spark, tmp_path):
+    """The block of the first two lines has 99 characters; that of the second one adds a line break and more."""
+    first, second = "then the other the " + "a" * 24, "the ation " + "b" * 45
+    rows_ = [(1, f"{first}\n{second}\nan end without one, long enough")]
+    spark.createDataFrame(rows_, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'web' AS source", "length(text) AS n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    got = __spark_entry__.queries()["passages_topk"](spark, str(tmp_path)).toPandas()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(__spark_entry__.oracle_sql()["passages_topk"]).df()
+    assert len(first) + 1 + len(second) == 99 and len(got) == 2 and rows(got) == rows(want)
