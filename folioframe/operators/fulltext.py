@@ -13,6 +13,8 @@ from ..shared import written
 
 #: A query as alternatives of (wanted, [(offset, word), …]): the offsets of a phrase's words count the stop words between them.
 Atoms = list[list[tuple[bool, list[tuple[int, str]]]]]
+#: Forms of a query's stems that are broadcast; more are joined by a shuffle.
+MOST_FORMS = 100_000
 NO_HITS = "array<struct<pos:int,term:int>>"
 
 
@@ -48,10 +50,14 @@ def stem_table(words: DataFrame) -> DataFrame:
 def stem_hits(places: DataFrame, stems: DataFrame, wanted: list[str]) -> DataFrame:
     """(document_id, hits): where a document has words of the wanted stems, as (pos, number of the stem), by position.
 
-    The stem table is cut to the wanted stems first, so what is joined with the places is a few forms of a few words.
+    The stem table is cut to the wanted stems first, so what is joined with the places is a few forms of a few words. They
+    are counted and, up to MOST_FORMS, broadcast: places are many more and, for frequent words, in few groups.
     """
     number = F.create_map(*[x for i, s in enumerate(wanted) for x in (F.lit(s), F.lit(i))]) if wanted else F.lit(None).cast("map<string,int>")
     forms = stems.where(F.col("stem").isin(wanted)).select("token", F.element_at(number, F.col("stem")).alias("term"))
+    forms = written(forms, "forms")
+    if forms.count() <= MOST_FORMS:
+        forms = F.broadcast(forms)
     return places.join(forms, "token").groupBy("document_id").agg(F.sort_array(F.collect_list(F.struct("pos", "term"))).alias("hits"))
 
 

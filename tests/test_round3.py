@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from compare import rows
 
-from folioframe.operators import citations, load, resolve, retrieval
-from folioframe.plans import exchange
+from folioframe.operators import citations, context, documents, load, resolve, retrieval, search
+from folioframe.plans import exchange, ingest
 from folioframe.sources import manifest
 
 
@@ -90,3 +90,13 @@ def test_an_opening_that_ends_at_a_line_break(spark, tmp_path):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     want = con.execute(__spark_entry__.oracle_sql()["passages_topk"]).df()
     assert len(first) + 1 + len(second) == 99 and len(got) == 2 and rows(got) == rows(want)
+
+
+def test_forms_of_a_query_are_broadcast(spark):
+    texts = spark.createDataFrame([(1, "walks and walking"), (2, "a walk"), (3, "none")], "id long, full_text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = retrieval.matched(texts, "walked", stemmed=True).select("id")
+        assert "BroadcastHashJoin" in plan(out) and {r.id for r in out.collect()} == {1, 2}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
