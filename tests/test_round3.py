@@ -102,6 +102,14 @@ def test_forms_of_a_query_are_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_bundles_with_numbers(spark):
+    docs = spark.createDataFrame([(1,), (2,)], "id long")
+    ents, ments = spark.createDataFrame([(7, "t", "n", "c")], "id long, type string, name string, context string"), spark.createDataFrame([(7, 1)], "entity_id long, document_id long")
+    sold = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "document_id long, payer string")
+    got = {r.id: (len(r.entities), r.financial_transactions) for r in documents.bundles(docs, ents, ments, {}, numbers={"financial_transactions": sold}).collect()}
+    assert got == {1: (1, 2), 2: (0, 0)}
+
+
 def test_links_are_made_without_python(spark):
     docs = spark.createDataFrame([(4, "a.pdf", "Four", "C"), (5, "b 1909.pdf", None, None)], "id long, file_name string, display_title string, collection string")
     said = ["[Doc 4] [Doc 5, x y] [Doc 6, z] [Doc 4,5-6]", "[Doc , ] none", "[Doc 007, t]", "", None, "[Doc 4](u) [Doc 4, q](u)"]
