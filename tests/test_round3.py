@@ -119,3 +119,8 @@ def test_links_are_made_without_python(spark):
     tail = "\n\n---\n\n### Sources Cited\n\n- **[Doc 5](https://x/documents/5)** — b 1909.pdf\n- **[Doc 4](https://x/documents/4)** — Four (*C*)\n"
     assert got == {0: f"{four} {five} [Doc 6] {four}, {five}, [Doc 6]{tail}", 1: said[1], 2: "[Doc 7]", 3: "", 4: None, 5: said[5]}
     assert "Python" not in plan(out)
+
+
+def test_a_ledger_needs_no_tables(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(ingest, "loaded", lambda *a, **b: 1 / 0)
+    assert len(__spark_entry__.queries()["reply_ledger"](spark, sf_dir).take(1)) == 1
