@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import allowance, doc_date, label, tokens_by_chars, truncated
+from ..shared import written
 from .documents import without_read
 from .ordering import numbered
 
@@ -133,7 +134,7 @@ def additional_sections(evidence: dict[str, DataFrame], read: list[str]) -> list
     for i, (kind, (title, most, *order)) in enumerate(ADDITIONAL.items()):
         if kind not in evidence:
             continue
-        rest = without_read(evidence[kind], read)
+        rest = written(without_read(evidence[kind], read), "rest")  # a search's first rows, read twice below
         by = [way(c) for way, c in order]
         first = rest.orderBy(*by).limit(most).select(F.row_number().over(Window.orderBy(*by)).alias("n"), _additional_line(kind).alias("line"))
         per = first.agg(F.sort_array(F.collect_list(F.struct("n", "line"))).alias("x")).where(F.size("x") > 0)

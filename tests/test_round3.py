@@ -121,6 +121,16 @@ def test_links_are_made_without_python(spark):
     assert "Python" not in plan(out)
 
 
+def test_searches_are_read_again_without_a_second_search(spark):
+    docs = spark.createDataFrame([(1, "a.pdf", None), (2, "b.pdf", "B")], "id long, file_name string, display_title string")
+    ents = spark.createDataFrame([(1, "bolt", "person", None), (2, "bolts", "part", "x"), (3, "nut", "part", "y")], "id long, name string, type string, context string")
+    ments = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (1, 9), (3, 1), (2, None)], "entity_id long, document_id long")
+    out = search.search_entities(ents, ments, docs, "bolt")
+    assert [tuple(r) for r in out.collect()] == [(1, "bolt", "person", None, 3, ["B", "a.pdf"], 1003), (2, "bolts", "part", "x", 0, [], 500)]
+    assert "Join" not in plan(out) and all("Join" not in plan(p) or "mentions" not in plan(p) for p in context.additional_sections({"entities": out}, ["a.pdf"]))
+    assert {(r.entity_id, r.shared_docs) for r in search.entity_network(ents, ments, ["bolt"]).collect()} == {(3, 1)}
+
+
 def test_a_ledger_needs_no_tables(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(ingest, "loaded", lambda *a, **b: 1 / 0)
     assert len(__spark_entry__.queries()["reply_ledger"](spark, sf_dir).take(1)) == 1
