@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from compare import rows
 
-from folioframe.operators import citations, context, documents, load, resolve, retrieval, search
+from folioframe.operators import citations, context, documents, load, merge, resolve, retrieval, search
 from folioframe.plans import exchange, ingest
 from folioframe.sources import manifest
 
@@ -134,3 +134,12 @@ def test_searches_are_read_again_without_a_second_search(spark):
 def test_a_ledger_needs_no_tables(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(ingest, "loaded", lambda *a, **b: 1 / 0)
     assert len(__spark_entry__.queries()["reply_ledger"](spark, sf_dir).take(1)) == 1
+
+
+def test_entities_of_one_place_are_numbered_alike_in_any_order(spark):
+    said = [(1, 0, 5, t, n, None, None, None) for t in ("a", "b", "c", "d", None) for n in ("x", "Y", "z")] + [(1, 0, 4, "z", "first", None, None, None)]
+    schema = "document_id long, chunk int, pos int, type string, name string, context string, acres string, land_type string"
+    want = [(1, "z", "first")] + [(i + 2, t, n) for i, (t, n) in enumerate((t, n) for t in (None, "a", "b", "c", "d") for n in ("x", "Y", "z"))]
+    for given in (said, said[::-1]):
+        out = merge.merged_entities(spark.createDataFrame(given, schema))
+        assert sorted((r.seq, r.type, r.name) for r in out.collect()) == want
