@@ -4,7 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioframe.operators import merge
+from folioframe.operators import export, load, members, merge
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cascades_do_not_shuffle_the_facts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        there = [-130, -64, -1, 0, 1, 62, 63, 64, 127, 128, 10**12, None, 62]
+        facts = spark.createDataFrame([(i, d, "x") for i, d in enumerate(there)], "id long, document_id long, payer string")
+        gone = spark.createDataFrame([(-64,), (-1,), (63,), (128,), (10**12,), (None,), (63,)], "id long")
+        for out in (load.cascaded({"financial_transactions": facts}, gone), load.cleared({"financial_transactions": facts}, gone)):
+            left = out["financial_transactions"]
+            assert sorted(r.id for r in left.collect()) == [0, 3, 4, 5, 7, 8, 11, 12]
+            assert left.columns == facts.columns and "Exchange hashpartitioning" not in plan(left)
+        docs = spark.createDataFrame([(i, "t") for i in (-64, 5, 63)], "id long, full_text string")
+        assert [r.id for r in load.cascaded({"documents": docs}, gone)["documents"].collect()] == [5]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sets_that_are_too_large_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(members, "MOST_WORDS", 1)
+    rows, ids = spark.range(200).withColumn("id_there", F.lit(1)), spark.createDataFrame([(3,), (150,), (3,)], "id long")
+    assert members.words(ids) is None
+    assert sorted(r.id for r in members.among(rows, "id", ids, None).collect()) == [3, 150]
+    assert members.among(rows, "id", ids, None, without=True).count() == 198
+    texts = spark.createDataFrame([("a",), ("b",)], "id string")
+    assert [r.id for r in members.among(texts, "id", texts.where("id = 'a'"), members.words(texts)).collect()] == ["a"]
 
 
 def test_first_of_equal_ties_go_by_fields(spark):
