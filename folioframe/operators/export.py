@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.json_text import item_counts, parsed
 from ..functions.text import evidence
+from .members import among, words
 from .ordering import free_name, numbered, ranged
 
 #: How table columns are named in an exported extraction.
@@ -21,7 +22,13 @@ EXPORTED: dict[str, dict[str, str]] = {
 
 
 def gathered(documents: DataFrame, entities: DataFrame, mentions: DataFrame, facts: dict[str, DataFrame]) -> DataFrame:
-    """Documents with one array a group, as an extraction has them, in the order of ids; a group without rows is empty."""
+    """Documents with one array a group, as an extraction has them, in the order of ids; a group without rows is empty.
+
+    Mentions and facts are cut to the documents asked for before they meet anything else.
+    """
+    asked = documents.select("id")
+    held = words(asked)
+    mentions, facts = among(mentions, "document_id", asked, held), {g: among(t, "document_id", asked, held) for g, t in facts.items()}
     linked = mentions.select("entity_id", "document_id").join(entities.select(F.col("id").alias("entity_id"), "name", "type", "context"), "entity_id")
     children = {"entities": linked.select(F.col("document_id").alias("id"), F.struct(F.col("entity_id").alias("k"), "name", "type", F.coalesce("context", F.lit("")).alias("context")).alias("x"))}
     for g, columns in EXPORTED.items():

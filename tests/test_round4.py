@@ -49,3 +49,18 @@ def test_uploaded_entities_ties_go_by_fields(spark):
     schema = "document_id long, chunk long, pos long, type string, name string, context string"
     given = [merge.uploaded_entities(spark.createDataFrame(r, schema).coalesce(1)).collect() for r in (rows, rows[::-1])]
     assert [[tuple(r) for r in g] for g in given] == [[rows[2]], [rows[2]]]
+
+
+def test_gathered_cuts_mentions_before_they_meet_entities(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        texts = spark.createDataFrame([(1, "a"), (2, "b")], "id long, full_text string")
+        entities = spark.createDataFrame([(7, "Ann", "person", None)], "id long, name string, type string, context string")
+        mentions = spark.createDataFrame([(7, 1), (7, 3), (7, None)], "entity_id long, document_id long")
+        out = export.gathered(texts, entities, mentions, {})
+        assert "BroadcastHashJoin" in plan(out) and "LeftSemi" in plan(out)
+        assert sorted((r.id, r.n_items, len(r.entities)) for r in out.collect()) == [(1, 1, 1), (2, 0, 0)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
