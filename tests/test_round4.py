@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioframe.operators import export, load, members, merge
+from folioframe.operators import export, load, members, merge, resolve
 
 
 def plan(df):
@@ -64,3 +64,17 @@ def test_gathered_cuts_mentions_before_they_meet_entities(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_comparable_cuts_mentions_before_they_are_collected(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        entities = spark.createDataFrame([(7, "Ann Lee", "person"), (8, "Acre One", "land_parcel"), (9, "Bob Lee", "person")], "id long, name string, type string")
+        mentions = spark.createDataFrame([(7, 2), (7, 1), (7, 1), (8, 1), (7, None)], "entity_id long, document_id long")
+        out = resolve.comparable(entities, mentions, ["person"])
+        assert "BroadcastHashJoin" in plan(out)
+        assert sorted((r.id, r.doc_ids, r.doc_count) for r in out.collect()) == [(7, [1, 2], 2), (9, [], 0)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
